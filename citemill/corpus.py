@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import preprocess_text
@@ -14,10 +14,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give a plain scan as many partitions as there are cores, if it has fewer.
+
+    A table of many files is left as it is; a table that sits in one small file
+    would keep a single core busy.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` laid out for work that is heavy on every text."""
+    columns = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return spread(columns, "doc_id")
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` seen as articles spread over eight files."""
+    return as_articles(table(spark, sf_dir, "documents"))
+
+
+def as_articles(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return docs.select(
         "doc_id",
         doc_id.cast("string").alias("pmid"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -113,3 +135,21 @@ def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
             mention.alias("protein_1_abstract"),
         )
     )
+
+
+def land_xml(rows: DataFrame, path: str) -> None:
+    """Write articles as compressed XML, one folder per journal.
+
+    Stands in for a delivery of article files.
+    """
+    article = F.struct(
+        F.struct(F.col("journal").alias("Title")).alias("Journal"),
+        F.col("title").alias("ArticleTitle"),
+        F.struct(F.array("abstract").alias("AbstractText")).alias("Abstract"),
+    )
+    citation = F.struct(F.col("pmid").alias("PMID"), article.alias("Article"))
+    rows.select(citation.alias("MedlineCitation"), "journal").write.format("xml").option(
+        "rowTag", "PubmedArticle"
+    ).option("rootTag", "PubmedArticleSet").option("compression", "gzip").partitionBy(
+        "journal"
+    ).save(path)

@@ -12,6 +12,7 @@ KEPT_PUNCTUATION = "()[]{}-%"
 REMOVED_PUNCTUATION = "".join(c for c in string.punctuation if c not in KEPT_PUNCTUATION)
 
 # The 29 characters Python's str.strip() takes off, by code point (fixed values).
+# Any of them also separates two words when spans are looked for in raw text.
 STRIPPED_SPACES = "".join(
     map(
         chr,
@@ -22,9 +23,6 @@ STRIPPED_SPACES = "".join(
     )
 )
 
-# What separates two tokens when spans are looked for in raw text.
-TOKEN_SEPARATORS = " \n\t\r"
-
 
 def preprocess_text(text: Column) -> Column:
     """Strip, lower-case, turn newline and tab into a space, drop punctuation.
@@ -75,7 +73,7 @@ def in_blocks(values: Column, block: int) -> Column:
     return F.when(F.size(values) > 0, parts).otherwise(F.slice(F.array(values), 1, 0))
 
 
-def prefix_sums(numbers: Column, block: int = 128) -> Column:
+def prefix_sums(numbers: Column, block: int = 32) -> Column:
     """Sum of all earlier elements, for every element of an integer array.
 
     Built block by block so that the cost stays linear in the array length.

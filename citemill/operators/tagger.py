@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from citemill.functions.text import (
     REMOVED_PUNCTUATION,
-    TOKEN_SEPARATORS,
+    STRIPPED_SPACES,
     in_blocks,
     let,
     prefix_sums,
-    preprocess_text,
 )
 from citemill.shared import lookup_join, materialise
 
@@ -46,74 +45,59 @@ class Dictionary:
         return Dictionary._sized(spark.read.parquet(path))
 
 
-def word_spans(text: Column) -> Column:
-    """Array of (start, end, norm, piece) for the words of raw text.
+WORD = f"([^{STRIPPED_SPACES}]+[{STRIPPED_SPACES}]*)"
 
-    ``piece`` is the word with the separators behind it, so pieces put together
-    give the text again. ``start`` and ``end`` leave out punctuation at the
-    edges of the word, ``norm`` is the word as the dictionary spells it.
+
+def words(text: Column) -> Column:
+    """Array of (at, piece, norm) for the words of raw text.
+
+    ``piece`` is a word with the spaces behind it, so the pieces put together
+    give the text again; ``at`` is its offset. ``norm`` is the word as the
+    dictionary spells it: lower case, without the removed punctuation.
     """
-    separators = F.lit(TOKEN_SEPARATORS)
-    edges = F.lit(REMOVED_PUNCTUATION)
-    pattern = f"([^{TOKEN_SEPARATORS}]+[{TOKEN_SEPARATORS}]*)"
-    pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    lead = F.length(text) - F.length(F.ltrim(text, separators))
+    pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
+    lead = F.length(text) - F.length(F.ltrim(text, F.lit(STRIPPED_SPACES)))
 
     def word(piece: Column, offset: Column, before: Column) -> Column:
-        bare = F.rtrim(piece, separators)
-        start = before + offset + F.length(bare) - F.length(F.ltrim(bare, edges))
-        core = F.btrim(bare, edges)
         return F.struct(
-            start.alias("start"),
-            (start + F.length(core)).alias("end"),
-            preprocess_text(core).alias("norm"),
-            piece.alias("piece"),
-            (before + offset).alias("at"),
+            (before + offset).alias("at"), piece.alias("piece"), word_norm(piece).alias("norm")
         )
 
-    def spans(found: Column) -> Column:
+    def place(found: Column) -> Column:
         offsets = prefix_sums(F.transform(found, F.length))
         return let(lead, lambda before: F.zip_with(found, offsets, lambda p, o: word(p, o, before)))
 
-    return let(pieces, spans)
+    return let(pieces, place)
 
 
-def candidate_terms(words: Column, lengths: list[int]) -> Column:
-    """Every run of words whose length occurs in the dictionary.
+def word_norm(piece: Column) -> Column:
+    return F.translate(F.lower(piece), STRIPPED_SPACES + REMOVED_PUNCTUATION, "")
 
-    (start, end, n, term, raw, at): ``raw`` is the text the run's words come
-    from and ``at`` its offset, so a surface is cut without the document.
-    """
+
+def candidate_terms(found: Column, lengths: list[int]) -> Column:
+    """Every run of words whose length occurs in the dictionary: (at, term, raw)."""
     def runs(n: int) -> Column:
+        def run(i: Column) -> Column:
+            part = [F.get(found, i + k) for k in range(n)]
+            return F.struct(
+                part[0]["at"].alias("at"),
+                F.concat_ws(" ", *[w["norm"] for w in part]).alias("term"),
+                F.concat(*[w["piece"] for w in part]).alias("raw"),
+            )
+
         if n == 1:
             return F.transform(
-                words,
+                found,
                 lambda w: F.struct(
-                    w["start"].alias("start"), w["end"].alias("end"), F.lit(1).alias("n"),
-                    w["norm"].alias("term"), w["piece"].alias("raw"), w["at"].alias("at"),
+                    w["at"].alias("at"), w["norm"].alias("term"), w["piece"].alias("raw")
                 ),
             )
-
-        def run(i: Column) -> Column:
-            part = F.slice(words, i + 1, n)
-            first, last = F.get(words, i), F.get(words, i + (n - 1))
-            return F.struct(
-                first["start"].alias("start"),
-                last["end"].alias("end"),
-                F.lit(n).alias("n"),
-                F.array_join(F.transform(part, lambda w: w["norm"]), " ").alias("term"),
-                F.array_join(F.transform(part, lambda w: w["piece"]), "").alias("raw"),
-                first["at"].alias("at"),
-            )
-
-        return F.when(
-            F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), run)
+        steps = F.sequence(F.lit(0), F.size(found) - n)
+        return F.when(F.size(found) >= n, F.transform(steps, run)).otherwise(
+            F.transform(F.slice(F.sequence(F.lit(0), F.lit(0)), 1, 0), run)
         )
 
-    every = F.array_compact(F.array(*[runs(n) for n in lengths])) if lengths else None
-    if every is None:
-        raise ValueError("the dictionary is empty")
-    return F.flatten(every)
+    return F.concat(*[runs(n) for n in lengths])
 
 
 def matches(
@@ -121,27 +105,40 @@ def matches(
 ) -> DataFrame:
     """Every dictionary term found in the text columns, overlaps included.
 
-    Columns: ``keys``, field, start, end, label, surface. All fields go through
-    one plan. A dictionary that measures small is broadcast and only matching
-    rows leave the scan task; a larger one is joined on salted terms.
+    Columns: ``keys``, field, start, end, label, surface, term. All fields go
+    through one plan. A dictionary that measures small is broadcast and only
+    matching rows leave the scan task; a larger one is joined on salted terms.
+    Span limits and surface are worked out for the matches alone: spaces and
+    punctuation around a match do not belong to it.
     """
     texts = F.explode(
         F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     )
-    words = docs.select(*keys, texts.alias("t")).where(F.col("t.text").isNotNull())
-    found = words.select(
-        *keys,
-        F.col("t.field").alias("field"),
-        F.explode(
-            let(word_spans(F.col("t.text")), lambda w: candidate_terms(w, dictionary.lengths))
-        ).alias("c"),
+    flat = (
+        docs.select(*keys, texts.alias("t"))
+        .select(
+            *keys,
+            F.col("t.field").alias("field"),
+            F.explode(
+                let(words(F.col("t.text")), lambda w: candidate_terms(w, dictionary.lengths))
+            ).alias("c"),
+        )
+        .select(*keys, "field", "c.*")
     )
-    flat = found.select(*keys, "field", "c.*").where(F.col("term") != "")
     hits = lookup_join(
-        flat, dictionary.table.select("term", "label"), ["term"], "inner", [*keys, "start"]
+        flat, dictionary.table.select("term", "label"), ["term"], "inner", [*keys, "at"]
+    )
+    edges = F.lit(REMOVED_PUNCTUATION)
+    bare = F.rtrim(F.col("raw"), F.lit(STRIPPED_SPACES))
+    start = F.col("at") + F.length(bare) - F.length(F.ltrim(bare, edges))
+    return (
+        hits.withColumn("surface", F.btrim(bare, edges))
+        .withColumn("start", start)
+        .select(
+            *keys, "field", "start", (F.col("start") + F.length("surface")).alias("end"),
+            "label", "surface", "term",
+        )
     )
-    cut = F.substring(F.col("raw"), F.col("start") - F.col("at") + 1, F.col("end") - F.col("start"))
-    return hits.select(*keys, "field", "start", "end", "label", cut.alias("surface"))
 
 
 def leftmost_longest(candidates: Column) -> Column:
@@ -225,7 +222,8 @@ def tag(
 
 def normalise_surface(surface: Column) -> Column:
     """The dictionary spelling of a surface: normalised words, single spaces."""
-    return F.array_join(F.transform(word_spans(surface), lambda w: w["norm"]), " ")
+    pieces = F.regexp_extract_all(surface, F.lit(WORD), F.lit(1))
+    return F.array_join(F.transform(pieces, word_norm), " ")
 
 
 def learn_dictionary(
@@ -277,7 +275,6 @@ def term_statistics(
     )
     seen = (
         matches(docs, Dictionary._sized(marked), keys, [field])
-        .select(normalise_surface(F.col("surface")).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("occurrences"))
     )

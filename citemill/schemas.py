@@ -54,7 +54,7 @@ ARTICLE = T.StructType(
         "medline_ta", "nlm_unique_id", "issn_linking", "country",
     )
     + [T.StructField("delete", T.BooleanType())]
-    + strings("file_name", "file_no")
+    + strings("file_path", "file_name", "file_no")
     + [T.StructField("row_idx", T.LongType())]
 )
 
