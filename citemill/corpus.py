@@ -64,7 +64,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled training examples (doc_id, text, cats)."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = documents(spark, sf_dir).select("doc_id", "text")
     return texts.join(gold(spark, sf_dir), "doc_id")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citemill.functions.text import (
     REMOVED_PUNCTUATION,
-    STRIPPED_SPACES,
+    WORD_SPACES,
     in_blocks,
     let,
     prefix_sums,
@@ -23,29 +23,33 @@ from citemill.shared import lookup_join, materialise
 
 @dataclass
 class Dictionary:
-    """A stored dictionary table together with its distinct term lengths."""
+    """A stored dictionary table and, per term length in words, the shortest and
+    longest term in characters."""
 
     table: DataFrame
-    lengths: list[int]
+    lengths: dict[int, tuple[int, int]]
 
     @staticmethod
     def of(table: DataFrame, name: str = "dictionary") -> Dictionary:
-        return Dictionary._sized(materialise(table.select("term", "n", "label"), name))
+        """Store a dictionary and measure it."""
+        return Dictionary.stored(materialise(table.select("term", "n", "label"), name))
 
     @staticmethod
-    def _sized(table: DataFrame) -> Dictionary:
-        found = table.agg(F.sort_array(F.collect_set("n")).alias("n")).first()["n"]
-        return Dictionary(table, list(found))
+    def stored(table: DataFrame) -> Dictionary:
+        """Measure a table that is already stored; one row per term length."""
+        chars = F.length("term")
+        sizes = table.groupBy("n").agg(F.min(chars).alias("lo"), F.max(chars).alias("hi"))
+        return Dictionary(table, {r["n"]: (r["lo"], r["hi"]) for r in sizes.orderBy("n").collect()})
 
     def save(self, path: str) -> None:
         self.table.write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Dictionary:
-        return Dictionary._sized(spark.read.parquet(path))
+        return Dictionary.stored(spark.read.parquet(path))
 
 
-WORD = f"([^{STRIPPED_SPACES}]+[{STRIPPED_SPACES}]*)"
+WORD = f"([^{WORD_SPACES}]+[{WORD_SPACES}]*)"
 
 
 def words(text: Column) -> Column:
@@ -56,7 +60,7 @@ def words(text: Column) -> Column:
     dictionary spells it: lower case, without the removed punctuation.
     """
     pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
-    lead = F.length(text) - F.length(F.ltrim(text, F.lit(STRIPPED_SPACES)))
+    lead = F.length(text) - F.length(F.ltrim(text, F.lit(WORD_SPACES)))
 
     def word(piece: Column, offset: Column, before: Column) -> Column:
         return F.struct(
@@ -71,12 +75,16 @@ def words(text: Column) -> Column:
 
 
 def word_norm(piece: Column) -> Column:
-    return F.translate(F.lower(piece), STRIPPED_SPACES + REMOVED_PUNCTUATION, "")
+    return F.translate(F.lower(piece), WORD_SPACES + REMOVED_PUNCTUATION, "")
 
 
-def candidate_terms(found: Column, lengths: list[int]) -> Column:
-    """Every run of words whose length occurs in the dictionary: (at, term, raw)."""
-    def runs(n: int) -> Column:
+def candidate_terms(found: Column, lengths: dict[int, tuple[int, int]]) -> Column:
+    """Runs of words that may be terms: (at, term, raw).
+
+    A run qualifies when the dictionary has terms of as many words, and its
+    number of characters lies between those of the shortest and longest one.
+    """
+    def runs(n: int, lo: int, hi: int) -> Column:
         def run(i: Column) -> Column:
             part = [F.get(found, i + k) for k in range(n)]
             return F.struct(
@@ -86,18 +94,20 @@ def candidate_terms(found: Column, lengths: list[int]) -> Column:
             )
 
         if n == 1:
-            return F.transform(
+            every = F.transform(
                 found,
                 lambda w: F.struct(
                     w["at"].alias("at"), w["norm"].alias("term"), w["piece"].alias("raw")
                 ),
             )
-        steps = F.sequence(F.lit(0), F.size(found) - n)
-        return F.when(F.size(found) >= n, F.transform(steps, run)).otherwise(
-            F.transform(F.slice(F.sequence(F.lit(0), F.lit(0)), 1, 0), run)
-        )
+        else:
+            starts = F.filter(
+                F.sequence(F.lit(0), F.size(found)), lambda i: i <= F.size(found) - n
+            )
+            every = F.transform(starts, run)
+        return F.filter(every, lambda c: F.length(c["term"]).between(lo, hi))
 
-    return F.concat(*[runs(n) for n in lengths])
+    return F.concat(*[runs(n, lo, hi) for n, (lo, hi) in sorted(lengths.items())])
 
 
 def matches(
@@ -111,6 +121,11 @@ def matches(
     Span limits and surface are worked out for the matches alone: spaces and
     punctuation around a match do not belong to it.
     """
+    if not dictionary.lengths:
+        return docs.select(*keys).limit(0).selectExpr(
+            *keys, "'' AS field", "0 AS start", "0 AS end", "'' AS label", "'' AS surface",
+            "'' AS term",
+        )
     texts = F.explode(
         F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     )
@@ -129,7 +144,7 @@ def matches(
         flat, dictionary.table.select("term", "label"), ["term"], "inner", [*keys, "at"]
     )
     edges = F.lit(REMOVED_PUNCTUATION)
-    bare = F.rtrim(F.col("raw"), F.lit(STRIPPED_SPACES))
+    bare = F.rtrim(F.col("raw"), F.lit(WORD_SPACES))
     start = F.col("at") + F.length(bare) - F.length(F.ltrim(bare, edges))
     return (
         hits.withColumn("surface", F.btrim(bare, edges))
@@ -274,7 +289,7 @@ def term_statistics(
         "marked-terms",
     )
     seen = (
-        matches(docs, Dictionary._sized(marked), keys, [field])
+        matches(docs, Dictionary.stored(marked), keys, [field])
         .groupBy("term")
         .agg(F.count("*").alias("occurrences"))
     )

@@ -6,11 +6,12 @@ a recursive walk for overlaps, plain window functions for row numbers.
 
 from __future__ import annotations
 
-from citemill.functions.text import REMOVED_PUNCTUATION, STRIPPED_SPACES
+from citemill.functions.text import REMOVED_PUNCTUATION, STRIPPED_SPACES, WORD_SPACES
 from citemill.queries import CAP
 from citemill.schemas import ENTITY_LABELS, SLOTS
 
 SPACES = "||".join(f"chr({ord(c)})" for c in STRIPPED_SPACES)
+SEPARATORS = "||".join(f"chr({ord(c)})" for c in WORD_SPACES)
 KILL = "'" + REMOVED_PUNCTUATION.replace("'", "''") + "'"
 
 
@@ -134,11 +135,11 @@ BOTH_FIELDS = """fields AS (
 ABSTRACT_ONLY = "fields AS (SELECT doc_id, 'abstract' AS field, abstract AS text FROM article)"
 
 CANDIDATES = f"""pieces AS (
-  SELECT doc_id, field, length(text) - length(ltrim(text, {SPACES})) AS lead,
-         regexp_extract_all(text, '[^' || {SPACES} || ']+[' || {SPACES} || ']*') AS ps
+  SELECT doc_id, field, length(text) - length(ltrim(text, {SEPARATORS})) AS lead,
+         regexp_extract_all(text, '[^' || {SEPARATORS} || ']+[' || {SEPARATORS} || ']*') AS ps
   FROM fields WHERE text IS NOT NULL),
 placed AS (
-  SELECT doc_id, field, i, rtrim(piece, {SPACES}) AS bare,
+  SELECT doc_id, field, i, rtrim(piece, {SEPARATORS}) AS bare,
          CAST(lead + coalesce(sum(length(piece)) OVER (
            PARTITION BY doc_id, field ORDER BY i
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
