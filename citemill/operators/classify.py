@@ -63,7 +63,9 @@ def train_naive_bayes(
         F.col("pos").isNotNull()
     )
     counts = materialise(
-        gold.select("pos", F.explode("toks").alias("token"))
+        # The outer form, because the optimiser derives a filter on the token array
+        # from a plain explode, and that would tokenise every text again.
+        gold.select("pos", F.explode_outer("toks").alias("token"))
         .where(F.col("token") != "")
         .groupBy("token")
         .agg(F.count_if("pos").alias("pos_n"), F.count_if(~F.col("pos")).alias("neg_n")),

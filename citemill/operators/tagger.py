@@ -129,16 +129,15 @@ def matches(
     texts = F.explode(
         F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     )
+    # Candidates become a column of their own before they are exploded, so that
+    # no text is carried along with them. The outer form spares them the filter
+    # on the array's size that the optimiser derives from a plain one: it would
+    # compute the candidates again below.
+    found = let(words(F.col("t.text")), lambda w: candidate_terms(w, dictionary.lengths))
     flat = (
         docs.select(*keys, texts.alias("t"))
-        .select(
-            *keys,
-            F.col("t.field").alias("field"),
-            F.explode(
-                let(words(F.col("t.text")), lambda w: candidate_terms(w, dictionary.lengths))
-            ).alias("c"),
-        )
-        .select(*keys, "field", "c.*")
+        .select(*keys, F.col("t.field").alias("field"), found.alias("found"))
+        .select(*keys, "field", F.inline_outer("found"))
     )
     hits = lookup_join(
         flat, dictionary.table.select("term", "label"), ["term"], "inner", [*keys, "at"]

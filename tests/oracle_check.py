@@ -66,7 +66,8 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(queries())
-    session = local_session(os.environ.get("BENCH_CPUS", "8"))
+    options = dict(o.split("=", 1) for o in os.environ.get("CHECK_CONF", "").split(",") if o)
+    session = local_session(os.environ.get("BENCH_CPUS", "8"), **options)
     connection = connect(folder)
     bad = 0
     for query_name in names:
