@@ -33,11 +33,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` seen as articles spread over eight files."""
+    """``documents`` as articles, scanned as they lie."""
     return as_articles(table(spark, sf_dir, "documents"))
 
 
 def as_articles(docs: DataFrame) -> DataFrame:
+    """``documents`` rows seen as articles that came in eight files."""
     doc_id = F.col("doc_id")
     return docs.select(
         "doc_id",
@@ -50,9 +51,9 @@ def as_articles(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_pmids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles of which many share a pmid inside their file."""
-    return articles(spark, sf_dir).withColumn("pmid", (F.col("doc_id") % 50).cast("string"))
+def repeated_pmids(rows: DataFrame) -> DataFrame:
+    """Articles renamed so that many share a pmid inside their file."""
+    return rows.withColumn("pmid", (F.col("doc_id") % 50).cast("string"))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

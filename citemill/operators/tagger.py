@@ -231,7 +231,7 @@ def tag(
     docs: DataFrame, dictionary: Dictionary, keys: list[str], fields: list[str]
 ) -> DataFrame:
     """One row per entity: ``keys``, field, start, end, label, surface."""
-    return tag_arrays(docs, dictionary, keys, fields).select(*keys, F.inline("spans"))
+    return tag_arrays(docs, dictionary, keys, fields).select(*keys, F.inline_outer("spans"))
 
 
 def normalise_surface(surface: Column) -> Column:

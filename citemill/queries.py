@@ -157,7 +157,7 @@ def cap_per_file(spark, sf_dir):
 
 @query
 def last_wins_dedup(spark, sf_dir):
-    return select.last_wins(corpus.repeated_pmids(spark, sf_dir))
+    return select.last_wins(corpus.repeated_pmids(corpus.articles(spark, sf_dir)))
 
 
 @query
@@ -168,13 +168,15 @@ def sampled_examples(spark, sf_dir):
 @query
 def keep_articles(spark, sf_dir):
     scorer = naive_bayes_scorer(_model(spark, sf_dir))
-    return filter_articles(corpus.articles(spark, sf_dir), scorer)
+    articles = corpus.as_articles(corpus.documents(spark, sf_dir))
+    return filter_articles(articles, scorer)
 
 
 @query
 def keep_articles_capped(spark, sf_dir):
     scorer = naive_bayes_scorer(_model(spark, sf_dir))
-    return filter_articles(corpus.repeated_pmids(spark, sf_dir), scorer, max_lines=CAP)
+    articles = corpus.repeated_pmids(corpus.as_articles(corpus.documents(spark, sf_dir)))
+    return filter_articles(articles, scorer, max_lines=CAP)
 
 
 # --- classifier evaluation -------------------------------------------------------
@@ -374,7 +376,7 @@ def resume_anti_join(spark, sf_dir):
     file_no = F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file_no")
     inputs = corpus.table(spark, sf_dir, "documents").select(file_no, "doc_id")
     done = corpus.table(spark, sf_dir, "labels").select(file_no)
-    return article_parquet.remaining(inputs, done)
+    return article_parquet.remaining(inputs, done, ["doc_id"])
 
 
 @query

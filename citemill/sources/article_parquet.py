@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import stem
+from citemill.shared import lookup_join
 
 DONE = "file_no string, run string"
 
@@ -50,9 +51,14 @@ def finished_files(spark: SparkSession, output: str) -> DataFrame:
     return spark.createDataFrame([], DONE) if done is None else done
 
 
-def remaining(inputs: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows of ``inputs`` whose file has no output yet."""
-    return inputs.join(done.select("file_no").distinct(), "file_no", "left_anti")
+def remaining(inputs: DataFrame, done: DataFrame, spread_by: list[str]) -> DataFrame:
+    """Rows of ``inputs`` whose file has no output yet.
+
+    The list of finished files is broadcast if it measures small; otherwise the
+    rows of a large file are spread by ``spread_by``.
+    """
+    files = done.select("file_no").distinct()
+    return lookup_join(inputs, files, ["file_no"], "left_anti", spread_by)
 
 
 def append_run(kept: DataFrame, files: DataFrame, output: str) -> str:
