@@ -26,9 +26,11 @@ class Parser:
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
-    def parse(self, data_path: str, output_path: str) -> DataFrame:
+    def parse(
+        self, data_path: str, output_path: str, include_deleted: bool = False
+    ) -> DataFrame:
         """Parse all intact files below ``data_path`` into ``output_path``."""
-        articles = article_xml.read_articles(self.spark, data_path)
+        articles = article_xml.read_articles(self.spark, data_path, include_deleted)
         articles.write.mode("overwrite").parquet(output_path)
         return article_parquet.read_article_parquet(self.spark, output_path)
 
@@ -184,15 +186,14 @@ class TextClassification:
 
     def get_roc_auc(self, delta_thr: float = 0.01) -> tuple[float, list[float], list[float]]:
         """Area, false and true positive rates; the curve has 1/delta + 1 points."""
-        curve = evaluate.roc_curve(self.score(self.test_data), delta_thr)
+        curve = materialise(evaluate.roc_curve(self.score(self.test_data), delta_thr), "curve")
         points = curve.orderBy("point").collect()
         area = evaluate.trapezoid_auc(curve).first()["auc"]
         return area, [p["fpr"] for p in points], [p["tpr"] for p in points]
 
     def get_auc_Nsq(self, s_frac: float = 1.0, seed: int = 0) -> float | None:
         """Pair-counting area (a tie counts 1)."""
-        scored = materialise(self.score(self.test_data), "scored")
-        return evaluate.pair_auc(scored, s_frac, seed).first()["auc"]
+        return evaluate.pair_auc(self.score(self.test_data), s_frac, seed).first()["auc"]
 
     def get_auc_Nlog2N(self) -> float | None:
         """Rank-based area (a tie counts one half)."""
@@ -234,8 +235,15 @@ class Ner:
 
     def evaluate(self) -> DataFrame:
         """precision / recall / fscore per scored label and pooled."""
-        matched = materialise(self.matched(), "matched")
-        return span_scores.score_by_label(matched).unionByName(span_scores.score_pooled(matched))
+        return span_scores.score_report(self.matched())
+
+    def history(self, supports: list[int]) -> DataFrame:
+        """Test scores of dictionaries learned with different supports."""
+        return span_scores.tagger_history(
+            self.train_data, labelled.entity_rows(self.train_data, ["doc_id"]),
+            self.test_data, labelled.entity_rows(self.test_data, ["doc_id"]),
+            supports, ["doc_id"], "text",
+        )
 
     def savemodel(self, output_path: str) -> None:
         self.dictionary.save(output_path)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from citemill.functions.text import tokens
 from citemill.schemas import POSITIVE
-from citemill.shared import lookup_join, materialise
+from citemill.shared import fits_broadcast, materialise, salted_join
 
 # Weights are stored in millionths, as whole numbers: their sums are exact, so
 # a score does not depend on the order in which a shuffle delivers the tokens.
@@ -87,6 +87,22 @@ def train_naive_bayes(
     return NaiveBayesModel(weights, prior)
 
 
+def common_tokens(weights: DataFrame) -> tuple[DataFrame, int]:
+    """The tokens seen most often in training, as many as can be broadcast.
+
+    Returns them with the count from which on a token belongs to them; 0 when
+    that is the whole model.
+    """
+    seen = F.col("pos_n") + F.col("neg_n")
+    least, common = 0, weights
+    while not fits_broadcast(common.select("token", "weight")):
+        least = max(2, least * 4)
+        if least > 1 << 40:
+            return weights.limit(0), least
+        common = weights.where(seen >= least)
+    return common, least
+
+
 def score_naive_bayes(
     docs: DataFrame, model: NaiveBayesModel, keys: list[str], text: str = "abstract"
 ) -> DataFrame:
@@ -94,18 +110,32 @@ def score_naive_bayes(
 
     The score is the logistic of the prior plus the mean weight of the known
     tokens; a plain sum would saturate on long documents. Documents without a
-    known token keep the prior. Only keys and tokens are exploded: with a broadcast model the shuffle
-    carries one partial sum per document.
+    known token keep the prior.
+
+    Only keys and tokens are exploded. Common tokens meet a broadcast table in
+    the scan task and shrink to one partial sum per document before anything is
+    shuffled. When the whole model does not fit, the remaining rare tokens are
+    counted per document and looked up in a second, salted join.
     """
     exploded = docs.select(*keys, F.explode_outer(tokens(F.col(text))).alias("token"))
-    weights = model.weights.select("token", "weight")
-    sums = (
-        lookup_join(exploded, weights, ["token"], "left", keys)
-        .groupBy(*keys)
-        .agg(F.sum("weight").alias("total"), F.count("weight").alias("known"))
-    )
-    evidence = F.coalesce(F.col("total") / F.lit(UNIT) / F.col("known"), F.lit(0.0))
-    score = 1 / (1 + F.exp(-(F.lit(model.prior) + evidence)))
+    common, least = common_tokens(model.weights)
+    hit = exploded.join(F.broadcast(common.select("token", "weight")), "token", "left")
+    known = [F.sum("weight").alias("total"), F.count("weight").alias("known")]
+    if least == 0:
+        sums = hit.groupBy(*keys).agg(*known)
+    else:
+        rare = F.when(F.col("weight").isNull(), F.nullif("token", F.lit(""))).alias("token")
+        partial = hit.groupBy(*keys, rare).agg(*known, F.count("*").alias("times"))
+        rest = model.weights.where(F.col("pos_n") + F.col("neg_n") < least)
+        looked_up = salted_join(partial, rest.select("token", "weight"), ["token"], "left", keys)
+        sums = looked_up.groupBy(*keys).agg(
+            F.sum(F.coalesce("total", F.col("weight") * F.col("times"))).alias("total"),
+            F.sum(
+                F.col("known") + F.when(F.col("weight").isNotNull(), F.col("times")).otherwise(0)
+            ).alias("known"),
+        )
+    mean = F.try_divide(F.col("total") / F.lit(UNIT), F.col("known"))
+    score = 1 / (1 + F.exp(-(F.lit(model.prior) + F.coalesce(mean, F.lit(0.0)))))
     return sums.select(*keys, F.round(score, SCORE_DIGITS).alias("score"))
 
 

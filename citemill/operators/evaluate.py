@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from citemill.functions.ratios import f_score, precision, recall, specificity
 from citemill.operators.gates import gold_present, pure_class
+from citemill.operators.numbering import number_rows, row_block
 from citemill.operators.select import exact_sample
 from citemill.schemas import POSITIVE
-from citemill.shared import materialise
+from citemill.shared import lookup_join, materialise
 
 # Distinct scores one window task may walk through.
 BUCKET_SCORES = 1_000_000
@@ -101,49 +102,70 @@ def positives_above(scored: DataFrame) -> DataFrame:
     """One row per distinct score of the pure classes: (score, p, n, above).
 
     ``above`` counts the positives with a higher score. Samples are first
-    combined per score. The running sum then works inside buckets of scores cut
-    at approximate quantiles: where the cuts fall affects balance only, since
-    the totals of higher buckets are added exactly.
+    combined per score. The running sum works inside buckets of scores cut at
+    approximate quantiles: where the cuts fall affects balance only, since the
+    totals of higher buckets are added exactly.
     """
     pure = scored.select("score", pure_class(F.col("cats")).alias("pos")).where(
         F.col("pos").isNotNull()
     )
-    per_score = materialise(
-        pure.groupBy("score").agg(
-            F.count_if("pos").alias("p"), F.count_if(~F.col("pos")).alias("n")
-        ),
-        "per-score",
+    per_score = pure.groupBy("score").agg(
+        F.count_if("pos").alias("p"), F.count_if(~F.col("pos")).alias("n")
     )
+    return running_total(materialise(per_score, "per-score"), "p", "above")
+
+
+def running_total(per_score: DataFrame, column: str, name: str) -> DataFrame:
+    """Add ``name``, the sum of ``column`` over all higher scores.
+
+    ``per_score`` is a stored table with one row per distinct score. Up to
+    ``BUCKET_SCORES`` of them are walked through by one task; more are cut into
+    buckets.
+    """
     buckets = -(-per_score.count() // BUCKET_SCORES)
     cuts = []
     if buckets > 1:
         shares = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(per_score.approxQuantile("score", shares, 0.1 / buckets)))
-    return running_positives(per_score, cuts)
-
-
-def running_positives(per_score: DataFrame, cuts: list[float]) -> DataFrame:
-    """Running positive counts of a per-score table, bucketed at ``cuts``."""
+    bucketed = per_score.withColumn("_bucket", F.lit(0.0))
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
-        bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(
+        bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket").transform(
             per_score
         )
-    else:
-        bucketed = per_score.withColumn("bucket", F.lit(0.0))
-    higher = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = bucketed.groupBy("bucket").agg(F.sum("p").alias("t")).select(
-        "bucket", F.coalesce(F.sum("t").over(higher), F.lit(0)).alias("before")
-    )
-    inside = (
-        Window.partitionBy("bucket")
-        .orderBy(F.desc("score"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.unboundedPreceding, -1)
+    higher = Window.orderBy(F.desc("_bucket")).rowsBetween(*earlier)
+    totals = (
+        bucketed.groupBy("_bucket")
+        .agg(F.sum(column).alias("_sum"))
+        .select("_bucket", F.coalesce(F.sum("_sum").over(higher), F.lit(0)).alias("_before"))
     )
+    inside = Window.partitionBy("_bucket").orderBy(F.desc("score")).rowsBetween(*earlier)
+    seen = F.coalesce(F.sum(column).over(inside), F.lit(0))
     return (
-        bucketed.withColumn("seen", F.coalesce(F.sum("p").over(inside), F.lit(0)))
-        .join(F.broadcast(totals), "bucket")  # at most len(cuts) + 1 rows
-        .select("score", "p", "n", (F.col("seen") + F.col("before")).alias("above"))
+        bucketed.withColumn("_seen", seen)
+        .join(F.broadcast(totals), "_bucket")  # at most len(cuts) + 1 rows
+        .withColumn(name, F.col("_seen") + F.col("_before"))
+        .drop("_bucket", "_seen", "_before")
+    )
+
+
+def rank_by_score(scored: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Add ``rank`` = 1, 2, ... by descending score; of equal scores the row
+    with the higher ``key`` comes first.
+
+    The rank is the number of rows with a higher score plus the place among the
+    equal ones, which are numbered block by block: a score that many rows share
+    is not sorted by one task. ``scored`` is stored first, as it is read thrice.
+    """
+    stored = materialise(scored, "scored")
+    per_score = materialise(stored.groupBy("score").agg(F.count("*").alias("n")), "per-score")
+    above = running_total(per_score, "n", "_above").select("score", "_above")
+    placed = number_rows(
+        stored, ["score"], [-row_block(F.col(key))], [F.desc(key)], "_place"
+    )
+    return lookup_join(placed, above, ["score"], "inner", [key]).select(
+        *scored.columns, (F.col("_place") + F.col("_above")).alias("rank")
     )
 
 
@@ -169,8 +191,9 @@ def pair_auc(
     scored: DataFrame, s_frac: float = 1.0, seed: int = 0, key: str = "doc_id"
 ) -> DataFrame:
     """Pair-counting area (ties count 1), on an exact-size sample if asked for."""
-    sample = scored if s_frac >= 1.0 else exact_sample(scored, key, s_frac, seed)
-    return rank_auc(sample, 1.0)
+    if s_frac < 1.0:
+        scored = exact_sample(materialise(scored, "scored"), key, s_frac, seed)
+    return rank_auc(scored, 1.0)
 
 
 def metric_history(

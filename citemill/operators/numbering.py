@@ -24,12 +24,15 @@ def number_rows(
     blocks: list[Column],
     order: list[Column],
     name: str = "rn",
+    upto: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... n per group.
 
     ``blocks`` are ordered columns that cut a group into bounded pieces and
     agree with the row order; ``order`` sorts the rows of one block. ``df`` is
-    read twice, so hand in a stored table when it is costly to compute.
+    read twice, so hand in a stored table when it is costly to compute. With
+    ``upto`` only the first rows of a group remain, and blocks that lie behind
+    them are dropped before anything is sorted.
     """
     keys = [f"_b{i}" for i in range(len(blocks))]
     keyed = df.select("*", *[b.alias(k) for b, k in zip(blocks, keys)])
@@ -42,10 +45,12 @@ def number_rows(
         .agg(F.count("*").alias("_n"))
         .select(*together, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
+    if upto is not None:
+        offsets = offsets.where(F.col("_before") < upto)
     inside = Window.partitionBy(*together).orderBy(*order)
-    return (
-        keyed.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, together)
-        .withColumn(name, (F.col("_rn") + F.col("_before")).cast("bigint"))
-        .drop("_rn", "_before", *keys)
+    numbered = (
+        keyed.join(offsets, together)
+        .withColumn(name, (F.row_number().over(inside) + F.col("_before")).cast("bigint"))
+        .drop("_before", *keys)
     )
+    return numbered if upto is None else numbered.where(F.col(name) <= upto)

@@ -19,10 +19,9 @@ def cap_per_file(
     if max_lines <= 0:
         return kept
     limit = max_lines if exact_cap else max_lines + 1
-    numbered = number_rows(
-        kept, ["file_no"], [row_block(F.col("row_idx"))], [F.col("row_idx")], name
+    return number_rows(
+        kept, ["file_no"], [row_block(F.col("row_idx"))], [F.col("row_idx")], name, limit
     )
-    return numbered.where(F.col(name) <= limit)
 
 
 def last_wins(kept: DataFrame) -> DataFrame:
@@ -41,7 +40,8 @@ def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> Dat
     """``int(fraction * n)`` rows without replacement, the same ones every time.
 
     Rows are ranked by an md5 of key and seed. The first four hex digits of the
-    digest form 65,536 even blocks, so no task ranks more than its share.
+    digest form 65,536 even blocks, so no task ranks more than its share. ``df``
+    is read three times, so hand in a stored table when it is costly to compute.
     """
     size = int(fraction * df.count())
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
@@ -51,5 +51,6 @@ def exact_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> Dat
         [F.substring("_md5", 1, 4)],
         [F.col("_md5"), F.col(key)],
         "_rank",
+        size,
     )
-    return ranked.where(F.col("_rank") <= size).drop("_md5", "_rank")
+    return ranked.drop("_md5", "_rank")

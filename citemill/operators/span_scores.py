@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.functions.ratios import f_score, precision, recall, span_f, span_ratio
+from citemill.operators.tagger import Dictionary, tag, term_statistics
+from citemill.shared import materialise
 
 # The labels that are scored, and the name of their pool.
 SCORED_LABELS = ["RADIOTRACER_S", "RADIOTRACER_L"]
@@ -71,3 +73,38 @@ def score_pooled(matched: DataFrame, labels: list[str] | None = None) -> DataFra
         .withColumn("fscore", f_score(F.col("precision"), F.col("recall")))
         .select(F.lit(POOLED).alias("label"), "*")
     )
+
+
+def score_report(matched: DataFrame) -> DataFrame:
+    """One row per scored label and one for their pool."""
+    stored = materialise(matched, "matched")
+    return score_by_label(stored).unionByName(score_pooled(stored))
+
+
+def tagger_history(
+    train: DataFrame,
+    train_spans: DataFrame,
+    test: DataFrame,
+    test_spans: DataFrame,
+    supports: list[int],
+    keys: list[str],
+    field: str = "abstract",
+) -> DataFrame:
+    """(iteration, label, metric, value): scores of dictionaries that ask for
+    more and more support. ``iteration`` is the support asked for.
+    """
+    statistics = materialise(term_statistics(train, train_spans, keys, field), "statistics")
+    reports = []
+    for support in supports:
+        learned = Dictionary.of(statistics.where(F.col("support") >= support))
+        predicted = tag(test, learned, keys, [field])
+        report = score_report(match_spans(test_spans, predicted, keys))
+        reports.append(
+            report.unpivot("label", ["precision", "recall", "fscore"], "metric", "value").select(
+                F.lit(support).alias("iteration"), "label", "metric", "value"
+            )
+        )
+    history = reports[0]
+    for report in reports[1:]:
+        history = history.unionByName(report)
+    return history

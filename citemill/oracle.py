@@ -7,7 +7,7 @@ a recursive walk for overlaps, plain window functions for row numbers.
 from __future__ import annotations
 
 from citemill.functions.text import REMOVED_PUNCTUATION, STRIPPED_SPACES, WORD_SPACES
-from citemill.queries import CAP
+from citemill.queries import CAP, SUPPORTS
 from citemill.schemas import ENTITY_LABELS, SLOTS
 
 SPACES = "||".join(f"chr({ord(c)})" for c in STRIPPED_SPACES)
@@ -210,23 +210,52 @@ statistics AS (
   FROM best b JOIN (SELECT term, count(*) AS occurrences FROM candidates GROUP BY term) o
   USING (term))"""
 GOLD = [ARTICLE, DICTIONARY, ABSTRACT_ONLY, CANDIDATES, tags("", "dict"), STATISTICS]
-MATCHED = [
-    *GOLD,
-    "learned AS (SELECT term, label FROM statistics WHERE support >= 2 AND precision >= 0.9)",
-    tags("p_", "learned"),
-    """matched AS (
+
+
+def matched(p: str, condition: str) -> list[str]:
+    """CTEs ending in ``{p}matched`` and ``{p}by_label`` for a learned dictionary."""
+    return [
+        f"{p}learned AS (SELECT term, label FROM statistics WHERE {condition})",
+        tags(p, f"{p}learned"),
+        f"""{p}matched AS (
   SELECT coalesce(g.doc_id, p.doc_id) AS doc_id, coalesce(g.s, p.s) AS start,
          coalesce(g.e, p.e) AS "end", coalesce(g.label, p.label) AS label,
          CASE WHEN g.doc_id IS NOT NULL AND p.doc_id IS NOT NULL THEN 1 ELSE 0 END AS tp,
          CASE WHEN g.doc_id IS NULL THEN 1 ELSE 0 END AS fp,
          CASE WHEN p.doc_id IS NULL THEN 1 ELSE 0 END AS fn
-  FROM tags g FULL JOIN p_tags p
+  FROM tags g FULL JOIN {p}tags p
     ON g.doc_id = p.doc_id AND g.s = p.s AND g.e = p.e AND g.label = p.label)""",
-    """by_label AS (
+        f"""{p}by_label AS (
   SELECT l.label, tp, fp, fn FROM (VALUES ('RADIOTRACER_S'), ('RADIOTRACER_L')) l(label)
   LEFT JOIN (SELECT label, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp,
-                    CAST(sum(fn) AS BIGINT) AS fn FROM matched GROUP BY label) USING (label))""",
-]
+                    CAST(sum(fn) AS BIGINT) AS fn FROM {p}matched GROUP BY label) USING (label))""",
+        f"""{p}pooled AS (SELECT CAST(coalesce(sum(tp), 0) AS BIGINT) AS tp,
+  CAST(coalesce(sum(fp), 0) AS BIGINT) AS fp, CAST(coalesce(sum(fn), 0) AS BIGINT) AS fn
+  FROM {p}by_label)""",
+    ]
+
+
+def by_label(p: str) -> str:
+    return f"""SELECT label, tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall,
+  round(2 * (p * r / (p + r + 1e-100)), 6) AS fscore
+  FROM (SELECT *, tp / (tp + fp + 1e-100) AS p, tp / (tp + fn + 1e-100) AS r FROM {p}by_label)"""
+
+
+def pooled(p: str) -> str:
+    return f"""SELECT 'RADIOTRACER' AS label, tp, fp, fn, round(p, 6) AS precision,
+  round(r, 6) AS recall, round(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END, 6) AS fscore
+  FROM (SELECT *, tp / (tp + fp + 1e-8) AS p, tp / (tp + fn + 1e-8) AS r FROM {p}pooled)"""
+
+
+def history(p: str, support: int) -> str:
+    every = f"SELECT * FROM ({by_label(p)}) UNION ALL SELECT * FROM ({pooled(p)})"
+    return " UNION ALL ".join(
+        f"SELECT {support} AS iteration, label, '{m}' AS metric, {m} AS value FROM ({every})"
+        for m in ("precision", "recall", "fscore")
+    )
+
+
+MATCHED = [*GOLD, *matched("p_", "support >= 2 AND precision >= 0.9")]
 
 # --- genes -----------------------------------------------------------------------
 
@@ -316,6 +345,11 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT score, count(*) FILTER (WHERE pos) AS p, count(*) FILTER (WHERE NOT pos) AS n,
   (SELECT count(*) FROM judged o WHERE o.pos AND o.score > j.score) AS above
   FROM judged j GROUP BY score""",
+    ),
+    "ranked_documents": with_ctes(
+        *TIED,
+        """SELECT doc_id, score, row_number() OVER (ORDER BY score DESC, doc_id DESC) AS rank
+  FROM judged""",
     ),
     "dictionary_matches": with_ctes(
         *TAGGED,
@@ -359,23 +393,13 @@ ORACLE_SQL: dict[str, str] = {
         recursive=True,
     ),
     "learn_dictionary": with_ctes(*GOLD, "SELECT * FROM statistics", recursive=True),
-    "span_matches": with_ctes(*MATCHED, "SELECT * FROM matched", recursive=True),
-    "span_prf_by_label": with_ctes(
-        *MATCHED,
-        """pr AS (SELECT *, tp / (tp + fp + 1e-100) AS p, tp / (tp + fn + 1e-100) AS r FROM by_label)""",
-        """SELECT label, tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall,
-  round(2 * (p * r / (p + r + 1e-100)), 6) AS fscore FROM pr""",
-        recursive=True,
-    ),
-    "span_prf_pooled": with_ctes(
-        *MATCHED,
-        """pooled AS (SELECT CAST(coalesce(sum(tp), 0) AS BIGINT) AS tp,
-  CAST(coalesce(sum(fp), 0) AS BIGINT) AS fp, CAST(coalesce(sum(fn), 0) AS BIGINT) AS fn
-  FROM by_label)""",
-        "pr AS (SELECT *, tp / (tp + fp + 1e-8) AS p, tp / (tp + fn + 1e-8) AS r FROM pooled)",
-        """SELECT 'RADIOTRACER' AS label, tp, fp, fn, round(p, 6) AS precision,
-  round(r, 6) AS recall, round(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END, 6) AS fscore
-  FROM pr""",
+    "span_matches": with_ctes(*MATCHED, "SELECT * FROM p_matched", recursive=True),
+    "span_prf_by_label": with_ctes(*MATCHED, by_label("p_"), recursive=True),
+    "span_prf_pooled": with_ctes(*MATCHED, pooled("p_"), recursive=True),
+    "tagger_history": with_ctes(
+        *GOLD,
+        *[cte for n in SUPPORTS for cte in matched(f"p{n}_", f"support >= {n}")],
+        " UNION ALL ".join(history(f"p{n}_", n) for n in SUPPORTS),
         recursive=True,
     ),
     "gene_lookup_first_hit": with_ctes(

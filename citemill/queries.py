@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 DIGITS = 6
 CAP = 50
+SUPPORTS = [2, 5]
 
 
 def query(f: Query) -> Query:
@@ -211,7 +212,7 @@ def auc_rank_ties_half(spark, sf_dir):
 
 @query
 def auc_sampled(spark, sf_dir):
-    judged = materialise(_judged(spark, sf_dir, 1), "judged")
+    judged = _judged(spark, sf_dir, 1)
     return rounded(evaluate.pair_auc(judged, s_frac=0.5, seed=7), "auc")
 
 
@@ -220,6 +221,11 @@ def running_positives(spark, sf_dir):
     return evaluate.positives_above(_judged(spark, sf_dir))
 
 
+@query
+def ranked_documents(spark, sf_dir):
+    return evaluate.rank_by_score(_judged(spark, sf_dir, 1).select("doc_id", "score"))
+
+
 # --- entities --------------------------------------------------------------------
 
 
@@ -323,6 +329,13 @@ def span_prf_pooled(spark, sf_dir):
     return rounded(scores, "precision", "recall", "fscore")
 
 
+@query
+def tagger_history(spark, sf_dir):
+    docs, spans = _gold_spans(spark, sf_dir)
+    history = span_scores.tagger_history(docs, spans, docs, spans, SUPPORTS, ["doc_id"])
+    return rounded(history, "value")
+
+
 # --- gene lookup -----------------------------------------------------------------
 
 

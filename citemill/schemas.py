@@ -50,8 +50,8 @@ def strings(*names: str) -> list[T.StructField]:
 ARTICLE = T.StructType(
     strings(
         "title", "issue", "pages", "abstract", "journal", "authors", "pubdate", "pmid",
-        "mesh_terms", "publication_types", "chemical_list", "keywords", "doi",
-        "medline_ta", "nlm_unique_id", "issn_linking", "country",
+        "mesh_terms", "publication_types", "chemical_list", "keywords", "doi", "references",
+        "affiliations", "pmc", "other_id", "medline_ta", "nlm_unique_id", "issn_linking", "country",
     )
     + [T.StructField("delete", T.BooleanType())]
     + strings("file_path", "file_name", "file_no")

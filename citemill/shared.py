@@ -14,8 +14,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its measured size is at most this many bytes.
+# A side is broadcast only when its measured size is at most this many bytes; a
+# session may set another limit.
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_SETTING = "spark.citemill.broadcastBytes"
 # Number of slices a possibly hot key is spread over when a side is too big.
 SALTS = 16
 
@@ -64,14 +66,16 @@ def row_bytes(df: DataFrame):
     return total
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Measure ``df`` and say whether every executor can hold a copy.
 
     A session that switched broadcasts off keeps them off.
     """
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    if threshold.strip().startswith("-"):
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().startswith("-"):
         return False
+    if max_bytes is None:
+        max_bytes = int(conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     size = df.agg(F.sum(row_bytes(df).cast("bigint")).alias("b")).first()["b"]
     return (size or 0) <= max_bytes
 
@@ -82,7 +86,7 @@ def lookup_join(
     on: list[str],
     how: str,
     spread_by: list[str],
-    max_bytes: int = BROADCAST_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup table whose keys are unique.
 

@@ -32,14 +32,20 @@ RECORD = f"""
             ArticleTitle: STRING,
             Pagination: STRUCT<MedlinePgn: STRING>,
             Abstract: STRUCT<AbstractText: ARRAY<STRING>>,
-            AuthorList: STRUCT<Author: ARRAY<STRUCT<LastName: STRING, ForeName: STRING>>>,
+            AuthorList: STRUCT<Author: ARRAY<STRUCT<
+                LastName: STRING, ForeName: STRING,
+                AffiliationInfo: ARRAY<STRUCT<Affiliation: STRING>>>>>,
             PublicationTypeList: STRUCT<PublicationType: ARRAY<STRING>>>,
         MedlineJournalInfo: STRUCT<
             Country: STRING, MedlineTA: STRING, NlmUniqueID: STRING, ISSNLinking: STRING>,
         ChemicalList: STRUCT<Chemical: ARRAY<STRUCT<NameOfSubstance: STRING>>>,
         MeshHeadingList: STRUCT<MeshHeading: ARRAY<STRUCT<DescriptorName: STRING>>>,
-        KeywordList: STRUCT<Keyword: ARRAY<STRING>>>,
-    PubmedData STRUCT<ArticleIdList: STRUCT<ArticleId: ARRAY<STRUCT<_IdType: STRING, _VALUE: STRING>>>>,
+        KeywordList: STRUCT<Keyword: ARRAY<STRING>>,
+        OtherID: ARRAY<STRING>>,
+    PubmedData STRUCT<
+        ArticleIdList: STRUCT<ArticleId: ARRAY<STRUCT<_IdType: STRING, _VALUE: STRING>>>,
+        ReferenceList: STRUCT<Reference: ARRAY<STRUCT<ArticleIdList: STRUCT<
+            ArticleId: ARRAY<STRUCT<_IdType: STRING, _VALUE: STRING>>>>>>>,
     {CORRUPT} STRING
 """
 
@@ -83,8 +89,26 @@ def flatten(records: DataFrame) -> DataFrame:
     issue, info = journal["JournalIssue"], citation["MedlineJournalInfo"]
     date = issue["PubDate"]
     volume = F.concat_ws("", issue["Volume"], F.concat(F.lit("("), issue["Issue"], F.lit(")")))
-    dois = F.filter(
-        F.col("PubmedData")["ArticleIdList"]["ArticleId"], lambda x: x["_IdType"] == "doi"
+    pubmed, authors = F.col("PubmedData"), article["AuthorList"]["Author"]
+
+    def ids(found: Column, kind: str) -> Column:
+        chosen = F.filter(found, lambda x: x["_IdType"] == kind)
+        return F.transform(chosen, lambda x: x["_VALUE"])
+
+    own = pubmed["ArticleIdList"]["ArticleId"]
+    cited = F.flatten(
+        F.transform(
+            pubmed["ReferenceList"]["Reference"],
+            lambda r: F.coalesce(
+                ids(r["ArticleIdList"]["ArticleId"], "pubmed"), F.array().cast("array<string>")
+            ),
+        )
+    )
+    places = F.flatten(
+        F.transform(
+            F.filter(authors, lambda a: a["AffiliationInfo"].isNotNull()),
+            lambda a: F.transform(a["AffiliationInfo"], lambda i: i["Affiliation"]),
+        )
     )
     columns = {
         "title": plain(article["ArticleTitle"]),
@@ -93,10 +117,7 @@ def flatten(records: DataFrame) -> DataFrame:
         "abstract": plain(F.array_join(article["Abstract"]["AbstractText"], "\n")),
         "journal": journal["Title"],
         "authors": listed(
-            F.transform(
-                article["AuthorList"]["Author"],
-                lambda a: F.concat_ws(" ", a["LastName"], a["ForeName"]),
-            )
+            F.transform(authors, lambda a: F.concat_ws(" ", a["LastName"], a["ForeName"]))
         ),
         "pubdate": F.coalesce(date["Year"], date["MedlineDate"]),
         "pmid": citation["PMID"],
@@ -108,7 +129,11 @@ def flatten(records: DataFrame) -> DataFrame:
             F.transform(citation["ChemicalList"]["Chemical"], lambda c: c["NameOfSubstance"])
         ),
         "keywords": listed(citation["KeywordList"]["Keyword"]),
-        "doi": F.get(dois, 0)["_VALUE"],
+        "doi": F.get(ids(own, "doi"), 0),
+        "references": listed(cited),
+        "affiliations": listed(places),
+        "pmc": F.get(ids(own, "pmc"), 0),
+        "other_id": listed(citation["OtherID"]),
         "medline_ta": info["MedlineTA"],
         "nlm_unique_id": info["NlmUniqueID"],
         "issn_linking": info["ISSNLinking"],
@@ -186,11 +211,46 @@ def reject_files(articles: DataFrame, manifest: DataFrame) -> DataFrame:
     return lookup_join(articles, bad, ["file_path"], "left_anti", ["row_idx"]).drop(CORRUPT)
 
 
-def read_articles(spark: SparkSession, path: str) -> DataFrame:
+def deleted_citations(spark: SparkSession, path: str) -> DataFrame:
+    """Withdrawn articles: rows with a pmid and ``delete`` set, nothing else.
+
+    Only update files list any, and it takes a pass over the files.
+    """
+    rows = (
+        spark.read.format("xml")
+        .schema(f"PMID ARRAY<STRING>, {CORRUPT} STRING")
+        .option("rowTag", "DeleteCitation")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("ignoreCorruptFiles", "true")
+        .load(path)
+        .select(
+            F.explode("PMID").alias("pmid"),
+            F.lit(True).alias("delete"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("file_name"),
+            file_number(F.col("_metadata.file_name")).alias("file_no"),
+            # Behind the articles of the same file.
+            (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("row_idx"),
+        )
+    )
+    columns = [
+        F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in ARTICLE.fields
+    ]
+    return rows.select(*columns, F.lit(False).alias(CORRUPT))
+
+
+def read_articles(
+    spark: SparkSession, path: str, include_deleted: bool = False
+) -> DataFrame:
     """All articles of the intact XML files below ``path``.
 
     The XML is parsed once into a stored table; rejecting files afterwards only
     looks at its narrow columns.
     """
-    parsed = materialise(flatten(scan_xml(spark.read, path)), "parsed")
-    return reject_files(parsed, check_files(list_files(spark, path)))
+    records = flatten(scan_xml(spark.read, path))
+    if include_deleted:
+        records = records.unionByName(deleted_citations(spark, path))
+    return reject_files(
+        materialise(records, "parsed"), check_files(list_files(spark, path))
+    )

@@ -97,3 +97,14 @@ def test_one_equal_pair(spark):
 def test_area_of_one_class_is_null(spark):
     data = [(1, 0.4, {POSITIVE: 1.0, NEGATIVE: 0.0})]
     assert evaluate.rank_auc(spark.createDataFrame(data, SCHEMA), 0.5).first()["auc"] is None
+
+
+@pytest.mark.parametrize("bucket", [3, 1000])
+def test_rank_puts_later_rows_first_among_ties(spark, monkeypatch, bucket):
+    monkeypatch.setattr(evaluate, "BUCKET_SCORES", bucket)
+    monkeypatch.setattr("citemill.operators.numbering.BLOCK_ROWS", 4)
+    data = [(i, s) for i, s, _ in sample(60, ties=True)]
+    ranked = evaluate.rank_by_score(spark.createDataFrame(data, "doc_id long, score double"))
+    got = [r["doc_id"] for r in ranked.orderBy("rank").collect()]
+    assert got == [i for i, _ in sorted(data, key=lambda r: r[1])][::-1]
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 61))

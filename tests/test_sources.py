@@ -20,11 +20,15 @@ def citation(pmid, title="A title", abstract=("Some text.",), extra=""):
       <Article><Journal><JournalIssue><Volume>7</Volume><Issue>2</Issue>
       <PubDate><Year>1999</Year></PubDate></JournalIssue><Title>J Test</Title></Journal>
       <ArticleTitle>{title}</ArticleTitle><Pagination><MedlinePgn>1-9</MedlinePgn></Pagination>{body}
-      <AuthorList><Author><LastName>Doe</LastName><ForeName>Jo</ForeName></Author>
+      <AuthorList><Author><LastName>Doe</LastName><ForeName>Jo</ForeName>
+      <AffiliationInfo><Affiliation>Here</Affiliation></AffiliationInfo></Author>
       <Author><LastName>Roe</LastName></Author></AuthorList></Article>{extra}
       <MeshHeadingList><MeshHeading><DescriptorName UI="D1">Mice</DescriptorName></MeshHeading></MeshHeadingList>
       </MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType="pubmed">{pmid}</ArticleId>
-      <ArticleId IdType="doi">10.1/{pmid}</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"""
+      <ArticleId IdType="doi">10.1/{pmid}</ArticleId><ArticleId IdType="pmc">PMC{pmid}</ArticleId></ArticleIdList>
+      <ReferenceList><Reference><Citation>X</Citation><ArticleIdList><ArticleId IdType="pubmed">77</ArticleId>
+      </ArticleIdList></Reference><Reference><Citation>Y</Citation></Reference></ReferenceList>
+      </PubmedData></PubmedArticle>"""
 
 
 def document(*citations):
@@ -36,7 +40,7 @@ def xml_dir(tmp_path):
     folder = tmp_path / "xml"
     folder.mkdir()
     good = document(
-        citation(1, "On <i>E. coli</i> p &lt; 0.05 and x &gt; 3", ("One <sup>18</sup>F.", "Two &amp; three.")),
+        citation(1, "On <i>E. coli</i> p &lt; 0.05 and x &gt; 3", ("One <sup>18</sup>F.", "Two &amp; three."), "<OtherID Source='S'>N1</OtherID>"),
         citation(2, abstract=()),
     )
     (folder / "pubmed23n0001.xml.gz").write_bytes(gzip.compress(good))
@@ -60,6 +64,7 @@ def test_reads_intact_files_only(spark, xml_dir):
     assert first["abstract"] == "One 18F.\nTwo & three."
     assert (first["journal"], first["issue"], first["pages"], first["pubdate"]) == ("J Test", "7(2)", "1-9", "1999")
     assert (first["authors"], first["mesh_terms"], first["doi"]) == ("Doe Jo; Roe", "Mice", "10.1/1")
+    assert (first["references"], first["affiliations"], first["pmc"], first["other_id"]) == ("77", "Here", "PMC1", "N1")
     assert (first["file_no"], first["file_name"]) == ("0001", "pubmed23n0001.xml.gz")
     assert got["2"]["abstract"] is None and got["501"]["file_no"] == "0005"
     assert first["row_idx"] < got["2"]["row_idx"]
@@ -72,6 +77,15 @@ def test_manifest(spark, xml_dir):
     }
 
 
+def test_deleted_citations(spark, tmp_path):
+    data = document(citation(1), "<DeleteCitation><PMID Version='1'>8</PMID><PMID Version='1'>9</PMID></DeleteCitation>")
+    (tmp_path / "pubmed23n0001.xml.gz").write_bytes(gzip.compress(data))
+    got = article_xml.read_articles(spark, str(tmp_path), include_deleted=True)
+    assert rows(got.select("pmid", "delete", "abstract")) == [
+        ("1", False, "Some text."), ("8", True, None), ("9", True, None)
+    ]
+
+
 def test_missing_folder_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         article_xml.read_articles(spark, str(tmp_path / "nowhere"))

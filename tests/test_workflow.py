@@ -172,3 +172,22 @@ def test_model_round_trip(spark, tmp_path):
     back = classify.NaiveBayesModel.load(spark, str(tmp_path / "m"))
     assert back.prior == model.prior and rows(back.weights) == rows(model.weights)
     assert naive_bayes_scorer(back)
+
+
+@pytest.mark.parametrize("limit", [0, 200, 1000])
+def test_scores_do_not_depend_on_model_size(spark, limit):
+    """With less room for the broadcast part, rare tokens take the second way."""
+    texts = [(i, " ".join(f"w{(i * j) % 37}" for j in range(30)) + " the the", {POSITIVE: float(i % 2)}) for i in range(40)]
+    examples = spark.createDataFrame(texts, "doc_id int, text string, cats map<string,double>")
+    model = classify.train_naive_bayes(examples)
+    docs = spark.createDataFrame(
+        [(i, t) for i, t, _ in texts] + [(90, "unseen"), (91, ""), (92, None), (93, "the w1 unseen")], "doc_id int, abstract string"
+    )
+    whole = rows(classify.score_naive_bayes(docs, model, ["doc_id"]))
+    spark.conf.set("spark.citemill.broadcastBytes", str(limit))
+    try:
+        common, least = classify.common_tokens(model.weights)
+        assert least > 0 and common.count() < model.weights.count()
+        assert rows(classify.score_naive_bayes(docs, model, ["doc_id"])) == whole
+    finally:
+        spark.conf.unset("spark.citemill.broadcastBytes")
