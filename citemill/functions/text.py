@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,42 +69,62 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def in_blocks(values: Column, block: int) -> Column:
-    """Cut an array into an array of arrays of at most ``block`` elements."""
-    last = F.floor((F.size(values) - 1) / block).cast("int")
-    parts = F.transform(
-        F.sequence(F.lit(0), last), lambda b: F.slice(values, b * block + 1, block)
-    )
-    return F.when(F.size(values) > 0, parts).otherwise(F.slice(F.array(values), 1, 0))
+def in_blocks(values: Column, block: int = 16) -> Column:
+    """Cut an array without nulls into an array of arrays of ``block`` elements.
+
+    Elements are fetched one by one; ``slice`` would copy the whole array for
+    every block.
+    """
+    def part(b: Column) -> Column:
+        return F.array_compact(F.array(*[F.get(values, b * block + k) for k in range(block)]))
 
+    last = F.floor(F.size(values) / block).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), part)
 
-def prefix_sums(numbers: Column, block: int = 32) -> Column:
+
+def prefix_sums(numbers: Column, levels: int = 3) -> Column:
     """Sum of all earlier elements, for every element of an integer array.
 
-    Built block by block so that the cost stays linear in the array length.
+    Eight neighbours at a time are added up into a shorter array whose prefix
+    sums come first; an element then adds at most seven of its own block. The
+    last, shortest level is a plain running sum.
     """
-    def running(values: Column, add, keep, kind: str) -> Column:
-        start = F.struct(F.lit(0).alias("sum"), F.array().cast(kind).alias("seen"))
-        return F.aggregate(
-            values,
-            start,
-            lambda acc, x: F.struct(
-                (acc["sum"] + add(x)).alias("sum"),
-                F.concat(acc["seen"], F.array(keep(acc, x))).alias("seen"),
-            ),
-        )
+    if levels == 0:
+        return running_sums(numbers)
+
+    def spread(values: Column, before: Column) -> Column:
+        def earlier(_: Column, i: Column) -> Column:
+            found, past = F.get(before, F.shiftright(i, 3)), i.bitwiseAND(7)
+            for k in range(1, 8):
+                found = found + F.when(past >= k, F.get(values, i - k)).otherwise(0)
+            return found
+
+        return F.transform(values, earlier)
 
     def body(values: Column) -> Column:
-        inner = F.transform(
-            in_blocks(values, block),
-            lambda b: running(b, lambda x: x, lambda acc, x: acc["sum"], "array<int>"),
-        )
-        outer = running(
-            inner,
-            lambda x: x["sum"],
-            lambda acc, x: F.transform(x["seen"], lambda v: v + acc["sum"]),
-            "array<array<int>>",
-        )
-        return F.flatten(outer["seen"])
+        sums = eights(F.size(values), lambda i: F.get(values, i))
+        return let(prefix_sums(sums, levels - 1), lambda before: spread(values, before))
 
     return let(numbers, body)
+
+
+def eights(size: Column, value) -> Column:
+    """Sums of ``value(i)`` over eight neighbouring indexes each."""
+    def total(block: Column) -> Column:
+        terms = [F.coalesce(value(F.shiftleft(block, 3) + k), F.lit(0)) for k in range(8)]
+        return reduce(lambda a, b: a + b, terms)
+
+    return F.transform(F.sequence(F.lit(0), F.shiftright(size, 3)), total)
+
+
+def running_sums(numbers: Column) -> Column:
+    """The same by one pass that appends to its result; for short arrays."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("seen"))
+    return F.aggregate(
+        numbers,
+        start,
+        lambda acc, x: F.struct(
+            (acc["sum"] + x).alias("sum"),
+            F.concat(acc["seen"], F.array(acc["sum"])).alias("seen"),
+        ),
+    )["seen"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citemill.functions.text import none_to_null
 from citemill.operators.gates import slot_labels_only
-from citemill.operators.tagger import Dictionary, tag_arrays
+from citemill.operators.tagger import Dictionary, tag
 from citemill.schemas import ANNOTATED_COLUMNS, ARTICLE_COLUMNS, SLOTS
 
 
@@ -22,10 +22,10 @@ def pivot_last(spans: DataFrame, keys: list[str], labels: list[str] | None = Non
     )
 
 
-def last_surface(spans: Column, field: str, label: str) -> Column:
-    """The same choice inside a document's span array."""
-    chosen = F.filter(spans, lambda s: (s["field"] == field) & (s["label"] == label))
-    return F.try_element_at(chosen, F.lit(-1))["surface"]
+def last_surface(field: str, label: str) -> Column:
+    """The same choice for one field and label, as an aggregate."""
+    mine = (F.col("field") == field) & (F.col("label") == label)
+    return F.max_by(F.when(mine, F.col("surface")), F.when(mine, F.col("start")))
 
 
 def annotate(
@@ -37,15 +37,13 @@ def annotate(
     ``strict_compat=True`` fills the abstract's cell-line slot from the title,
     as older annotated tables have it.
     """
-    spans = tag_arrays(articles.select(key, "abstract", "title"), dictionary, [key],
-                       ["abstract", "title"])
+    texts = articles.select(key, "abstract", "title")
+    spans = slot_labels_only(tag(texts, dictionary, [key], ["abstract", "title"]))
     slots = []
     for field in ("abstract", "title"):
         for label, slot in SLOTS.items():
             source = "title" if strict_compat and label == "CELL_LINE" else field
-            slots.append(
-                none_to_null(last_surface(F.col("spans"), source, label)).alias(f"{slot}_{field}")
-            )
+            slots.append(none_to_null(last_surface(source, label)).alias(f"{slot}_{field}"))
     columns = articles.select(key, *[none_to_null(F.col(c)).alias(c) for c in ARTICLE_COLUMNS])
-    wide = columns.join(spans.select(key, *slots), key, "left")
+    wide = columns.join(spans.groupBy(key).agg(*slots), key, "left")
     return wide.select(key, *ANNOTATED_COLUMNS[1:])

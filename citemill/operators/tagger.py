@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citemill.functions.text import (
     REMOVED_PUNCTUATION,
     WORD_SPACES,
+    eights,
     in_blocks,
     let,
     prefix_sums,
@@ -52,62 +53,66 @@ class Dictionary:
 WORD = f"([^{WORD_SPACES}]+[{WORD_SPACES}]*)"
 
 
-def words(text: Column) -> Column:
-    """Array of (at, piece, norm) for the words of raw text.
-
-    ``piece`` is a word with the spaces behind it, so the pieces put together
-    give the text again; ``at`` is its offset. ``norm`` is the word as the
-    dictionary spells it: lower case, without the removed punctuation.
-    """
-    pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
-    lead = F.length(text) - F.length(F.ltrim(text, F.lit(WORD_SPACES)))
-
-    def word(piece: Column, offset: Column, before: Column) -> Column:
-        return F.struct(
-            (before + offset).alias("at"), piece.alias("piece"), word_norm(piece).alias("norm")
-        )
-
-    def place(found: Column) -> Column:
-        offsets = prefix_sums(F.transform(found, F.length))
-        return let(lead, lambda before: F.zip_with(found, offsets, lambda p, o: word(p, o, before)))
-
-    return let(pieces, place)
-
-
 def word_norm(piece: Column) -> Column:
+    """A word as the dictionary spells it: lower case, no removed punctuation."""
     return F.translate(F.lower(piece), WORD_SPACES + REMOVED_PUNCTUATION, "")
 
 
-def candidate_terms(found: Column, lengths: dict[int, tuple[int, int]]) -> Column:
-    """Runs of words that may be terms: (at, term, raw).
+def candidate_terms(text: Column, lengths: dict[int, tuple[int, int]]) -> Column:
+    """Runs of words of raw text that may be dictionary terms: (at, term, raw).
 
     A run qualifies when the dictionary has terms of as many words, and its
     number of characters lies between those of the shortest and longest one.
+    ``raw`` is the run as written, with the spaces behind it, and ``at`` its
+    offset: the spaces the text begins with, the earlier blocks of eight words,
+    and the earlier words of its own block.
     """
-    def runs(n: int, lo: int, hi: int) -> Column:
-        def run(i: Column) -> Column:
-            part = [F.get(found, i + k) for k in range(n)]
-            return F.struct(
-                part[0]["at"].alias("at"),
-                F.concat_ws(" ", *[w["norm"] for w in part]).alias("term"),
-                F.concat(*[w["piece"] for w in part]).alias("raw"),
-            )
-
-        if n == 1:
-            every = F.transform(
-                found,
-                lambda w: F.struct(
-                    w["at"].alias("at"), w["norm"].alias("term"), w["piece"].alias("raw")
-                ),
-            )
-        else:
-            starts = F.filter(
-                F.sequence(F.lit(0), F.size(found)), lambda i: i <= F.size(found) - n
-            )
-            every = F.transform(starts, run)
-        return F.filter(every, lambda c: F.length(c["term"]).between(lo, hi))
-
-    return F.concat(*[runs(n, lo, hi) for n, (lo, hi) in sorted(lengths.items())])
+    lead = F.length(text) - F.length(F.ltrim(text, F.lit(WORD_SPACES)))
+    # A word with the spaces behind it; the pieces put together give the text.
+    pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
+
+    def runs(n: int, piece: Column, norm: Column, at) -> Column:
+        lo, hi = lengths[n]
+
+        def qualifies(i: Column) -> Column:
+            size = F.length(F.get(norm, i))
+            for k in range(1, n):
+                size = size + 1 + F.length(F.get(norm, i + k))
+            return size.between(lo, hi)  # null, so false, when the run goes past the end
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(norm)), qualifies)
+        return F.transform(
+            starts,
+            lambda i: F.struct(
+                at(i).alias("at"),
+                F.concat_ws(" ", *[F.get(norm, i + k) for k in range(n)]).alias("term"),
+                F.concat(*[F.get(piece, i + k) for k in range(n)]).alias("raw"),
+            ),
+        )
+
+    def every(piece: Column, norm: Column, before: Column) -> Column:
+        def at(i: Column) -> Column:
+            offset, past = F.get(before, F.shiftright(i, 3)), i.bitwiseAND(7)
+            for k in range(1, 8):
+                offset = offset + F.when(past >= k, F.length(F.get(piece, i - k))).otherwise(0)
+            return offset
+
+        return F.concat(*[runs(n, piece, norm, at) for n in sorted(lengths)])
+
+    def offsets(piece: Column, start: Column) -> Column:
+        sizes = eights(F.size(piece), lambda i: F.length(F.get(piece, i)))
+        return F.transform(prefix_sums(sizes), lambda v: v + start)
+
+    return let(
+        pieces,
+        lambda piece: let(
+            F.transform(piece, word_norm),
+            lambda norm: let(
+                let(lead, lambda start: offsets(piece, start)),
+                lambda before: every(piece, norm, before),
+            ),
+        ),
+    )
 
 
 def matches(
@@ -133,7 +138,7 @@ def matches(
     # no text is carried along with them. The outer form spares them the filter
     # on the array's size that the optimiser derives from a plain one: it would
     # compute the candidates again below.
-    found = let(words(F.col("t.text")), lambda w: candidate_terms(w, dictionary.lengths))
+    found = candidate_terms(F.col("t.text"), dictionary.lengths)
     flat = (
         docs.select(*keys, texts.alias("t"))
         .select(*keys, F.col("t.field").alias("field"), found.alias("found"))
@@ -185,26 +190,25 @@ def leftmost_longest(candidates: Column) -> Column:
             ),
         ).otherwise(acc)
 
-    def resolve(spans: Column) -> Column:
-        none = F.slice(spans, 1, 0)
+    def resolve(spans: Column, none: Column) -> Column:
+        def state(before: Column) -> Column:
+            return F.struct(before["field"].alias("field"), before["end"].alias("end"),
+                            none.alias("kept"))
+
+        def take_block(done: Column, part: Column) -> Column:
+            block = F.aggregate(part, state(F.element_at(done, -1)), take)
+            return F.concat(done, F.array(block))
 
-        def take_block(acc: Column, part: Column) -> Column:
-            start = F.struct(acc["field"].alias("field"), acc["end"].alias("end"),
-                             none.alias("kept"))
-            return let(
-                F.aggregate(part, start, take),
-                lambda r: F.struct(
-                    r["field"].alias("field"), r["end"].alias("end"),
-                    F.concat(acc["kept"], F.array(r["kept"])).alias("kept"),
-                ),
-            )
+        begin = F.struct(F.lit("").alias("field"), F.lit(0).alias("end"), none.alias("kept"))
+        blocks = F.aggregate(in_blocks(spans), F.array(begin), take_block)
+        return F.flatten(F.transform(blocks, lambda b: b["kept"]))
 
-        begin = F.struct(F.lit("").alias("field"), F.lit(0).alias("end"),
-                         F.slice(F.array(none), 1, 0).alias("kept"))
-        return F.flatten(F.aggregate(in_blocks(spans, 128), begin, take_block)["kept"])
+    def resolved(spans: Column) -> Column:
+        # An empty array of the right type, made once.
+        return let(F.slice(spans, 1, 0), lambda none: resolve(spans, none))
 
     return F.transform(
-        let(ordered, resolve),
+        let(ordered, resolved),
         lambda s: F.struct(
             s["field"].alias("field"), s["start"].alias("start"), end(s).alias("end"),
             s["label"].alias("label"), s["surface"].alias("surface"),
@@ -212,26 +216,31 @@ def leftmost_longest(candidates: Column) -> Column:
     )
 
 
-def tag_arrays(
+def tag(
     docs: DataFrame, dictionary: Dictionary, keys: list[str], fields: list[str]
 ) -> DataFrame:
-    """``keys`` and ``spans``: the non-overlapping entities of each document.
+    """One row per entity: ``keys``, field, start, end, label, surface.
 
-    The one group is a document, which is a single row to begin with. A table
-    bucketed by ``keys`` needs no shuffle here.
+    Matches are sorted inside their document and cut into clusters wherever one
+    begins behind the end of all earlier ones. Overlaps lie inside a cluster,
+    which is a handful of rows, and are settled there. A table bucketed by
+    ``keys`` needs no shuffle for any of this.
     """
-    hits = matches(docs, dictionary, keys, fields)
-    grouped = hits.groupBy(*keys).agg(
-        F.collect_list(F.struct("field", "start", "end", "label", "surface")).alias("hits")
+    text = [*keys, "field"]
+    ordered = Window.partitionBy(*text).orderBy("start", F.desc("end"), "label", "surface")
+    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opens = F.coalesce(F.col("start") >= F.col("reached"), F.lit(True)).cast("int")
+    clusters = (
+        matches(docs, dictionary, keys, fields)
+        .withColumn("reached", reached)
+        .withColumn("cluster", F.sum(opens).over(so_far))
+        .groupBy(*text, "cluster")
+        .agg(F.collect_list(F.struct("field", "start", "end", "label", "surface")).alias("hits"))
+    )
+    return clusters.select(*keys, leftmost_longest(F.col("hits")).alias("spans")).select(
+        *keys, F.inline_outer("spans")
     )
-    return grouped.select(*keys, leftmost_longest(F.col("hits")).alias("spans"))
-
-
-def tag(
-    docs: DataFrame, dictionary: Dictionary, keys: list[str], fields: list[str]
-) -> DataFrame:
-    """One row per entity: ``keys``, field, start, end, label, surface."""
-    return tag_arrays(docs, dictionary, keys, fields).select(*keys, F.inline_outer("spans"))
 
 
 def normalise_surface(surface: Column) -> Column:

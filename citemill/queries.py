@@ -360,7 +360,7 @@ def gene_lookup_strict(spark, sf_dir):
 @query
 def xml_roundtrip(spark, sf_dir):
     landed, parsed = new_path(spark, "landed"), new_path(spark, "articles")
-    corpus.land_xml(corpus.articles(spark, sf_dir), landed)
+    corpus.land_xml(corpus.as_articles(corpus.documents(spark, sf_dir)), landed)
     article_xml.read_articles(spark, landed).write.parquet(parsed)
     back = article_parquet.read_article_parquet(spark, parsed)
     return back.select("pmid", "title", "abstract", "journal")
@@ -369,7 +369,7 @@ def xml_roundtrip(spark, sf_dir):
 @query
 def reject_corrupt_files(spark, sf_dir):
     landed = new_path(spark, "landed")
-    corpus.land_xml(corpus.articles(spark, sf_dir), landed)
+    corpus.land_xml(corpus.as_articles(corpus.documents(spark, sf_dir)), landed)
     files = article_xml.list_files(spark, landed)
     cut = F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
     damaged = F.when(F.col("file_path").contains("journal=src3/"), cut).otherwise(F.col("content"))
