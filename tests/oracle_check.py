@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+        return "nan" if math.isnan(value) else value
     if hasattr(value, "isoformat"):
         return value.isoformat()
     if type(value).__name__ == "Decimal":

@@ -75,7 +75,7 @@ def test_random_and_long_texts(spark, dictionary):
     words = ["18F", "FDG", "pet", "scan", "HeLa,", "x", "(p53)", "...", "é"]
     spaces = [" ", "  ", "\n", "\t ", "\r\n"]
     texts = [
-        "".join(rnd.choice(words) + rnd.choice(spaces) for _ in range(n)) for n in [*range(60), 4000]
+        "".join(rnd.choice(words) + rnd.choice(spaces) for _ in range(n)) for n in [*range(60), 40000]
     ]
     assert tag(spark, dictionary, texts) == {i: brute(t) for i, t in enumerate(texts)}
 
