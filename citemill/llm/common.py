@@ -149,3 +149,11 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     np.add.at(change, starts, 1)
     np.add.at(change, starts + length, -1)
     return np.cumsum(change)[:n] > 0
+
+
+def join_rows(left: DataFrame, right: DataFrame, how: str = "inner", small: bool = False) -> DataFrame:
+    """Join on ``id`` (null equals null) and ``key``; the right side's pair is dropped."""
+    other = right.withColumnsRenamed({"id": "_right_id", "key": "_right_key"})
+    same = F.col("id").eqNullSafe(F.col("_right_id")) & (F.col("key") == F.col("_right_key"))
+    out = left.join(F.broadcast(other) if small else other, same, how)
+    return out if how in ("left_semi", "left_anti") else out.drop("_right_id", "_right_key")

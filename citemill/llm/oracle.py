@@ -28,3 +28,29 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+ORACLE_SQL["op5_count_rtree"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(len(w), 3) - 1], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+-- Copies meet through their first document, so a common shingle makes few pairs.
+whole AS (SELECT doc_id, md5(string_agg(g, '|' ORDER BY g)) AS h FROM s GROUP BY 1),
+rep AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS r FROM whole),
+u AS (SELECT s.doc_id, g, n FROM s JOIN rep ON rep.doc_id = s.doc_id AND rep.r = rep.doc_id JOIN n ON n.doc_id = s.doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs WHERE 100 * c >= 90 * (nx + ny - c)
+  UNION SELECT doc_id, r FROM rep WHERE doc_id <> r),
+e AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.other),
+comp AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""

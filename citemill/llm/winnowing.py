@@ -25,9 +25,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from citemill.llm.common import join_rows
 from citemill.shared import fits_broadcast, materialise
 
 WINDOW = 13
@@ -156,7 +156,7 @@ def extend(docs: DataFrame, found: DataFrame, items: DataFrame, lengths: list[in
         ).alias("w"),
     )
     listed = materialise(listed.select("item", "w.length", "w.hash").distinct(), "windows")
-    chosen = docs.join(small(found.select("id", "key").distinct()), (docs.id.eqNullSafe(found.id)) & (docs.key == found.key), "left_semi")
+    chosen = join_rows(docs, found.select("id", "key"), "left_semi", small=fits_broadcast(found))
     windows = chosen.dropDuplicates(["id", "key"]).select(
         "id",
         "key",
@@ -178,8 +178,7 @@ def extend(docs: DataFrame, found: DataFrame, items: DataFrame, lengths: list[in
         .groupBy("id", "key")
         .agg(F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
     )
-    same = n_hit.id.eqNullSafe(items_of.id) & (n_hit.key == items_of.key)
-    return n_hit.join(items_of, same).select(n_hit.id, n_hit.key, "n_hit", "items")
+    return join_rows(n_hit, items_of)
 
 
 def contamination(
@@ -198,16 +197,16 @@ def contamination(
     if not lengths:
         none = rows.groupBy("id", "key").agg(F.first(F.size(word_hashes(F.col("text")))).cast("long").alias("n_words"))
         none = none.withColumn("n_hit", F.lit(0).cast("long"))
-        none = none.withColumn("items", F.array().cast(T.ArrayType(T.StringType())))
+        none = none.withColumn("items", F.array().cast("array<string>"))
         return none.withColumn("contaminated", F.lit(False))
     seen = materialise(scan(rows, items, [n for n in lengths if n < WINDOW]), "scanned")
     hits = extend(rows, materialise(seen.filter("met"), "met"), items, lengths)
-    all_rows = seen.join(hits, seen.id.eqNullSafe(hits.id) & (seen.key == hits.key), "left").select(
-        seen.id,
-        seen.key,
+    all_rows = join_rows(seen, hits, "left").select(
+        "id",
+        "key",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-        F.coalesce("items", F.array().cast(T.ArrayType(T.StringType()))).alias("items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
     return all_rows.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
@@ -216,8 +215,8 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The contract's columns, one row per row of ``docs``."""
     found = contamination(docs, benchmark)
     rows = identified(docs, "doc_id", "text").select("id", "key")
-    return rows.join(found, rows.id.eqNullSafe(found.id) & (rows.key == found.key)).select(
-        rows.id.cast("long").alias("doc_id"),
+    return join_rows(rows, found).select(
+        F.col("id").cast("long").alias("doc_id"),
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),

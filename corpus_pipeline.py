@@ -1,4 +1,10 @@
-"""The operators of ``citemill.llm`` in a row over the documents."""
+"""Five operators of ``citemill.llm`` in a row over the documents.
+
+Quality rules, near duplicates, benchmark passages, personal data, packing. Each
+stage takes the documents its predecessor kept, written as a table, so a lost
+executor costs at most the tasks of one stage. All but the last return the
+columns of ``documents``; the last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +12,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citemill.llm import quality_bands, winnowing
+from citemill.llm import ngram_rtree, packing, pii, quality_bands, winnowing
 from citemill.llm.common import table
+from citemill.llm.queries import tokenizer_file
 from citemill.shared import materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the compression bands and counting rules keep."""
+    """Documents the counting rules and compression bands keep."""
     return quality_bands.keep(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates."""
+    return ngram_rtree.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
     return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked."""
+    return pii.redact(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences."""
+    return packing.pack(docs, tokenizer_file())
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
+    ("sequence_packing", sequence_packing),
 ]
 
 # Compression ratios, tokens and packing have no SQL; tests/llm holds brute-force versions.
@@ -34,8 +59,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage is written and read by the next."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialise(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import hashlib
+import re
+import time
+
+import pytest
+from llm.conftest import ODD, frame, got, texts_of
+
+from citemill.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def holds(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == "card":
+        total = 0
+        for i, d in enumerate(reversed(digits)):
+            d = int(d) * (1 + i % 2)
+            total += d - 9 * (d > 9)
+        return 14 <= len(digits) <= 19 and total % 10 == 0
+    return kind == "email" or 10 <= len(digits) <= 15
+
+
+def brute(text):
+    found = []
+    for order, (kind, pattern) in enumerate(PATTERNS.items()):
+        found += [(m.start(), order, m.end(), kind) for m in re.finditer(pattern, text or "") if holds(kind, m.group())]
+    joined = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+    counts = [sum(f[3] == k for f in found) for k in PATTERNS]
+    return (*counts, hashlib.sha256(joined.encode()).hexdigest())
+
+
+COLUMNS = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
+HARD = [
+    "a@b.c@d.e x@y z.@q.w.. @a.b %@-.-",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.004 1.2.3 9999999.1.1.1",
+    "4111 1111 1111 1111 4111-1111-1111-1112 41111111111111111111 4111 1111 1111 1111 7",
+    "+1 (826) 555-4081 +12 +1((((( +123456789012345 +1234567890123456 ++49 30 1234567-",
+    "GB82 WEST 1234 5698 7654 32 DE89370400440532013000 DE00370400440532013000",
+    "my ssn is 123-45-6789 and 123-45-6789 far away" + " filler" * 30 + " 987-65-4321",
+    "日本 me@x.org é+49 30 901820-1 tail",
+]
+
+
+def test_base_spans_match_brute_force(sample):
+    assert got(pii.digest(sample), *COLUMNS) == sorted(((i, *brute(t)) for i, t in texts_of(sample)), key=str)
+
+
+def test_odd_and_hard_rows(spark, odd):
+    assert got(pii.digest(odd), *COLUMNS) == sorted(((i, *brute(t)) for i, t in ODD), key=str)
+    hard = list(enumerate(HARD))
+    assert got(pii.digest(frame(spark, hard)), *COLUMNS) == sorted(((i, *brute(t)) for i, t in hard), key=str)
+
+
+def test_empty_table(nothing):
+    assert pii.digest(nothing).count() == 0
+    assert pii.redact(nothing).columns == nothing.columns
+
+
+def test_checksums_and_context_add_spans():
+    spans = pii.spans_of(HARD[4])
+    assert [HARD[4][a:b] for k, a, b, _ in spans if k == "iban"] == ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    ids = [s for s in pii.spans_of(HARD[5]) if s[0] == "national_id"]
+    assert [s[1] for s in ids] == [10, 26]  # the third has no telling word nearby
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000, "a@" * 100_000, "1." * 100_000, "+1" * 100_000, "1 " * 100_000])
+def test_long_runs_take_linear_time(text):
+    began = time.time()
+    pii.spans_of(text)
+    assert time.time() - began < 5
+
+
+def test_redact_masks_and_keeps_the_rest(spark):
+    rows = frame(spark, [(1, "call +1 (826) 555-4081 or me@x.org now"), (2, "clean"), (3, None)])
+    out = pii.redact(rows)
+    assert out.columns == rows.columns
+    masked = "call [PHONE] or [EMAIL] now"
+    assert got(out, "doc_id", "text", "n_chars") == [(1, masked, len(masked)), (2, "clean", 5), (3, None, None)]
