@@ -39,8 +39,8 @@ class Filter:
     """Keep the articles a document classifier calls positive.
 
     ``model`` is the folder of a saved naive Bayes model, or any scorer: a
-    function from (file_no, row_idx, pmid, abstract) rows to rows that also
-    have a ``score``.
+    function from (file, row_idx, pmid, abstract) rows to rows that also
+    have a ``score``. The file is known by its full path.
     """
 
     def __init__(self, spark: SparkSession, model: str | Scorer):
@@ -54,7 +54,8 @@ class Filter:
         inputs = article_parquet.read_article_parquet(self.spark, input_path)
         done = article_parquet.finished_files(self.spark, output_path)
         todo = article_parquet.remaining(inputs, done, ["row_idx"])
-        files = materialise(todo.select("file_no").distinct(), "new-files")
+        key = article_parquet.file_key(todo)
+        files = materialise(todo.select(key).distinct(), "new-files")
         if not files.isEmpty():
             kept = filter_articles(todo, self.scorer, max_lines)
             article_parquet.append_run(kept, files, output_path)
@@ -112,11 +113,13 @@ class Annotate:
         return tables.create_table(self.spark, output_name, T.StructType(fields), path, buckets)
 
     def annotate(self, output_name: str = "articles_ann", strict_compat: bool = False) -> bool:
-        """Annotate the rows whose id is not in the output table yet."""
-        rows = annotate(
-            self.spark.table(self.query_table), self.dictionary, "tab_id", strict_compat
+        """Annotate the rows whose id is not in the output table yet; only these are tagged."""
+        rows = self.spark.table(self.query_table)
+        if self.spark.catalog.tableExists(output_name):
+            rows = rows.join(self.spark.table(output_name).select("tab_id"), "tab_id", "left_anti")
+        return tables.insert_ignore(
+            annotate(rows, self.dictionary, "tab_id", strict_compat), output_name
         )
-        return tables.insert_ignore(rows, output_name)
 
 
 class Translate:

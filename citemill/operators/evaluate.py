@@ -1,7 +1,8 @@
 """Binary-classifier evaluation over (score, cats) rows.
 
 Every metric is one aggregation. Curves and areas work on tables that hold one
-row per threshold or per distinct score, never on pairs of samples.
+row per threshold or per distinct score, never on pairs of samples. A sample
+whose score is null or NaN has not been judged and counts nowhere.
 """
 
 from __future__ import annotations
@@ -12,15 +13,20 @@ from pyspark.sql import functions as F
 
 from citemill.functions.ratios import f_score, precision, recall, specificity
 from citemill.operators.gates import gold_present, pure_class
-from citemill.operators.numbering import number_rows, row_block
+from citemill.operators.numbering import number_by_range
 from citemill.operators.select import exact_sample
 from citemill.schemas import POSITIVE
-from citemill.shared import lookup_join, materialise
+from citemill.shared import materialise
 
 # Distinct scores one window task may walk through.
 BUCKET_SCORES = 1_000_000
 
 
+def judged(scored: DataFrame) -> DataFrame:
+    """The samples that have a score."""
+    return scored.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+
+
 def with_rates(counts: DataFrame) -> DataFrame:
     """Add the four rates to tp / fp / fn / tn columns."""
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
@@ -36,7 +42,7 @@ def confusion(scored: DataFrame, threshold: float = 0.5, label: str = POSITIVE)
     """One row: tp, fp, fn, tn and precision, recall, F, specificity."""
     said = F.col("score") >= threshold
     gold = F.element_at("cats", F.lit(label)) >= 0.5
-    counts = gold_present(scored, label).agg(
+    counts = gold_present(judged(scored), label).agg(
         F.count_if(said & gold).alias("tp"),
         F.count_if(said & ~gold).alias("fp"),
         F.count_if(~said & gold).alias("fn"),
@@ -62,7 +68,7 @@ def roc_curve(scored: DataFrame, delta: float = 0.01, label: str = POSITIVE) ->
     )
     gold = F.element_at("cats", F.lit(label)) >= 0.5
     bins = (
-        gold_present(scored, label)
+        gold_present(judged(scored), label)
         .groupBy(F.greatest(F.lit(-1), F.least(F.lit(steps), bin_)).cast("int").alias("bin"))
         .agg(F.count_if(gold).alias("p"), F.count_if(~gold).alias("n"))
     )
@@ -106,7 +112,7 @@ def positives_above(scored: DataFrame) -> DataFrame:
     approximate quantiles: where the cuts fall affects balance only, since the
     totals of higher buckets are added exactly.
     """
-    pure = scored.select("score", pure_class(F.col("cats")).alias("pos")).where(
+    pure = judged(scored).select("score", pure_class(F.col("cats")).alias("pos")).where(
         F.col("pos").isNotNull()
     )
     per_score = pure.groupBy("score").agg(
@@ -152,21 +158,16 @@ def running_total(per_score: DataFrame, column: str, name: str) -> DataFrame:
 
 def rank_by_score(scored: DataFrame, key: str = "doc_id") -> DataFrame:
     """Add ``rank`` = 1, 2, ... by descending score; of equal scores the row
-    with the higher ``key`` comes first.
+    with the higher ``key``, of any ordered type, comes first. Rows without a
+    score (null or NaN) come last.
 
-    The rank is the number of rows with a higher score plus the place among the
-    equal ones, which are numbered block by block: a score that many rows share
-    is not sorted by one task. ``scored`` is stored first, as it is read thrice.
+    Rows are cut into ranges of (score, key), so neither a score that many rows
+    share nor keys with large gaps bring more than a range to one task.
     """
-    stored = materialise(scored, "scored")
-    per_score = materialise(stored.groupBy("score").agg(F.count("*").alias("n")), "per-score")
-    above = running_total(per_score, "n", "_above").select("score", "_above")
-    placed = number_rows(
-        stored, ["score"], [-row_block(F.col(key))], [F.desc(key)], "_place"
-    )
-    return lookup_join(placed, above, ["score"], "inner", [key]).select(
-        *scored.columns, (F.col("_place") + F.col("_above")).alias("rank")
-    )
+    lowest = F.lit(float("-inf"))
+    by = F.coalesce(F.nanvl(F.col("score").cast("double"), lowest), lowest)
+    ranked = number_by_range(scored.withColumn("_by", by), [F.desc("_by"), F.desc_nulls_last(key)], "rank")
+    return ranked.select(*scored.columns, "rank")
 
 
 def rank_auc(scored: DataFrame, tie: float) -> DataFrame:

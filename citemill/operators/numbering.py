@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citemill.shared import materialise
+
 BLOCK_ROWS = 65536
 
 
@@ -54,3 +56,27 @@ def number_rows(
         .drop("_before", *keys)
     )
     return numbered if upto is None else numbered.where(F.col(name) <= upto)
+
+
+def number_by_range(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
+    """Add ``name`` = 1, 2, ... n over all rows in the given order, for columns of any type.
+
+    The rows are dealt out by ranges of the order, whose limits are found from a
+    sample, and stored; they are numbered inside their range, and the size of
+    all earlier ranges is added.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_range")
+        .agg(F.count("*").alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy("_range").orderBy(*order)
+    return (
+        ranged.join(F.broadcast(offsets), "_range")  # one row per range
+        .withColumn(name, (F.row_number().over(inside) + F.col("_before")).cast("bigint"))
+        .drop("_range", "_before")
+    )

@@ -9,7 +9,11 @@ from citemill.operators.numbering import number_rows, row_block
 
 
 def cap_per_file(
-    kept: DataFrame, max_lines: int = -1, exact_cap: bool = False, name: str = "file_rank"
+    kept: DataFrame,
+    max_lines: int = -1,
+    exact_cap: bool = False,
+    name: str = "file_rank",
+    file: str = "file_no",
 ) -> DataFrame:
     """First rows of every file, in row order.
 
@@ -20,18 +24,18 @@ def cap_per_file(
         return kept
     limit = max_lines if exact_cap else max_lines + 1
     return number_rows(
-        kept, ["file_no"], [row_block(F.col("row_idx"))], [F.col("row_idx")], name, limit
+        kept, [file], [row_block(F.col("row_idx"))], [F.col("row_idx")], name, limit
     )
 
 
-def last_wins(kept: DataFrame) -> DataFrame:
+def last_wins(kept: DataFrame, file: str = "file_no") -> DataFrame:
     """Which row of each (file, pmid) survives, and where it stands in its file.
 
     The latest row gives the values, the earliest one the position. Both are
     plain numbers, so the aggregation is combined before the shuffle and wide
     columns never travel.
     """
-    return kept.groupBy("file_no", "pmid").agg(
+    return kept.groupBy(file, "pmid").agg(
         F.max("row_idx").alias("row_idx"), F.min("row_idx").alias("first_idx")
     )
 

@@ -299,7 +299,7 @@ ORACLE_SQL: dict[str, str] = {
     "score_documents": with_ctes(*SCORED, "SELECT * FROM scored"),
     "score_gate": with_ctes(*SCORED, "SELECT * FROM scored WHERE score > 0.5"),
     "saved_model_scores": with_ctes(
-        ARTICLE, WEIGHTS, scores("s", "article", "pmid", "title"), "SELECT * FROM s"
+        ARTICLE, WEIGHTS, scores("s", "article", "pmid", "abstract"), "SELECT * FROM s"
     ),
     "cap_per_file": with_ctes(
         *SCORED,
@@ -438,10 +438,29 @@ ORACLE_SQL: dict[str, str] = {
   pmid, class_value, '' AS clean_abstract, '' AS clean_title FROM kept""",
     ),
     "insert_ignore_append": with_ctes(
-        ARTICLE,
-        """SELECT doc_id AS tab_id, title, pmid,
-  CASE WHEN l.doc_id IS NULL THEN 'second' ELSE 'first' END AS load
-  FROM article LEFT JOIN labels l USING (doc_id)""",
+        *TAGGED,
+        annotated(False),
+        """SELECT annotated.*, CASE WHEN l.doc_id IS NULL THEN 'second' ELSE 'first' END AS load
+  FROM annotated LEFT JOIN labels l ON l.doc_id = tab_id""",
+        recursive=True,
     ),
     "stream_new_files": with_ctes(*kept("article", None), "SELECT * FROM kept"),
+    "stream_new_files_capped": with_ctes(*kept("repeated", CAP), "SELECT * FROM kept"),
+    "equal_file_names": with_ctes(
+        *kept("article", None),
+        "SELECT doc_id, CAST(2022 + doc_id % 2 AS INTEGER) AS year, class_value FROM kept",
+    ),
+    "resume_over_years": with_ctes(*kept("article", None), "SELECT doc_id, class_value FROM kept"),
+    "ranked_by_text_key": with_ctes(
+        *TIED,
+        """SELECT CAST(doc_id AS VARCHAR) AS pmid, score,
+  row_number() OVER (ORDER BY score DESC, CAST(doc_id AS VARCHAR) DESC) AS rank FROM judged""",
+    ),
+    "unscored_samples": with_ctes(
+        *TIED,
+        "scored_ones AS (SELECT * FROM judged WHERE doc_id % 7 > 1)",
+        "area AS (" + pair_auc("1.0", "scored_ones") + ")",
+        "SELECT (SELECT count(*) FROM scored_ones) AS n, auc FROM area",
+    ),
+    "table_listing": "SELECT count(*) AS rows, CAST(1 AS BIGINT) AS tables FROM documents",
 }

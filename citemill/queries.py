@@ -16,7 +16,7 @@ from citemill.operators.annotate import annotate, pivot_last
 from citemill.plans.filter_corpus import filter_articles, naive_bayes_scorer
 from citemill.shared import materialise, new_path
 from citemill.sources import article_parquet, article_xml, keyed_json, labelled, tables
-from citemill.streaming.ingest import filter_new_files
+from citemill.streaming.ingest import filter_new_files, read_filtered
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,7 +124,7 @@ def saved_model_scores(spark, sf_dir):
     _model(spark, sf_dir).save(path)
     model = classify.NaiveBayesModel.load(spark, path)
     docs = corpus.articles(spark, sf_dir)
-    return classify.score_naive_bayes(docs, model, ["pmid"], "title")
+    return classify.score_naive_bayes(docs, model, ["pmid"])
 
 
 @query
@@ -137,7 +137,8 @@ def logistic_scores(spark, sf_dir):
 @query
 def training_history(spark, sf_dir):
     examples = corpus.examples(spark, sf_dir)
-    return evaluate.metric_history(examples, examples, [1, 5, 10], features=1 << 14)
+    test = F.col("doc_id") % 5 == 0
+    return evaluate.metric_history(examples.where(~test), examples.where(test), [1, 2, 3, 4, 5])
 
 
 # --- selection -------------------------------------------------------------------
@@ -370,12 +371,15 @@ def xml_roundtrip(spark, sf_dir):
 def reject_corrupt_files(spark, sf_dir):
     landed = new_path(spark, "landed")
     corpus.land_xml(corpus.as_articles(corpus.documents(spark, sf_dir)), landed)
-    files = article_xml.list_files(spark, landed)
-    cut = F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
-    damaged = F.when(F.col("file_path").contains("journal=src3/"), cut).otherwise(F.col("content"))
-    manifest = article_xml.check_files(files.withColumn("content", damaged))
-    parsed = materialise(article_xml.flatten(article_xml.scan_xml(spark.read, landed)), "parsed")
-    return article_xml.reject_files(parsed, manifest).select("pmid", "journal")
+    # The files of one journal are landed again without their end.
+    damaged = f"{new_path(spark, 'damaged')}/part.xml"
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{landed}/journal=src3")
+    unclosed = lines.where(~F.col("value").contains("</PubmedArticleSet>"))
+    unclosed.write.option("compression", "gzip").text(damaged)
+    good = [f"{landed}/journal={r['source']}" for r in
+            corpus.table(spark, sf_dir, "documents").select("source").distinct().collect()
+            if r["source"] != "src3"]
+    return article_xml.read_articles(spark, [*good, damaged], pattern="*.gz").select("pmid", "journal")
 
 
 @query
@@ -401,7 +405,14 @@ def keyed_json_source(spark, sf_dir):
     )
     keyed_json.write_keyed_json(docs, path)
     back = keyed_json.read_keyed_json(spark, path, docs.schema)
-    return back.select("pmid", "title", "abstract", "journal", "class_value")
+    # On through the load, which needs the rows' places.
+    columns = ["pmid", "title", "abstract", "journal", "class_value"]
+    schema = T.StructType([T.StructField("tab_id", T.LongType()),
+                           *[T.StructField(c, T.StringType()) for c in columns]])
+    name = _table_name("keyed")
+    tables.create_table(spark, name, schema, new_path(spark, "table"))
+    tables.fill_table(materialise(back, "keyed"), name)
+    return spark.table(name).select(*columns[:4], F.col("class_value").cast("double"))
 
 
 @query
@@ -451,14 +462,16 @@ def load_with_surrogate_id(spark, sf_dir):
 
 @query
 def insert_ignore_append(spark, sf_dir):
-    docs = _numbered_articles(spark, sf_dir).select("tab_id", "title", "pmid")
+    docs = annotate(_numbered_articles(spark, sf_dir), corpus.dictionary(spark, sf_dir))
+    docs = materialise(docs, "annotated")
     seen = corpus.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("tab_id"))
     name = _table_name("annotated")
     rows = docs.withColumn("load", F.lit("second"))
     tables.create_table(spark, name, rows.schema, new_path(spark, "table"), buckets=8)
     first = docs.join(seen, "tab_id", "left_semi").withColumn("load", F.lit("first"))
     tables.insert_ignore(first, name)
-    tables.insert_ignore(rows, name)
+    # Rows that are there already, and others twice in one load.
+    tables.insert_ignore(rows.unionByName(rows), name)
     return spark.table(name)
 
 
@@ -472,4 +485,79 @@ def stream_new_files(spark, sf_dir):
     for landing in ("left_semi", "left_anti"):
         articles.join(seen, "doc_id", landing).write.mode("append").parquet(landed)
         filter_new_files(spark, landed, articles.schema, sink, checkpoint, scorer)
-    return spark.read.parquet(sink).drop("batch")
+    return read_filtered(spark, sink)
+
+
+@query
+def stream_new_files_capped(spark, sf_dir):
+    """Files that arrive in pieces: half of each file's rows in each of two landings."""
+    landed, sink = new_path(spark, "landed"), new_path(spark, "sink")
+    checkpoint = new_path(spark, "offsets")
+    articles = corpus.repeated_pmids(corpus.articles(spark, sf_dir))
+    scorer = naive_bayes_scorer(_model(spark, sf_dir))
+    for half in (1, 0):
+        articles.where((F.col("doc_id") / 8).cast("long") % 2 == half).write.mode("append").parquet(landed)
+        filter_new_files(spark, landed, articles.schema, sink, checkpoint, scorer)
+    return read_filtered(spark, sink, max_lines=CAP)
+
+
+def _two_years(spark, sf_dir) -> str:
+    """Foreign parquet files of equal names and row numbers in two folders."""
+    landed = new_path(spark, "years")
+    docs = corpus.articles(spark, sf_dir).drop("file_no", "row_idx")
+    for year in (2022, 2023):
+        part = docs.where(F.col("doc_id") % 2 == year % 2).withColumn("year", F.lit(year))
+        part.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{landed}/{year}/0001.parquet")
+    return landed
+
+
+@query
+def equal_file_names(spark, sf_dir):
+    """Articles of both files are kept, each with its own score."""
+    landed = _two_years(spark, sf_dir)
+    scorer = naive_bayes_scorer(_model(spark, sf_dir))
+    paths = [f"{landed}/{y}/0001.parquet" for y in (2022, 2023)]
+    articles = article_parquet.numbered(spark.read.parquet(*paths))
+    return filter_articles(articles, scorer).select("doc_id", "year", "class_value")
+
+
+@query
+def resume_over_years(spark, sf_dir):
+    """The second year is filtered though its file has the first one's name."""
+    landed, output = _two_years(spark, sf_dir), new_path(spark, "filtered")
+    scorer = naive_bayes_scorer(_model(spark, sf_dir))
+    for paths in ([2022], [2022, 2023]):
+        folders = [f"{landed}/{y}/0001.parquet" for y in paths]
+        inputs = article_parquet.numbered(spark.read.parquet(*folders))
+        todo = article_parquet.remaining(inputs, article_parquet.finished_files(spark, output), ["row_idx"])
+        files = materialise(todo.select("file_path").distinct(), "new-files")
+        article_parquet.append_run(filter_articles(todo, scorer), files, output)
+    return article_parquet.read_kept(spark, output).select("doc_id", "class_value")
+
+
+@query
+def ranked_by_text_key(spark, sf_dir):
+    scored = _judged(spark, sf_dir, 1).select(F.col("doc_id").cast("string").alias("pmid"), "score")
+    return evaluate.rank_by_score(scored, "pmid")
+
+
+@query
+def unscored_samples(spark, sf_dir):
+    """Samples without a score count nowhere: one row per metric."""
+    judged = _judged(spark, sf_dir, 1)
+    score = F.when(F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("doc_id") % 7 == 1, F.lit(float("nan")))
+    judged = judged.withColumn("score", F.coalesce(score, F.when(F.col("doc_id") % 7 > 1, F.col("score"))))
+    counts = evaluate.confusion(judged).select((F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"))
+    auc = evaluate.pair_auc(judged).select("auc")
+    return rounded(counts.crossJoin(auc), "auc")  # one row each
+
+
+@query
+def table_listing(spark, sf_dir):
+    """Tables appear in the list when created: a loaded table is listed once."""
+    name = _table_name("listed")
+    docs = corpus.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tab_id"))
+    tables.create_table(spark, name, docs.schema, new_path(spark, "table"))
+    tables.insert_ignore(docs, name)
+    listed = [n for n in tables.table_names(spark) if n == name]
+    return spark.table(name).agg(F.count("*").alias("rows"), F.lit(len(listed)).cast("bigint").alias("tables"))

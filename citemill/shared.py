@@ -8,8 +8,11 @@ and lets the next step read its size before choosing a join.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,19 +34,36 @@ def shared_dir(spark: SparkSession) -> str:
     test, a laptop) gets a temporary folder; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.conf.get("spark.master", "").startswith("local")
     if configured:
+        if configured.startswith("file:") and not local:
+            warnings.warn(f"{configured} must be mounted on every machine of the cluster", stacklevel=3)
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="citemill-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one table below the shared folder."""
-    return f"{shared_dir(spark)}/citemill/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one table below this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/citemill/{spark.conf.get('spark.app.id', 'local')}"
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete what this application has stored between its jobs.
+
+    For the end of a job: tables that were read from there can't be read again.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

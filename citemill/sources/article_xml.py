@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,8 +61,15 @@ def listed(items: Column, separator: str = "; ") -> Column:
     return F.when(joined != "", joined)
 
 
-def scan_xml(reader, path: str) -> DataFrame:
-    """Raw records of a batch or stream reader, with file name and position."""
+# Which files of a folder are read, by the parser and by the check alike.
+PATTERN = "*.xml*"
+
+
+def scan_xml(reader, path: str | list[str], pattern: str = PATTERN) -> DataFrame:
+    """Raw records of a batch or stream reader, with file name and position.
+
+    Files of sub-folders belong to it, as they do to :func:`list_files`.
+    """
     return (
         reader.format("xml")
         .schema(RECORD)
@@ -69,6 +77,8 @@ def scan_xml(reader, path: str) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreCorruptFiles", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
         .load(path)
         .select(
             "*",
@@ -150,38 +160,44 @@ def flatten(records: DataFrame) -> DataFrame:
     )
 
 
-def gzip_intact(content: Column) -> Column:
-    """Whether the bytes are one or more complete gzip members.
+def document_intact(content: Column, packed: Column) -> Column:
+    """Whether the bytes are one whole XML document, in complete gzip members if packed.
 
-    The built-in readers return the readable half of a truncated file without a
-    word, so this needs the bytes. A task sees the files of one input split. The
+    The built-in readers return the readable half of a truncated file, and the
+    closed records of an unclosed document, without a word, so this looks at the
+    whole file once, in pieces. A task sees the files of one input split. The
     function is nested so that it travels to the executors by value.
     """
 
-    def intact(data: bytes) -> bool:
-        if not data:
-            return False
+    def unpacked(data: bytes):
         while data:
             member = zlib.decompressobj(wbits=31)
-            try:
-                member.decompress(data, 1 << 20)
-                while member.unconsumed_tail:
-                    member.decompress(member.unconsumed_tail, 1 << 20)
-            except zlib.error:
-                return False
+            yield member.decompress(data, 1 << 20)
+            while member.unconsumed_tail:
+                yield member.decompress(member.unconsumed_tail, 1 << 20)
             if not member.eof:
-                return False
+                raise zlib.error("cut off")
             data = member.unused_data.lstrip(b"\0")
+
+    def intact(data: bytes, gz: bool) -> bool:
+        parser = expat.ParserCreate()
+        plain = unpacked(data) if gz else (data[i : i + (1 << 20)] for i in range(0, len(data), 1 << 20))
+        try:
+            for piece in plain:
+                parser.Parse(piece, False)
+            parser.Parse(b"", True)
+        except (zlib.error, expat.ExpatError):
+            return False
         return True
 
     @F.pandas_udf(T.BooleanType())
-    def check(files: pd.Series) -> pd.Series:
-        return files.map(intact).astype(bool)
+    def check(files: pd.Series, gz: pd.Series) -> pd.Series:
+        return pd.Series([intact(f, g) for f, g in zip(files, gz)], dtype=bool)
 
-    return check(content)
+    return check(content, packed)
 
 
-def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.xml*") -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], pattern: str = PATTERN) -> DataFrame:
     """(file_path, content) of every file below ``path``."""
     return (
         spark.read.format("binaryFile")
@@ -195,23 +211,24 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.xml
 def check_files(files: DataFrame) -> DataFrame:
     """(file_path, ok) for rows of (file_path, content)."""
     packed = F.col("file_path").endswith(".gz")
-    return files.select(
-        "file_path", F.when(packed, gzip_intact(F.col("content"))).otherwise(F.lit(True)).alias("ok")
-    )
+    return files.select("file_path", document_intact(F.col("content"), packed).alias("ok"))
 
 
 def reject_files(articles: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Drop every article of a file that is damaged or holds a corrupt record.
+    """Drop every article of a damaged file, before anything is written.
 
-    ``articles`` is read twice (once for two columns), so hand in a stored table.
+    The list of damaged files is stored and measured; articles stay where they
+    are as long as it is small. A record the reader could not take, though its
+    file is well formed, fails the job rather than going missing.
     """
-    damaged = manifest.where(~F.col("ok")).select("file_path")
-    corrupt = articles.where(F.col(CORRUPT)).select("file_path")
-    bad = materialise(damaged.unionByName(corrupt).distinct(), "bad-files")
-    return lookup_join(articles, bad, ["file_path"], "left_anti", ["row_idx"]).drop(CORRUPT)
+    bad = materialise(manifest.where(~F.col("ok")).select("file_path").distinct(), "bad-files")
+    left = lookup_join(articles, bad, ["file_path"], "left_anti", ["row_idx"])
+    unread = F.raise_error(F.concat(F.lit("unreadable record in "), F.col("file_path")))
+    pmid = F.when(F.col(CORRUPT), unread).otherwise(F.col("pmid"))
+    return left.withColumn("pmid", pmid).drop(CORRUPT)
 
 
-def deleted_citations(spark: SparkSession, path: str) -> DataFrame:
+def deleted_citations(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """Withdrawn articles: rows with a pmid and ``delete`` set, nothing else.
 
     Only update files list any, and it takes a pass over the files.
@@ -222,6 +239,8 @@ def deleted_citations(spark: SparkSession, path: str) -> DataFrame:
         .option("rowTag", "DeleteCitation")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreCorruptFiles", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
         .load(path)
         .select(
             F.explode("PMID").alias("pmid"),
@@ -241,16 +260,15 @@ def deleted_citations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_articles(
-    spark: SparkSession, path: str, include_deleted: bool = False
+    spark: SparkSession, path: str, include_deleted: bool = False, pattern: str = PATTERN
 ) -> DataFrame:
-    """All articles of the intact XML files below ``path``.
+    """All articles of the intact XML files below ``path``, sub-folders included.
 
-    The XML is parsed once into a stored table; rejecting files afterwards only
-    looks at its narrow columns.
+    Files are checked first, so the articles go from the parser straight to
+    whatever reads them; no copy of them is made in between.
     """
-    records = flatten(scan_xml(spark.read, path))
+    manifest = check_files(list_files(spark, path, pattern))
+    records = flatten(scan_xml(spark.read, path, pattern))
     if include_deleted:
-        records = records.unionByName(deleted_citations(spark, path))
-    return reject_files(
-        materialise(records, "parsed"), check_files(list_files(spark, path))
-    )
+        records = records.unionByName(deleted_citations(spark, path, pattern))
+    return reject_files(records, manifest)

@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citemill.functions.text import stem
 
 
-def read_keyed_json(spark: SparkSession, path: str, article: T.StructType) -> DataFrame:
-    """Rows (file_no, pmid, ... , class_value) of ``{"pmid": {...}, ...}`` objects.
+PLACE = ["file_path", "file_no", "row_idx"]
 
-    A file may hold one object or one per line. The key gives the pmid.
+
+def read_keyed_json(
+    spark: SparkSession, path: str, article: T.StructType, whole_files: bool = False
+) -> DataFrame:
+    """Rows (file, pmid, ... , class_value) of ``{"pmid": {...}, ...}`` objects.
+
+    Every line is an object; with ``whole_files`` every file is one, which may
+    run over several lines. The key gives the pmid. Text that is no such object
+    fails the job. ``row_idx`` keeps the order of the objects of a file, so the
+    rows can be loaded into a table.
     """
-    fields = [f for f in article.fields if f.name not in ("pmid", "file_no")]
+    fields = [f for f in article.fields if f.name not in ("pmid", *PLACE)]
     if "class_value" not in article.names:
         fields.append(T.StructField("class_value", T.DoubleType()))
     objects = T.MapType(T.StringType(), T.StructType(fields))
     return (
-        spark.read.text(path)
+        spark.read.text(path, wholetext=whole_files)
+        .where(F.trim("value") != "")
         .select(
+            F.col("_metadata.file_path").alias("file_path"),
             stem(F.col("_metadata.file_name")).alias("file_no"),
-            F.explode(F.from_json("value", objects)).alias("pmid", "article"),
+            F.explode(parsed(F.col("value"), F.from_json("value", objects))).alias("pmid", "article"),
         )
-        .select("file_no", "pmid", "article.*")
+        .withColumn("row_idx", F.monotonically_increasing_id())
+        .select(*PLACE, "pmid", "article.*")
     )
 
 
+def parsed(text: Column, value: Column) -> Column:
+    """``value``, or an error that shows the beginning of the text it should come from."""
+    shown = F.concat(F.lit("unreadable JSON: "), F.substring(text, 1, 200))
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(shown))
+
+
 def keyed_lines(articles: DataFrame) -> DataFrame:
     """One ``{"pmid": {...}}`` object per article, in a ``value`` column.
 

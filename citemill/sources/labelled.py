@@ -6,24 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import surface
+from citemill.sources.keyed_json import parsed
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """(text, body) of every example; ``body`` is the JSON text of its labels.
 
     Two layouts are read: one pair per line, which is splittable, and a first
-    line that holds the list of all pairs, of which later lines are ignored.
+    line that holds the list of all pairs, of which later lines are ignored. A
+    line that can't be read fails the job.
     """
-    lines = spark.read.text(path)
-    head = lines.limit(1).first()
-    if head is None or head["value"].lstrip().startswith("[["):
-        pairs = lines.limit(1).select(
-            F.explode(F.from_json("value", "array<array<string>>")).alias("p")
-        )
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    nested = F.from_json("value", "array<array<string>>")
+    # Only a list of lists has a list in front, whatever the spaces between.
+    head = lines.limit(1).select(F.get(nested, 0).isNotNull().alias("all")).first()
+    if head is not None and head["all"]:
+        pairs = lines.limit(1).select(F.explode(parsed(F.col("value"), nested)).alias("p"))
     else:
-        pairs = lines.select(F.from_json("value", "array<string>").alias("p"))
-    return pairs.where(F.col("p").isNotNull()).select(
-        F.get("p", 0).alias("text"), F.get("p", 1).alias("body")
+        flat = parsed(F.col("value"), F.from_json("value", "array<string>"))
+        pairs = lines.select(flat.alias("p")).where(F.size("p") > 0)
+    body = F.get("p", 1)
+    return pairs.select(
+        F.get("p", 0).alias("text"), parsed(F.to_json("p"), body).alias("body")
     )
 
 

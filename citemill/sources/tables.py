@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from citemill.operators.numbering import number_rows, row_block
 from citemill.shared import lookup_join, materialise
-
-ROW = ["file_no", "row_idx"]
+from citemill.sources.article_parquet import row_key
 
 
 def table_names(spark: SparkSession) -> list[str]:
@@ -68,9 +67,10 @@ def append_by_name(rows: DataFrame, name: str, key: str = "tab_id") -> None:
 
 
 def dense_ids(rows: DataFrame, start: int | Column = 0) -> DataFrame:
-    """(file_no, row_idx, tab_id): ids without gaps, in file and row order."""
+    """(file, row_idx, tab_id): ids without gaps, in file and row order."""
+    row = row_key(rows)
     numbered = number_rows(
-        rows.select(*ROW), [], [F.col("file_no"), row_block(F.col("row_idx"))],
+        rows.select(*row), [], [F.col(row[0]), row_block(F.col("row_idx"))],
         [F.col("row_idx")], "tab_id",
     )
     return numbered.withColumn("tab_id", F.col("tab_id") + start)
@@ -78,22 +78,26 @@ def dense_ids(rows: DataFrame, start: int | Column = 0) -> DataFrame:
 
 def with_ids(rows: DataFrame, start: int = 0) -> DataFrame:
     """Add ``tab_id`` to wide rows; only the narrow keys are numbered."""
-    ids = materialise(dense_ids(rows, start), "row-ids")
-    return lookup_join(rows, ids, ROW, "inner", ROW)
+    row = row_key(rows)
+    ids = materialise(dense_ids(materialise(rows.select(*row), "rows"), start), "row-ids")
+    return lookup_join(rows, ids, row, "inner", row)
 
 
 def fill_table(kept: DataFrame, name: str, distinct_pmids: bool = False) -> bool:
     """Append kept articles to a table; warn and do nothing when it is absent.
 
     Ids continue after the highest one in the table. Repeated pmids stay unless
-    ``distinct_pmids`` is set.
+    ``distinct_pmids`` is set; then the first row of each pmid, by file and row,
+    is loaded.
     """
     spark = kept.sparkSession
     if not spark.catalog.tableExists(name):
         warnings.warn(f"table {name} does not exist and is not filled", stacklevel=2)
         return False
     if distinct_pmids:
-        kept = kept.dropDuplicates(["pmid"])
+        row = row_key(kept)
+        first = kept.groupBy("pmid").agg(F.min(F.struct(*row)).alias("first")).select("first.*")
+        kept = lookup_join(kept, materialise(first, "first-rows"), row, "left_semi", row)
     highest = spark.table(name).agg(F.coalesce(F.max("tab_id"), F.lit(0))).first()[0]
     rows = with_ids(kept, highest)
     rows = rows.withColumn("clean_abstract", F.lit("")).withColumn("clean_title", F.lit(""))
@@ -102,14 +106,23 @@ def fill_table(kept: DataFrame, name: str, distinct_pmids: bool = False) -> bool
 
 
 def insert_ignore(rows: DataFrame, name: str, key: str = "tab_id") -> bool:
-    """Append the rows whose key is not in the table yet.
+    """Append the rows whose key is not in the table yet, one row per key.
 
     The new rows are stored first: they may come from a query on the same table.
+    Of several new rows with one key the smallest, column by column, is taken.
     """
     spark = rows.sparkSession
     if not spark.catalog.tableExists(name):
         warnings.warn(f"table {name} does not exist and is not filled", stacklevel=2)
         return False
     fresh = rows.join(spark.table(name).select(key), key, "left_anti")
-    append_by_name(materialise(fresh, "fresh-rows"), name, key)
+    fresh = materialise(fresh, "fresh-rows")
+    repeated = materialise(fresh.groupBy(key).count().where("count > 1").select(key), "repeated-keys")
+    if not repeated.isEmpty():
+        one = lookup_join(fresh, repeated, [key], "left_semi", fresh.columns).groupBy(key).agg(
+            F.min(F.struct(*[c for c in fresh.columns if c != key])).alias("r")
+        )
+        single = lookup_join(fresh, repeated, [key], "left_anti", fresh.columns)
+        fresh = single.unionByName(one.select(key, "r.*"))
+    append_by_name(fresh, name, key)
     return True
