@@ -22,8 +22,11 @@ from the smallest suffix on and puts each suffix, and those its pointers lead
 to, at the next free place of its group. Nothing is renamed and no step is
 repeated. Numpy does a step for many buckets at once.
 
-A bucket of more than ``HOT`` different segments is not gathered: its windows are
-counted by hash, offset and anchor, which spreads them over all tasks.
+A bucket of more than ``HOT`` different segments is not gathered. Its segments are
+cut into cells of windows with neighbouring offsets, and a cell goes to a bucket
+of the bytes that all windows of the cell share, first for cells of ``CELL``
+windows and, where that is not enough, for single windows, which are equal
+throughout a bucket. So a bucket holds at most ``HOT`` different strings.
 
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes keep all their
 bytes; copies of a text lose all bytes if long enough; equal rows are separate
@@ -34,6 +37,7 @@ result; other columns are not read. A text is worked on whole in one task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
@@ -47,6 +51,7 @@ from citemill.shared import fits_broadcast, materialise, salted_join
 LENGTH = 200
 CORE = 100
 HOT = 256
+CELL = 16
 # Symbols sorted in one go, over all buckets of a batch.
 BATCH_SYMBOLS = 1 << 20
 _PLACE_BITS = np.uint64(26)
@@ -344,10 +349,11 @@ def sorted_buckets(segments: DataFrame) -> DataFrame:
     ordered = ordered.select("anchor", "whole", "times", "bytes")
 
     def solve(buckets: list[list[tuple]]) -> pa.RecordBatch:
-        starts = repeated_windows([[r[3] for r in b] for b in buckets])
+        several = [b for b in buckets if len(b) > 1]
+        starts = iter(repeated_windows([[r[3] for r in b] for b in several]) if several else [])
         out = []
-        for bucket, found in zip(buckets, starts):
-            for row, own in zip(bucket, found):
+        for bucket in buckets:
+            for row, own in zip(bucket, next(starts) if len(bucket) > 1 else [()]):
                 # A segment that occurs several times is repeated as a whole.
                 own = np.arange(len(row[3]) - LENGTH + 1) if row[2] > 1 else own
                 if len(own):
@@ -373,31 +379,82 @@ def sorted_buckets(segments: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, f"anchor long, whole long, found {RANGES}")
 
 
-def counted_buckets(segments: DataFrame) -> DataFrame:
-    """The same for buckets with very many segments, by counting their windows."""
+def hashed(*values) -> int:
+    h = blake2b(digest_size=8)
+    for v in values:
+        h.update(v if isinstance(v, bytes) else b"%d;" % v)
+    return int.from_bytes(h.digest(), "little", signed=True)
+
+
+def cells(segments: DataFrame, width: int) -> DataFrame:
+    """Segments cut into cells of ``width`` window offsets, each with the anchor its cell has.
+
+    ``own_anchor, own_whole, shift`` say which segment a cell comes from and which
+    window of it is the cell's first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for anchor, whole, times, offset, data in zip(*(c.to_pylist() for c in batch.columns)):
-                up, down = powers(len(data) + 1)
-                sums = np.zeros(len(data) + 1, dtype=np.uint64)
-                np.cumsum(BYTE_CODES[np.frombuffer(data, dtype=np.uint8)] * up[:-1], out=sums[1:])
-                n = len(data) - LENGTH + 1
-                values = mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n]).view(np.int64).tolist()
-                out += [(anchor, whole, times, j, offset - j, v) for j, v in enumerate(values)]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            names = ["anchor", "whole", "times", "window", "back", "value"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], names=names)
+            for own_anchor, own_whole, shift, anchor, times, offset, data in zip(*(c.to_pylist() for c in batch.columns)):
+                # A window that begins ``back`` bytes before the anchor lies in cell ``back // width``.
+                first, last = 0, len(data) - LENGTH
+                while first <= last:
+                    cell = (offset - first) // width
+                    end = min(last, offset - cell * width)
+                    core = data[offset - cell * width : offset - cell * width - width + 1 + LENGTH]
+                    piece = data[first : end + LENGTH]
+                    out.append((
+                        own_anchor, own_whole, shift + first, hashed(anchor, cell, core),
+                        hashed(offset - first, piece), times, offset - first, piece,
+                    ))
+                    first = end + 1
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            columns = list(zip(*out)) or [()] * len(kinds)
+            names = ["own_anchor", "own_whole", "shift", "anchor", "whole", "times", "offset", "bytes"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
+
+    rows = segments.select("own_anchor", "own_whole", "shift", "anchor", "times", "offset", "bytes")
+    return rows.mapInArrow(
+        run,
+        "own_anchor long, own_whole long, shift int, anchor long, whole long, times long, offset int, bytes binary",
+    )
+
 
-    windows = segments.select("anchor", "whole", "times", "offset", "bytes").mapInArrow(
-        run, "anchor long, whole long, times long, window int, back int, value long"
+def hot_buckets(segments: DataFrame) -> DataFrame | None:
+    """The same as :func:`sorted_buckets` for buckets with very many segments, if there are any."""
+    rows = segments.select(
+        F.col("anchor").alias("own_anchor"), F.col("whole").alias("own_whole"), F.lit(0).alias("shift"),
+        "anchor", "times", "offset", "bytes",
     )
-    windows = materialise(windows, "windows")
-    repeated = windows.groupBy("anchor", "back", "value").agg(F.sum("times").alias("n")).filter("n > 1").drop("n")
-    hit = windows.join(repeated, ["anchor", "back", "value"])
-    each = F.struct(F.col("window").alias("low"), F.col("window").alias("high"))
-    return hit.groupBy("anchor", "whole").agg(F.sort_array(F.collect_list(each)).alias("found"))
+    parts = []
+    for width in (CELL, 1):
+        if rows.isEmpty():
+            break
+        cut = materialise(cells(rows, width), "cells")
+        different = cut.groupBy("anchor", "whole").agg(
+            F.sum("times").alias("times"), F.first("bytes").alias("bytes")  # equal bytes
+        )
+        different = materialise(different, "cell-segments")
+        many = different.groupBy("anchor").agg(F.count("*").alias("segments")).filter(F.col("segments") > HOT)
+        many = materialise(many.select("anchor"), "hot-cells")
+        few = different.join(many, "anchor", "left_anti")
+        found = materialise(sorted_buckets(few), "found-cells").withColumnRenamed("found", "cell_found")
+        parts.append(
+            cut.join(found, ["anchor", "whole"]).select(
+                F.col("own_anchor").alias("anchor"),
+                F.col("own_whole").alias("whole"),
+                F.transform(
+                    "cell_found",
+                    lambda r: F.struct((r["low"] + F.col("shift")).alias("low"), (r["high"] + F.col("shift")).alias("high")),
+                ).alias("found"),
+            )
+        )
+        rows = cut.join(many, "anchor", "left_semi")
+    if not parts:
+        return None
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return found.groupBy("anchor", "whole").agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 def repeats(rows: DataFrame) -> DataFrame:
@@ -423,10 +480,9 @@ def repeats(rows: DataFrame) -> DataFrame:
     counts = different.groupBy("anchor").agg(F.count("*").alias("segments"))
     firsts = different.join(counts, "anchor")
     segments = materialise(bucket_rows(rows, firsts), "buckets")
-    found = sorted_buckets(segments.filter(F.col("segments") <= HOT)).unionByName(
-        counted_buckets(segments.filter(F.col("segments") > HOT))
-    )
-    found = materialise(found, "found")
+    found = sorted_buckets(segments.filter(F.col("segments") <= HOT))
+    hot = hot_buckets(segments.filter(F.col("segments") > HOT))
+    found = materialise(found if hot is None else found.unionByName(hot), "found")
 
     wholly = met.filter("one").select("id", "key", "anchor", "whole", F.lit(None).cast(RANGES).alias("found"))
     partly = join_small(met.filter(~F.col("one")), found, ["anchor", "whole"], ["id", "key"])

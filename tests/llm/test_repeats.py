@@ -51,8 +51,10 @@ def test_removed_bytes_match_brute_force(spark, case):
     assert got(s.digest(frame(spark, texts))) == brute(texts)
 
 
-def test_hot_buckets_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(s, "HOT", 2)
+@pytest.mark.parametrize(("hot", "cell"), [(2, 16), (1, 40), (2, 1)])
+def test_hot_buckets_match_brute_force(spark, monkeypatch, hot, cell):
+    monkeypatch.setattr(s, "HOT", hot)
+    monkeypatch.setattr(s, "CELL", cell)
     texts = pasted(4, 40)
     assert got(s.digest(frame(spark, texts))) == brute(texts)
 
