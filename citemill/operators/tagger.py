@@ -71,33 +71,38 @@ def candidate_terms(text: Column, lengths: dict[int, tuple[int, int]]) -> Column
     # A word with the spaces behind it; the pieces put together give the text.
     pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
 
-    def runs(n: int, piece: Column, norm: Column, at) -> Column:
-        lo, hi = lengths[n]
-
-        def qualifies(i: Column) -> Column:
-            size = F.length(F.get(norm, i))
-            for k in range(1, n):
-                size = size + 1 + F.length(F.get(norm, i + k))
-            return size.between(lo, hi)  # null, so false, when the run goes past the end
-
-        starts = F.filter(F.sequence(F.lit(0), F.size(norm)), qualifies)
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                at(i).alias("at"),
-                F.concat_ws(" ", *[F.get(norm, i + k) for k in range(n)]).alias("term"),
-                F.concat(*[F.get(piece, i + k) for k in range(n)]).alias("raw"),
-            ),
-        )
+    # One expression for all lengths, so the plan does not grow with the longest term.
+    known = F.arrays_zip(
+        F.lit([n for n in sorted(lengths)]).alias("n"),
+        F.lit([lengths[n][0] for n in sorted(lengths)]).alias("lo"),
+        F.lit([lengths[n][1] for n in sorted(lengths)]).alias("hi"),
+    )
 
-    def every(piece: Column, norm: Column, before: Column) -> Column:
+    def every(piece: Column, norm: Column, before: Column, chars: Column) -> Column:
         def at(i: Column) -> Column:
             offset, past = F.get(before, F.shiftright(i, 3)), i.bitwiseAND(7)
             for k in range(1, 8):
                 offset = offset + F.when(past >= k, F.length(F.get(piece, i - k))).otherwise(0)
             return offset
 
-        return F.concat(*[runs(n, piece, norm, at) for n in sorted(lengths)])
+        def fits(i: Column, size: Column) -> Column:
+            # Null, so false, when the run goes past the end.
+            run = F.get(chars, i + size["n"]) - F.get(chars, i) + size["n"] - 1
+            return run.between(size["lo"], size["hi"])
+
+        def joined(parts: Column, i: Column, n: Column, separator: str) -> Column:
+            # Fetched one by one; ``slice`` would copy the whole array.
+            return F.array_join(F.transform(F.sequence(i, i + n - 1), lambda k: F.get(parts, k)), separator)
+
+        def run(i: Column, n: Column) -> Column:
+            return F.struct(
+                at(i).alias("at"), joined(norm, i, n, " ").alias("term"), joined(piece, i, n, "").alias("raw")
+            )
+
+        def runs(i: Column) -> Column:
+            return F.transform(F.filter(known, lambda size: fits(i, size)), lambda size: run(i, size["n"]))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(norm)), runs))
 
     def offsets(piece: Column, start: Column) -> Column:
         sizes = eights(F.size(piece), lambda i: F.length(F.get(piece, i)))
@@ -109,7 +114,10 @@ def candidate_terms(text: Column, lengths: dict[int, tuple[int, int]]) -> Column
             F.transform(piece, word_norm),
             lambda norm: let(
                 let(lead, lambda start: offsets(piece, start)),
-                lambda before: every(piece, norm, before),
+                lambda before: let(
+                    let(F.concat(F.transform(norm, F.length), F.array(F.lit(0))), lambda sizes: prefix_sums(sizes)),
+                    lambda chars: every(piece, norm, before, chars),
+                ),
             ),
         ),
     )

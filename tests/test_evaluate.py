@@ -108,3 +108,32 @@ def test_rank_puts_later_rows_first_among_ties(spark, monkeypatch, bucket):
     got = [r["doc_id"] for r in ranked.orderBy("rank").collect()]
     assert got == [i for i, _ in sorted(data, key=lambda r: r[1])][::-1]
     assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 61))
+
+
+@pytest.mark.parametrize("bucket", [1, 1_000_000])
+def test_samples_without_a_score_count_nowhere(spark, monkeypatch, bucket):
+    """The same rule in every metric and on both sides of the bucket limit."""
+    monkeypatch.setattr(evaluate, "BUCKET_SCORES", bucket)
+    data = sample(40, ties=True)
+    missing = [(900 + i, [None, float("nan")][i % 2], data[i][2]) for i in range(9)]
+    schema = "doc_id int, score double, cats map<string,double>"
+    clean, mixed = spark.createDataFrame(data, schema), spark.createDataFrame(data + missing, schema)
+    for metric in (
+        evaluate.confusion, evaluate.roc_curve, evaluate.pair_auc, evaluate.positives_above,
+        lambda d: evaluate.rank_auc(d, 0.5), lambda d: evaluate.trapezoid_auc(evaluate.roc_curve(d)),
+    ):
+        assert sorted(map(str, metric(mixed).collect())) == sorted(map(str, metric(clean).collect()))
+
+
+def test_rank_takes_any_key(spark):
+    """Text keys, sparse keys, one score for most rows, and rows without a score."""
+    data = [(f"k{i * 7919 % 1000:x}", 0.5 if i % 3 else float(i % 5)) for i in range(400)]
+    data += [("zz", None), ("zy", float("nan"))]
+    got = evaluate.rank_by_score(spark.createDataFrame(data, "pmid string, score double"), "pmid").collect()
+    scored = sorted(data[:-2], key=lambda r: (r[1], r[0]), reverse=True)
+    expected = [k for k, _ in scored] + ["zz", "zy"]
+    assert [r["pmid"] for r in sorted(got, key=lambda r: r["rank"])] == expected
+    assert sorted(r["rank"] for r in got) == list(range(1, 403))
+    hashed = [((i * 0x9E3779B97F4A7C15) % (1 << 63), 0.25) for i in range(300)]
+    got = evaluate.rank_by_score(spark.createDataFrame(hashed, "doc_id long, score double")).collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["rank"])] == sorted((k for k, _ in hashed), reverse=True)

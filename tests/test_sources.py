@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citemill.plans.filter_corpus import filter_articles
 from citemill.sources import article_parquet, article_xml, keyed_json, labelled, tables
 
 
@@ -190,3 +191,62 @@ def test_insert_ignore_runs_twice(spark, tmp_path):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         assert not tables.insert_ignore(new, "no_such_table")
+
+
+def test_sub_folders_and_names_with_spaces(spark, tmp_path):
+    folder = tmp_path / "root" / "ftp site" / "base line"
+    folder.mkdir(parents=True)
+    (folder / "a b%20+c.xml.gz").write_bytes(gzip.compress(document(citation(1))))
+    (tmp_path / "root" / "plain.xml").write_bytes(document(citation(2)))
+    cut = document(citation(3), citation(4))
+    (folder / "cut.xml").write_bytes(cut[:-200])
+    (folder / "unclosed.xml").write_bytes(cut[: -len("</PubmedArticleSet>")])
+    got = article_xml.read_articles(spark, str(tmp_path / "root")).collect()
+    assert sorted(r["pmid"] for r in got) == ["1", "2"]
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for year in (2022, 2023):
+        data = [(f"{year}-{i}", "x" * 20) for i in range(4)]
+        part = spark.createDataFrame(data, "pmid string, abstract string").coalesce(1)
+        part.write.parquet(str(tmp_path / f"year={year}"))
+        for file in (tmp_path / f"year={year}").glob("part-*"):
+            file.rename(tmp_path / f"year={year}" / "0001.parquet")
+        for file in (tmp_path / f"year={year}").glob(".part-*"):
+            file.unlink()
+    articles = article_parquet.read_article_parquet(spark, str(tmp_path))
+    assert articles.select("file_path", "row_idx").distinct().count() == 8
+    assert [r[0] for r in articles.select("file_no").distinct().collect()] == ["0001"]
+    score = F.when(F.col("pmid").endswith("3"), 0.1).when(F.col("pmid").startswith("2022"), 0.8).otherwise(0.9)
+    kept = filter_articles(articles, lambda docs: docs.withColumn("score", score))
+    expected = [(f"{y}-{i}", s) for y, s in ((2022, 0.8), (2023, 0.9)) for i in range(3)]
+    assert rows(kept.select("pmid", "class_value")) == expected
+
+
+def test_keyed_json_is_loaded(spark, tmp_path):
+    body = {"7": {"title": "t", "abstract": "a"}, "8": {"title": "u", "abstract": "b"}}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0001.json").write_text(json.dumps(body, indent=1))
+    got = keyed_json.read_keyed_json(spark, str(tmp_path / "in"), ARTICLE, whole_files=True)
+    tables.create_table(spark, "keyed_load", T._parse_datatype_string("tab_id long, pmid string, title string"), str(tmp_path / "t"))
+    tables.fill_table(got, "keyed_load")
+    assert rows(spark.table("keyed_load")) == [(1, "7", "t"), (2, "8", "u")]
+    with pytest.raises(Exception, match="unreadable JSON"):
+        keyed_json.read_keyed_json(spark, str(tmp_path / "in"), ARTICLE).collect()
+
+
+def test_labelled_layouts_and_broken_lines(spark, tmp_path):
+    (tmp_path / "spaced.json").write_text(" [ " + json.dumps(CATS)[1:])
+    assert labelled.read_cats(spark, str(tmp_path / "spaced.json")).count() == 2
+    (tmp_path / "bracket.json").write_text(json.dumps(["[a] b", CATS[0][1]]) + "\n\n")
+    assert [r["text"] for r in labelled.read_cats(spark, str(tmp_path / "bracket.json")).collect()] == ["[a] b"]
+    (tmp_path / "broken.json").write_text("\n".join([json.dumps(CATS[0]), json.dumps(CATS[1])[:-5]]))
+    with pytest.raises(Exception, match="unreadable JSON"):
+        labelled.read_cats(spark, str(tmp_path / "broken.json")).collect()
+
+
+def test_one_row_per_key_of_a_load(spark, tmp_path):
+    schema = T._parse_datatype_string("tab_id long, v string, w string")
+    tables.create_table(spark, "twice_load", schema, str(tmp_path / "w"))
+    tables.insert_ignore(spark.createDataFrame([(1, "b", None), (1, "a", "x"), (2, "c", "y")], schema), "twice_load")
+    assert rows(spark.table("twice_load")) == [(1, "a", "x"), (2, "c", "y")]

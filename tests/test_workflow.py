@@ -12,9 +12,9 @@ from test_sources import citation, document
 
 import citemill
 from citemill.operators import classify, tagger
-from citemill.plans.filter_corpus import naive_bayes_scorer
+from citemill.plans.filter_corpus import filter_articles, naive_bayes_scorer
 from citemill.schemas import ANNOTATED_COLUMNS, GENE_REF, NEGATIVE, POSITIVE
-from citemill.streaming.ingest import filter_new_files, parse_new_files
+from citemill.streaming.ingest import filter_new_files, parse_new_files, read_filtered
 
 GOOD = "tracer uptake of 18F FDG with p53 in HeLa cells"
 BAD = "a survey of dental hygiene among school pupils"
@@ -144,6 +144,65 @@ def test_stream_filter_takes_new_files_once(spark, tmp_path):
     assert counts == [2, 3, 3]
 
 
+@pytest.mark.parametrize("max_lines", [-1, 1, 2])
+def test_stream_result_equals_one_batch(spark, tmp_path, max_lines):
+    """One article file in three part files, with repeated pmids, over two runs."""
+    source, sink, offsets = (str(tmp_path / n) for n in ("in dir", "out", "offsets"))
+    data = [("0001", i, "aabbcad"[i], f"good abstract text {i}") for i in range(7)]
+    everything = spark.createDataFrame(data, "file_no string, row_idx long, pmid string, abstract string")
+    for part in ([0, 4], [2, 6], [1, 3, 5]):
+        chosen = everything.where(F.col("row_idx").isin(part)).coalesce(1)
+        chosen.write.mode("append").parquet(source)
+        if part != [0, 4]:
+            filter_new_files(spark, source, everything.schema, sink, offsets, scorer)
+    batch = filter_articles(everything, scorer, max_lines)
+    assert rows(read_filtered(spark, sink, max_lines).select(batch.columns)) == rows(batch)
+
+
+def test_stream_numbers_foreign_files(spark, tmp_path):
+    source, sink, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    for k in range(2):
+        data = [(f"{k}{i}", "good abstract text") for i in range(3)]
+        spark.createDataFrame(data, "pmid string, abstract string").coalesce(1).write.parquet(f"{source}/year={k}")
+    schema = spark.createDataFrame([], "pmid string, abstract string").schema
+    filter_new_files(spark, source, schema, sink, offsets, scorer)
+    got = read_filtered(spark, sink, 1)
+    assert got.count() == 4 and got.select("file_path").distinct().count() == 2
+
+
+def test_a_second_annotation_tags_new_rows_only(spark, tmp_path, plan):
+    spark.createDataFrame([(1, "a"), (2, "b")], "tab_id long, abstract string").write.saveAsTable("tag_twice")
+    done = spark.createDataFrame([(1,)], "tab_id long")
+    done.write.saveAsTable("tag_twice_ann")
+    rows_ = spark.table("tag_twice").join(spark.table("tag_twice_ann").select("tab_id"), "tab_id", "left_anti")
+    table = spark.createDataFrame([("b", 1, "DNA")], "term string, n int, label string")
+    tagged = tagger.tag(rows_, tagger.Dictionary.of(table), ["tab_id"], ["abstract"])
+    assert rows(tagged.select("tab_id", "surface")) == [(2, "b")]
+    text = plan(tagged)
+    assert text.index("LeftAnti") > text.index("Generate")  # children are printed below their parents
+
+
+def test_plan_does_not_grow_with_the_longest_term(spark, plan):
+    docs = spark.createDataFrame([(1, "w " * 60)], "doc_id long, abstract string")
+
+    def size(n):
+        terms = [(" ".join(["w"] * k), k, "DNA") for k in range(1, n + 1)]
+        found = tagger.Dictionary.of(spark.createDataFrame(terms, "term string, n int, label string"))
+        matches = tagger.matches(docs, found, ["doc_id"], ["abstract"])
+        assert matches.count() == sum(60 - k + 1 for k in range(1, n + 1))
+        return len(matches._jdf.queryExecution().optimizedPlan().toString())
+
+    assert size(40) < 1.1 * size(2) + 600  # the lengths themselves are listed
+
+
+def test_stream_parse_takes_names_with_spaces(spark, tmp_path):
+    folder = tmp_path / "in dir"
+    folder.mkdir()
+    (folder / "pub med+23n%0001.xml.gz").write_bytes(gzip.compress(document(citation(5))))
+    parse_new_files(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "offsets"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("pmid")) == [("5",)]
+
+
 def test_stream_parse_rejects_damaged_files(spark, tmp_path):
     folder, sink, offsets = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "offsets")
     deliver(folder, "0001", [(1, "t", "a")])
