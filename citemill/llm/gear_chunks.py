@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.llm.common import BYTE_CODES, as_bytes, hash_spans, join_rows, map_arrow
-from citemill.llm.suffix_groups import identified, join_small, with_texts
+from citemill.llm.suffix_groups import identified, with_texts
 from citemill.shared import fits_broadcast, materialise
 
 SMALLEST = 16
@@ -115,13 +115,14 @@ def shared_chunks(rows: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select("digest", "size", F.col("at.id").alias("first_id"), F.col("at.key").alias("first_key"))
     )
-    met = join_small(each.drop("times"), materialise(common, "common"), ["digest", "size"], ["id", "key"])
+    # Repeated digests grow with the texts, so they are joined by shuffle at every
+    # size; a hot digest is a skewed partition, which adaptive execution splits.
+    met = each.drop("times").join(materialise(common, "common"), ["digest", "size"])
     own = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
     return (
         met.select("id", "key", F.struct("digest", "size", own.alias("own")).alias("f"))
-        .distinct()
         .groupBy("id", "key")
-        .agg(F.collect_list("f").alias("flags"))
+        .agg(F.collect_set("f").alias("flags"))  # rows equal in id and text count once
     )
 
 

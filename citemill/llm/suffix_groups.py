@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.llm.common import BYTE_CODES, as_bytes, join_rows, map_arrow, mix, powers
-from citemill.shared import fits_broadcast, materialise, salted_join
+from citemill.shared import fits_broadcast, materialise
 
 LENGTH = 200
 CORE = 100
@@ -302,11 +302,13 @@ def marks(rows: DataFrame) -> DataFrame:
     return map_arrow(texts, run, "id long, key long, anchors array<long>, wholes array<long>, times array<int>")
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], spread_by: list[str]) -> DataFrame:
-    """Inner join whose small side is broadcast if it measures small, else salted."""
-    if fits_broadcast(small):
-        return big.join(F.broadcast(small), on)
-    return salted_join(big, small, on, "inner", spread_by)
+def join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join whose small side is broadcast if it measures small.
+
+    Otherwise both sides are shuffled; a hot key is a skewed partition of the
+    join, which adaptive execution splits.
+    """
+    return big.join(F.broadcast(small) if fits_broadcast(small) else small, on)
 
 
 def with_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -471,7 +473,7 @@ def repeats(rows: DataFrame) -> DataFrame:
         .select("anchor", (F.col("low") == F.col("high")).alias("one"))
     )
     common = materialise(common, "common")
-    met = materialise(join_small(each, common, ["anchor"], ["id", "key", "whole"]), "met")
+    met = materialise(join_small(each, common, ["anchor"]), "met")
 
     different = met.filter(~F.col("one")).groupBy("anchor", "whole").agg(
         F.sum("times").alias("times"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("at")
@@ -485,7 +487,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     found = materialise(found if hot is None else found.unionByName(hot), "found")
 
     wholly = met.filter("one").select("id", "key", "anchor", "whole", F.lit(None).cast(RANGES).alias("found"))
-    partly = join_small(met.filter(~F.col("one")), found, ["anchor", "whole"], ["id", "key"])
+    partly = join_small(met.filter(~F.col("one")), found, ["anchor", "whole"])
     flags = wholly.unionByName(partly.select("id", "key", "anchor", "whole", "found"))
     return flags.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "whole", "found")).alias("flags"))
 
