@@ -3,8 +3,6 @@ from __future__ import annotations
 import hashlib
 import re
 
-import duckdb
-import pytest
 from llm.conftest import ODD, PROSE, frame, got, texts_of
 
 import corpus_pipeline
@@ -79,13 +77,6 @@ def test_no_python_on_the_main_path(spark, sample):
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_queries_run_and_match_their_sql(spark, name):
-    from oracle_check import compare, connect
-
-    assert compare(spark, connect(SF), SF, name) is None
-
-
 def test_pipeline_stages(spark, sample):
     """Each stage against brute force over what the stage before kept."""
     from llm import test_ngram_rtree, test_packing, test_pii, test_quality_bands
@@ -129,6 +120,7 @@ def test_pipeline_takes_odd_documents(spark, odd, nothing):
         docs.collect()
 
 
-def test_sql_is_there_where_it_can_be():
+def test_every_sql_belongs_to_a_query():
+    # tests/test_queries.py runs all registered queries against their SQL.
     assert set(ORACLE_SQL) <= set(QUERIES)
-    duckdb.connect().execute("SELECT 1")
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
