@@ -13,9 +13,10 @@ Tokens never leave the task that made them: there is no shuffle, and a task
 holds a pool of bounded size. Sequence and group ids begin with the number of the
 partition, so a recomputed task gives the same ids.
 
-Tokens come from a file of the ``tokenizers`` library, whose pre-tokeniser drops
-white space; a text is then the chain of its parts between spaces and line
-feeds, which are encoded once and remembered (up to a limit).
+Tokens come from a file of the ``tokenizers`` library whose pre-tokeniser drops
+white space, parts letters from punctuation and lower-cases; a text is then the
+chain of its parts between spaces and line feeds, which are encoded once and
+remembered (up to a limit).
 
 Defined cases: a null or empty text is the end mark alone; a null id stays null;
 rows with equal ids are packed one by one; an empty table gives an empty result;
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -48,6 +50,10 @@ STEP_TOKENS = 1 << 16
 STEP_GROUPS = 8
 REMEMBERED = 400_000
 LONG_PART = 64
+WORDS_AT_ONCE = 500
+END_OF_WORD = "</w>"
+# Latin letters whose lower case is one letter, then punctuation that joins no word.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|()\"/+=<>@~^_\[\]{}-]*)")
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
@@ -57,19 +63,53 @@ COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
 class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit numbers."""
+    """Texts to ids, as little-endian unsigned 32-bit numbers.
+
+    Most parts are a word of Latin letters with punctuation behind it, which the
+    pre-tokeniser separates. Such words are remembered in lower case and encoded
+    many at a time; their last token carries the end-of-word mark, which tells
+    them apart again.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END_OF_WORD)]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
-    def _encode(self, parts: list[str]) -> dict[str, bytes]:
+    def _plain(self, parts: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(parts, found)}
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        chunks = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        found, out = self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), {}
+        for chunk, encoded in zip(chunks, found):
+            ids = np.array(encoded.ids, dtype="<u4")
+            last = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            out.update((w, data[a:b]) for w, a, b in zip(chunk, [0, *last], last, strict=False))
+        return out
+
+    def _encode(self, parts: list[str]) -> dict[str, bytes]:
+        split = [(p, SIMPLE.fullmatch(p)) for p in parts] if self.ends.any() else [(p, None) for p in parts]
+        out = self._plain([p for p, m in split if m is None])
+        simple = [(p, m[1].lower(), m[2]) for p, m in split if m]
+        if len(self.words) + len(simple) > REMEMBERED:
+            self.words = {}
+        if len(self.marks) > LONG_PART**2:
+            self.marks = {"": b""}
+        self.words |= self._words(list({w for _, w, _ in simple if w not in self.words}))
+        self.marks |= self._plain(list({m for _, _, m in simple if m not in self.marks}))
+        out.update((p, self.words[w] + self.marks[m]) for p, w, m in simple)
+        return out
+
     def learn(self, texts: list[str]) -> None:
         """Encode the parts of some texts in one go."""
         seen = set().union(*(t.replace("\n", " ").split(" ") for t in texts))
