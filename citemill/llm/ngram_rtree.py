@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from citemill.llm.common import Words, as_bytes, join_rows, map_arrow, mix
 from citemill.llm.components import components
-from citemill.shared import fits_broadcast, materialise, salted_join
+from citemill.shared import fits_broadcast, materialise
 
 SHINGLE = 3
 # Linked when PERCENT_OF * intersection >= PERCENT * union.
@@ -385,13 +385,14 @@ def membership(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = join_rows(filled, one).filter("cls = _cls").drop("_cls")
     classes = materialise(classes.dropDuplicates(["cls"]), "classes")
 
-    keyed = classes.select("cls", "n", "counts", F.explode("keys").alias("bucket"))
     shared = classes.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("members"))
     shared = materialise(shared.filter("members > 1"), "buckets")
     if fits_broadcast(shared):
-        filed = keyed.join(F.broadcast(shared), "bucket")
+        filed = classes.select("cls", "n", "counts", F.explode("keys").alias("bucket")).join(F.broadcast(shared), "bucket")
     else:
-        filed = salted_join(keyed, shared, ["bucket"], "inner", ["cls"])
+        # Only (class, bucket) rows move; a hot bucket is a skewed partition, which adaptive execution splits.
+        keyed = classes.select("cls", F.explode("keys").alias("bucket"))
+        filed = keyed.join(shared, "bucket").join(classes.select("cls", "n", "counts"), "cls")
     filed = materialise(filed, "filed")
 
     ids = classes.select("cls", "id", "key")

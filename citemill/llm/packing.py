@@ -52,8 +52,9 @@ REMEMBERED = 400_000
 LONG_PART = 64
 WORDS_AT_ONCE = 500
 END_OF_WORD = "</w>"
-# Latin letters whose lower case is one letter, then punctuation that joins no word.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|()\"/+=<>@~^_\[\]{}-]*)")
+# Punctuation that joins no word (no apostrophe), and letters whose lower case is one letter.
+PUNCTUATION = '.,;:!?#*$%&|()"/+=<>@~^_[]{}-'
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
@@ -98,16 +99,23 @@ class Encoder:
         return out
 
     def _encode(self, parts: list[str]) -> dict[str, bytes]:
-        split = [(p, SIMPLE.fullmatch(p)) for p in parts] if self.ends.any() else [(p, None) for p in parts]
-        out = self._plain([p for p, m in split if m is None])
-        simple = [(p, m[1].lower(), m[2]) for p, m in split if m]
+        simple, odd = [], [] if self.ends.any() else parts
+        for p in parts if odd is not parts else ():
+            word = p.rstrip(PUNCTUATION)
+            if word.isalpha() and (word.isascii() or LATIN.fullmatch(word)):
+                simple.append((p, word.lower(), p[len(word) :]))
+            else:
+                odd.append(p)
+        out = self._plain(odd)
         if len(self.words) + len(simple) > REMEMBERED:
             self.words = {}
         if len(self.marks) > LONG_PART**2:
             self.marks = {"": b""}
-        self.words |= self._words(list({w for _, w, _ in simple if w not in self.words}))
-        self.marks |= self._plain(list({m for _, _, m in simple if m not in self.marks}))
-        out.update((p, self.words[w] + self.marks[m]) for p, w, m in simple)
+        words, marks = self.words, self.marks
+        words |= self._words(list({w for _, w, _ in simple if w not in words}))
+        marks |= self._plain(list({m for _, _, m in simple if m not in marks}))
+        for p, word, mark in simple:
+            out[p] = words[word] + marks[mark] if mark else words[word]
         return out
 
     def learn(self, texts: list[str]) -> None:

@@ -72,6 +72,26 @@ def test_decontaminate_drops_just_the_contaminated(spark, odd):
     assert got(out, "doc_id", "text") == sorted(clean, key=str)
 
 
+def test_nothing_changes_without_broadcasts(spark, sample):
+    """Sides too large to be broadcast are shuffled."""
+    from llm import test_ngram_rtree, test_repeats
+
+    from citemill.llm import gear_chunks, ngram_rtree, style_tree, suffix_groups
+
+    texts = test_ngram_rtree.families(11, 5, 16, (30, 90), 6)
+    docs, pages = frame(spark, texts), spark.read.parquet(f"{SF}/pages.parquet")
+    pasted = test_repeats.pasted(12, 20)
+    before = got(gear_chunks.report(docs)), got(style_tree.extract(pages))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got(ngram_rtree.digest(docs)) == test_ngram_rtree.brute(texts)
+        assert got(suffix_groups.digest(frame(spark, pasted))) == test_repeats.brute(pasted)
+        assert got(winnowing.digest(frame(spark, ODD), benchmark(spark))) == brute(ODD, ITEMS)
+        assert (got(gear_chunks.report(docs)), got(style_tree.extract(pages))) == before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_python_on_the_main_path(spark, sample):
     plan = winnowing.digest(sample, spark.read.parquet(f"{SF}/benchmark.parquet"))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
