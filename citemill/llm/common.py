@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # Texts are worked on in pieces of about this many bytes, so that the arrays of
 # one step stay small; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -36,6 +38,16 @@ def as_bytes(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string").cast("binary")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``BATCH_ROWS`` rows, unless the session has its own limit.
+
+    A row is a whole text here; the usual 10,000 rows are tens of megabytes in
+    the JVM and again in Python, for every running task.
+    """
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``f`` over every Arrow batch; each batch is first cut into pieces of bounded text size.
 
@@ -47,6 +59,7 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBat
             for piece in pieces(batch):
                 yield from f(piece)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

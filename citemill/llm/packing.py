@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import as_bytes, pieces
+from citemill.llm.common import as_bytes, pieces, small_batches
 
 TIERS = [256, 512, 1024, 2048]
 END_MARK = np.array([1], dtype="<u4").tobytes()
@@ -281,4 +281,5 @@ def pack(
             yield as_batch(rows)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, SCHEMA)
