@@ -10,15 +10,19 @@ similarity; the sets of these pairs are then compared exactly.
 One tree over everything would prune little: at similarity 0.9 boxes in many
 dimensions all touch. So there is a forest, one tree for each bucket of sets that
 hold exactly the same shingles in one of K fine groups. Two sets within the
-threshold differ in at most ``t`` shingles, so with ``K = t + 1 + slack`` groups
-at least ``1 + slack`` groups are untouched and the pair meets in some bucket.
-``K`` follows from the set size: sizes are cut into bands, a set is filed in its
-own band and in the next smaller one if a partner may lie there. Groups with at
-most one shingle are common to many sets and are left out as buckets as long as a
-set has no more of them than the slack; otherwise the set is filed under all its
-groups. Either way no pair is lost. Sets of under 18 shingles differ in at most
-one from a partner and are filed under the set itself and the set without each
-shingle instead.
+threshold differ in at most ``t`` shingles, so of any ``t + 1`` groups of a set one
+is untouched and the pair meets in its bucket. ``K`` follows from the set size:
+sizes are cut into bands, a set is filed in its own band and in the next smaller
+one if a partner may lie there. Groups with at most one shingle are common to many
+sets and are left out as buckets if ``t + 1`` others remain, empty ones if ``t + 1``
+with a shingle remain; otherwise the set is filed under all its groups. Of two
+partners the one that leaves out more has the untouched group, and the other files
+it too, so no pair is lost. Sets so small that they differ in at most one shingle
+from a partner (under 18 shingles at 90 percent, under 8 at 80) are filed under the
+set itself and the set without each shingle instead.
+
+Shingle length and percentage are arguments; ``SHINGLE`` and ``PERCENT`` are those
+of op5.
 
 A bucket of more than ``BLOCK`` sets is cut into blocks, and each pair of blocks
 is a tree join of its own. Only links that matter for components are verified:
@@ -49,7 +53,7 @@ from citemill.llm.components import components
 from citemill.shared import fits_broadcast, materialise
 
 SHINGLE = 3
-# Linked when PERCENT_OF * intersection >= PERCENT * union.
+# Linked when PERCENT_OF * intersection >= percent * union.
 PERCENT, PERCENT_OF = 90, 100
 GROUPS = 128
 BLOCK = 1024
@@ -57,39 +61,51 @@ BLOCK = 1024
 SMALL_BUCKET = 12
 LEAF = 16
 BAND_RATIO = 1.4
-# Sets of under so many shingles are filed by deletion of one shingle.
-DELETION_BELOW = 18
 
 _GROUP_SALT = np.uint64(0xA0761D6478BD642F)
 
 
-def most_different(total: int) -> int:
+def most_different(total: int, percent: int = PERCENT) -> int:
     """The largest symmetric difference of linked sets whose sizes add up to ``total``."""
-    # D = U - I and U + I = total; PERCENT_OF * I >= PERCENT * U.
-    return total * (PERCENT_OF - PERCENT) // (PERCENT_OF + PERCENT)
+    # D = U - I and U + I = total; PERCENT_OF * I >= percent * U.
+    return total * (PERCENT_OF - percent) // (PERCENT_OF + percent)
 
 
-def largest_partner(n: int) -> int:
-    return n * PERCENT_OF // PERCENT
+def largest_partner(n: int, percent: int = PERCENT) -> int:
+    return n * PERCENT_OF // percent
 
 
 @lru_cache(maxsize=None)
-def band(number: int) -> tuple[int, int, int, int]:
-    """(smallest, largest size, groups, slack) of a band of sizes."""
-    if number == 0:
-        low, high = 1, DELETION_BELOW - 1
+def deletion_below(percent: int = PERCENT) -> int:
+    """Sets of under so many shingles are filed by deletion of one shingle."""
+    n = 1
+    while percent < PERCENT_OF and most_different(n + largest_partner(n, percent), percent) <= 1:
+        n += 1
+    return n
+
+
+@lru_cache(maxsize=None)
+def band(number: int, percent: int = PERCENT) -> tuple[int, int, int]:
+    """(smallest, largest size, groups) of a band of sizes."""
+    if number == 0 and deletion_below(percent) > 1:
+        low, high = 1, deletion_below(percent) - 1
     else:
-        low = band(number - 1)[1] + 1
-        high = max(low, int(low * BAND_RATIO))
-    t = most_different(high + largest_partner(high))
+        low = band(number - 1, percent)[1] + 1 if number else 1
+        # At least as wide as partners may lie apart; wider where they lie far apart, so that few sets have two bands.
+        high = max(low, int(low * max(BAND_RATIO, (PERCENT_OF / percent) ** 3)))
+    t = most_different(high + largest_partner(high, percent), percent)
     slack = 2 + t * 3 // 100
-    return low, high, t + 1 + slack, slack
+    # The fewest groups of which enough hold two shingles, by a Poisson law; at low percentages more than t + 1.
+    k = np.arange(t + 1 + slack, max(t + 1 + slack, high) + 1)
+    strong = k * (1 - np.exp(-high / k) * (1 + high / k))
+    enough = strong >= t + 1 + slack / 2
+    return low, high, int(k[np.argmax(enough) if enough.any() else np.argmax(strong)])
 
 
 @lru_cache(maxsize=100_000)
-def band_of(n: int) -> int:
+def band_of(n: int, percent: int = PERCENT) -> int:
     number = 0
-    while band(number)[1] < n:
+    while band(number, percent)[1] < n:
         number += 1
     return number
 
@@ -116,34 +132,37 @@ def group_counts(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def bucket_keys(shingles: np.ndarray) -> np.ndarray:
+def bucket_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The buckets a set is filed in."""
     n = len(shingles)
-    if n == 0:
+    if n == 0 or percent >= PERCENT_OF:  # only equal sets are linked, and these are one class
         return np.empty(0, dtype=np.int64)
-    own, sums = band_of(n), np.zeros(n + 1, dtype=np.uint64)
+    own, sums = band_of(n, percent), np.zeros(n + 1, dtype=np.uint64)
     spread = mix(shingles ^ _GROUP_SALT)
     np.cumsum(spread, out=sums[1:])
     keys = []
-    numbers = [own] if own == 0 or n * PERCENT > band(own - 1)[1] * PERCENT_OF else [own, own - 1]
+    numbers = [own] if own == 0 or n * percent > band(own - 1, percent)[1] * PERCENT_OF else [own, own - 1]
     for number in numbers:
-        if number == 0:
-            if most_different(n + largest_partner(n)):
+        if number == 0 and deletion_below(percent) > 1:
+            if most_different(n + largest_partner(n, percent), percent):
                 keys.append(mix(np.append(sums[-1] - spread, sums[-1])))
             continue
-        _, _, k, slack = band(number)
+        _, high, k = band(number, percent)
         group = ((shingles >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)  # rises with the hash
         bounds = np.searchsorted(group, np.arange(k + 1, dtype=np.uint64))
         counts = np.diff(bounds)
         content = sums[bounds[1:]] - sums[bounds[:-1]]
         marks = mix(np.arange(k, dtype=np.uint64) + np.uint64(number << 32))
         found = mix(content + marks)
-        weak = counts <= 1
-        keys.append(found if weak.sum() > slack else found[~weak])
+        # A partner filed here is of this band, or of the next larger one if this set is of this band.
+        partner = largest_partner(n, percent) if number == own else high
+        t = most_different(n + partner, percent)
+        kept = next((m for m in (counts > 1, counts > 0) if m.sum() > t), slice(None))
+        keys.append(found[kept])
     return np.unique(np.concatenate(keys)).view(np.int64) if keys else np.empty(0, dtype=np.int64)
 
 
-def points(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+def points(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """Per row: id, size, class (digest of the set), counts and bucket keys."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -156,7 +175,7 @@ def points(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
                 pa.array([len(s) for s in sets], type=pa.int64()),
                 pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], type=pa.binary()),
                 pa.array([group_counts(s) for s in sets], type=pa.binary()),
-                pa.array([bucket_keys(s) for s in sets], type=pa.list_(pa.int64())),
+                pa.array([bucket_keys(s, percent) for s in sets], type=pa.list_(pa.int64())),
             ],
             names=["id", "key", "n", "cls", "counts", "keys"],
         )
@@ -181,9 +200,9 @@ class Points:
         self.excess = self.sizes - self.counts.sum(axis=1, dtype=np.int64)
 
 
-def needed(total: np.ndarray) -> np.ndarray:
+def needed(total: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The smallest intersection of linked sets whose sizes add up to ``total``."""
-    return -(-total * PERCENT // (PERCENT + PERCENT_OF))
+    return -(-total * percent // (percent + PERCENT_OF))
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray, excess_a: np.ndarray, excess_b: np.ndarray) -> np.ndarray:
@@ -226,7 +245,9 @@ def children(nodes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return nodes[owner] * LEAF + within, owner
 
 
-def tree_pairs(p: Points, left: Tree, right: Tree, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def tree_pairs(
+    p: Points, left: Tree, right: Tree, same: bool, percent: int = PERCENT
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of points whose bound allows a link, in batches. ``same``: one tree with itself."""
     top = max(len(left.levels), len(right.levels)) - 1
     work = [(top, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
@@ -238,7 +259,7 @@ def tree_pairs(p: Points, left: Tree, right: Tree, same: bool) -> Iterator[tuple
             continue
         if level >= 0:
             (hu, su, eu), (hv, sv, ev) = (t.levels[min(level, len(t.levels) - 1)] for t in (left, right))
-            keep = overlap_bound(hu[u], hv[v], eu[u], ev[v]) >= needed(su[u] + sv[v])
+            keep = overlap_bound(hu[u], hv[v], eu[u], ev[v]) >= needed(su[u] + sv[v], percent)
             u, v = u[keep], v[keep]
             if not len(u):
                 continue
@@ -256,13 +277,13 @@ def tree_pairs(p: Points, left: Tree, right: Tree, same: bool) -> Iterator[tuple
             continue
         a, b = left.order[u], right.order[v]
         keep = (a != b) & (
-            overlap_bound(p.counts[a], p.counts[b], p.excess[a], p.excess[b]) >= needed(p.sizes[a] + p.sizes[b])
+            overlap_bound(p.counts[a], p.counts[b], p.excess[a], p.excess[b]) >= needed(p.sizes[a] + p.sizes[b], percent)
         )
         if keep.any():
             yield a[keep], b[keep]
 
 
-def nearest_earlier(p: Points) -> tuple[np.ndarray, np.ndarray]:
+def nearest_earlier(p: Points, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """For each point the nearest one among those closer to the middle, if the bound allows a link."""
     middle = np.median(p.counts, axis=0)
     order = np.argsort(np.abs(p.counts - middle).sum(axis=1), kind="stable")
@@ -270,7 +291,7 @@ def nearest_earlier(p: Points) -> tuple[np.ndarray, np.ndarray]:
     for i in range(1, len(order)):
         # An intersection bound high for the sizes: the likeliest partner.
         bound = overlap_bound(counts[:i], counts[i], p.excess[order[:i]], p.excess[order[i]])
-        spare = bound - needed(p.sizes[order[:i]] + p.sizes[order[i]])
+        spare = bound - needed(p.sizes[order[:i]] + p.sizes[order[i]], percent)
         j = int(np.argmax(spare))
         if spare[j] >= 0:
             a.append(order[i])
@@ -278,7 +299,7 @@ def nearest_earlier(p: Points) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-def bucket_pairs(rows: list[tuple], first_round: bool) -> Iterator[tuple[bytes, bytes]]:
+def bucket_pairs(rows: list[tuple], first_round: bool, percent: int = PERCENT) -> Iterator[tuple[bytes, bytes]]:
     """Pairs of classes to verify from one bucket or pair of blocks.
 
     Rows: (block, class, size, counts, component or None, blocks i and j).
@@ -287,22 +308,23 @@ def bucket_pairs(rows: list[tuple], first_round: bool) -> Iterator[tuple[bytes,
     i, j = rows[0][5], rows[0][6]
     blocks = np.array([r[0] for r in rows])
     if first_round and len(rows) > SMALL_BUCKET:
-        found = [nearest_earlier(p)]
+        found = [nearest_earlier(p, percent)]
     else:
         here = np.flatnonzero(blocks == i)
         left = Tree(p, here)
         if i == j:
-            found = tree_pairs(p, left, left, same=True)
+            found = tree_pairs(p, left, left, same=True, percent=percent)
         else:
             there = np.flatnonzero(blocks == j)
-            found = tree_pairs(p, left, Tree(p, there), same=False) if len(there) and len(here) else []
+            both = len(there) and len(here)
+            found = tree_pairs(p, left, Tree(p, there), same=False, percent=percent) if both else []
     for a, b in found:
         for x, y in zip(a.tolist(), b.tolist()):
             if rows[x][4] is None or rows[x][4] != rows[y][4]:
                 yield (rows[x][1], rows[y][1]) if rows[x][1] < rows[y][1] else (rows[y][1], rows[x][1])
 
 
-def candidates(filed: DataFrame, first_round: bool) -> DataFrame:
+def candidates(filed: DataFrame, first_round: bool, percent: int = PERCENT) -> DataFrame:
     """Distinct pairs ``a, b`` of classes from rows ``bucket, members, cls, n, counts, root``."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     cells = (
@@ -320,7 +342,7 @@ def candidates(filed: DataFrame, first_round: bool) -> DataFrame:
         for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
             members = [(*r[3:], i, j) for r in group]
             if len(members) > 1:
-                for pair in bucket_pairs(members, first_round):
+                for pair in bucket_pairs(members, first_round, percent):
                     if pair not in given:
                         given.add(pair)
                         out.append(pair)
@@ -356,12 +378,12 @@ def sets_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, n: i
     return map_arrow(rows, run, "cls binary, shingles binary").dropDuplicates(["cls"])
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
-    return PERCENT_OF * common >= PERCENT * (len(a) + len(b) - common)
+    return PERCENT_OF * common >= percent * (len(a) + len(b) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose sets are really linked."""
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
@@ -370,15 +392,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in (2, 3)]
-            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(*columns)]
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(*columns)]
             yield batch.select([0, 1]).filter(pa.array(keep, type=pa.bool_()))
 
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def membership(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
+def membership(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """``id, key, n, cls, root``: class and component (root: a class) of every row."""
-    rows = materialise(points(docs, id_col, text_col, n), "points")
+    rows = materialise(points(docs, id_col, text_col, n, percent), "points")
     filled = rows.filter("n > 0")
     one = filled.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("r"))
     one = one.select(F.col("cls").alias("_cls"), "r.id", "r.key")
@@ -408,10 +432,10 @@ def membership(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ).withColumn("root", F.coalesce("root", "cls"))
             open_ones = asked.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
             asked = asked.join(open_ones.filter("x <> y").select("bucket"), "bucket", "left_semi")
-        pairs = materialise(candidates(asked, first_round), "pairs")
+        pairs = materialise(candidates(asked, first_round, percent), "pairs")
         wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
         chosen = materialise(ids.join(wanted, "cls", "left_semi"), "wanted")
-        found = verified(pairs, sets_of(docs, chosen, id_col, text_col, n))
+        found = verified(pairs, sets_of(docs, chosen, id_col, text_col, n), percent)
         links = materialise(found if links is None else links.unionByName(found), "verified")
     roots = components(links)
     roots = materialise(roots.withColumnRenamed("node", "cls"), "roots")
@@ -432,12 +456,14 @@ def digest(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """``docs`` with one row of every component: the smallest id, then the smallest text hash.
 
     Rows with an empty set are all kept.
     """
-    found = materialise(membership(docs, id_col, text_col), "membership")
+    found = materialise(membership(docs, id_col, text_col, n, percent), "membership")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     first = found.filter("n > 0").groupBy("root").agg(F.min(order).alias("f"))
     first = first.select("root", F.col("f.id").alias("first_id"), F.col("f.key").alias("first_key"))

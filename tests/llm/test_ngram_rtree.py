@@ -146,3 +146,42 @@ def test_components_of_a_chain_and_a_star(spark):
     star = [(100, i) for i in range(101, 150)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 150)}}
+
+
+def pairs_of(texts, n, percent):
+    """Linked pairs by brute force for any shingle length and percentage."""
+    words = [WORD.findall((t or "").lower()) for _, t in texts]
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in words]
+    return [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+
+
+@pytest.mark.parametrize("n, percent", [(5, 80), (4, 50), (2, 100)])
+def test_keep_one_takes_length_and_similarity(spark, n, percent):
+    texts = families(6, 8, 10, (6, 60), 3) + families(7, 4, 20, (150, 400), 14)
+    texts = [(i, t) for i, (_, t) in enumerate(texts)]
+    first = list(range(len(texts)))
+    for a, b in pairs_of(texts, n, percent):
+        first = [min(first[a], first[b]) if f in (first[a], first[b]) else f for f in first]
+    kept = j.keep_one(frame(spark, texts), n=n, percent=percent)
+    assert got(kept, "doc_id") == sorted(((i,) for i in set(first)), key=str)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_partners_share_a_bucket_at_any_percentage(percent):
+    draw = np.random.default_rng(9)
+    checked = 0
+    for _ in range(2000):
+        a = np.unique(draw.integers(0, 1 << 63, int(draw.integers(1, 400))).astype(np.uint64))
+        d = j.most_different(len(a) + j.largest_partner(len(a), percent), percent)
+        drop = int(draw.integers(0, min(d, len(a) - 1) + 1))
+        b = np.delete(a, draw.choice(len(a), drop, replace=False)) if drop else a
+        b = np.union1d(b, draw.integers(0, 1 << 63, int(draw.integers(0, d - drop + 1))).astype(np.uint64))
+        if j.linked(a, b, percent) and len(a) + len(b) - 2 * len(np.intersect1d(a, b)):
+            checked += 1
+            assert len(np.intersect1d(j.bucket_keys(a, percent), j.bucket_keys(b, percent)))
+    assert checked > 300
