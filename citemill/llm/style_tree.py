@@ -9,11 +9,17 @@ and presentations over its ``m`` pages, to the base ``m``, and branches of low
 importance are taken off each page. Before that, elements that by name, role or
 class are menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles or reader comments are left out, and what an ``article`` or ``main``
-element holds goes before the rest of the body.
+element holds goes before the rest of the body. A class or id never takes away
+what holds such an element, unless that is an ``article`` of such a class itself.
+
+Pages of a host with the same body (what ``article`` or ``main`` hold, or without
+them all that is kept) count as one page, so mirrored pages do not make their own
+text furniture. Copies that differ in the body count apart.
 
 Only (host, place, feature hash, count) rows are shuffled, summed per task first,
-so a host with a third of all pages is spread by place and feature. Places of low
-importance come back as one short list per host.
+so a host with a third of all pages is spread by place and feature. The bodies go
+the same way; only pages found to be copies are parsed again, and their counts
+taken off. Places of low importance come back as one short list per host.
 
 Defined cases: a null or empty page, or one without text, has the empty text;
 pages without a host are one site; rows with equal ids are worked on one by one
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 from citemill.llm.common import as_bytes, map_arrow
 from citemill.shared import lookup_join, materialise
 
-# A place needs so many pages, and less importance than this, to be furniture.
+# A place needs so many pages of different bodies, and less importance than this, to be furniture.
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.1
 # Inside an article only what is practically constant goes.
@@ -77,6 +83,9 @@ TAG = re.compile(
     r"|[!?/][^>]*+(?:>|\Z))"
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
+KEEP, BY_NAME, BY_CLASS = range(3)
+# Kinds of counted rows: presentation, content, and the body with a page's key.
+PRESENTATION, CONTENT, BODY = range(3)
 NAME_PARTS = re.compile(r"[a-z0-9]+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -84,12 +93,14 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 class Node:
     """An element with children (nodes and texts), its place and whether it is kept."""
 
-    __slots__ = ("name", "label", "children", "place", "dropped", "central", "counts")
+    __slots__ = ("name", "label", "children", "place", "dropped", "central", "counts", "reason", "opens", "holds")
 
     def __init__(self, name: str, label: str, place: int, dropped: bool, central: bool):
         self.name, self.label, self.place, self.dropped, self.central = name, label, place, dropped, central
         self.children: list = []
         self.counts: Counter = Counter()
+        #: Why it is left out by itself, whether it is an article or main part, whether it holds one.
+        self.reason, self.opens, self.holds = KEEP, False, False
 
 
 def hashed(*values) -> int:
@@ -103,14 +114,7 @@ def attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
 
 
-def unwanted(name: str, own: dict[str, str], in_article: bool) -> bool:
-    """Whether an element is left out by its name, role or class."""
-    if name in DROPPED or (name == "header" and not in_article):
-        return True
-    if name in KEPT_ALWAYS:
-        return False
-    if own.get("role", "").lower() in DROPPED_ROLES:
-        return True
+def class_dropped(own: dict[str, str]) -> bool:
     for value in (*own.get("class", "").lower().split(), own.get("id", "").lower()):
         parts = NAME_PARTS.findall(value)
         if parts and parts[0] not in QUALIFIERS and not DROPPED_CLASSES.isdisjoint(parts):
@@ -118,10 +122,29 @@ def unwanted(name: str, own: dict[str, str], in_article: bool) -> bool:
     return False
 
 
+def unwanted(name: str, own: dict[str, str]) -> int:
+    """Whether an element is left out by its name or role, or by its class or id. Headers: see :func:`settle`."""
+    if name in DROPPED:
+        return BY_NAME
+    if name in KEPT_ALWAYS:
+        return KEEP
+    if own.get("role", "").lower() in DROPPED_ROLES:
+        return BY_NAME
+    return BY_CLASS if class_dropped(own) else KEEP
+
+
+def settle(node: Node, parent: Node) -> None:
+    """Whether a node is dropped and whether it is central, once this is known of its parent."""
+    left_out = node.reason == BY_NAME or (node.reason == BY_CLASS and not node.holds)
+    node.dropped = parent.dropped or left_out or (node.name == "header" and not parent.central)
+    node.central = (parent.central or node.opens) and not node.dropped
+
+
 def parse(html: str) -> Node:
     """The page as a tree. Linear in the page but for very deep nesting of unclosed elements."""
     root = Node("", "", 0, False, False)
     stack, open_names, at = [root], Counter(), 0
+    held_back = False
     lower = None
 
     def close(depth: int) -> None:
@@ -169,11 +192,18 @@ def parse(html: str) -> Node:
         classes = " ".join(sorted(own.get("class", "").lower().split()))
         label = f"{name}.{classes}" if classes else name
         parent.counts[label] += 1
-        central = parent.central or name in ("article", "main") or own.get("role", "").lower() == "main" or (
+        node = Node(name, label, hashed(parent.place, label, parent.counts[label]), False, False)
+        node.reason = unwanted(name, own)
+        node.opens = name in ("article", "main") or own.get("role", "").lower() == "main" or (
             own.get("itemprop", "") == "articleBody"
         )
-        dropped = parent.dropped or unwanted(name, own, parent.central)
-        node = Node(name, label, hashed(parent.place, label, parent.counts[label]), dropped, central and not dropped)
+        if node.opens and node.reason == KEEP and not (name == "article" and class_dropped(own)):
+            for above in reversed(stack):
+                if above.holds:
+                    break
+                above.holds = True
+                held_back |= above.reason == BY_CLASS
+        settle(node, parent)
         parent.children.append(node)
         if name in RAW:
             lower = html.lower() if lower is None else lower
@@ -187,6 +217,12 @@ def parse(html: str) -> Node:
         elif name not in VOID:
             stack.append(node)
             open_names[name] += 1
+    if held_back:
+        for node, down in walk(root):
+            if down:
+                for child in node.children:
+                    if isinstance(child, Node):
+                        settle(child, node)
     return root
 
 
@@ -206,16 +242,22 @@ def squeeze(text: str) -> str:
 
 
 def features(html: str) -> Iterator[tuple[int, int, int]]:
-    """(place, kind, hash) of the presentation (0) and the content (1) of every kept node."""
+    """(place, kind, hash) of the presentation and the content of every kept node; last (body, BODY, 0)."""
     inner: dict[int, int] = {}
+    central: list[int] = []
     for node, down in walk(parse(html)):
-        if down or node.dropped or not node.name:
+        if down or node.dropped:
             continue
         texts = [squeeze(c) if isinstance(c, str) else inner.get(id(c), 0) for c in node.children]
         content = hashed(*(t for t in texts if t))
-        inner[id(node)] = content
-        yield node.place, 0, hashed(*(c.label for c in node.children if isinstance(c, Node)))
-        yield node.place, 1, content
+        if not node.central:
+            central += [inner[id(c)] for c in node.children if isinstance(c, Node) and c.central]
+        if node.name:
+            inner[id(node)] = content
+            yield node.place, PRESENTATION, hashed(*(c.label for c in node.children if isinstance(c, Node)))
+            yield node.place, CONTENT, content
+        else:
+            yield hashed("body", *central) if central else content, BODY, 0
 
 
 def main_text(html: str, furniture: dict[int, float]) -> str:
@@ -261,21 +303,49 @@ def importance(counts: DataFrame) -> DataFrame:
     )
 
 
-def feature_counts(pages: DataFrame) -> DataFrame:
-    """``host, place, kind, feature, n`` over all pages; summed per piece before the shuffle."""
+def counted(pages: DataFrame, bodies: bool) -> DataFrame:
+    """``host, place, kind, feature, n`` over ``host, key, weight, html``; summed per piece before the shuffle.
+
+    With ``bodies``, rows of kind ``BODY`` have the body as place and the page's key as feature.
+    """
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts.update((host, *f) for f in features((html or b"").decode("utf-8", "replace")))
+        for host, key, weight, html in zip(*(c.to_pylist() for c in batch.columns)):
+            for place, kind, feature in features((html or b"").decode("utf-8", "replace")):
+                if kind != BODY:
+                    counts[host, place, kind, feature] += weight
+                elif bodies:
+                    counts[host, place, kind, key] += weight
         if counts:
             columns = [*zip(*counts), list(counts.values())]
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64()]
             names = ["host", "place", "kind", "feature", "n"]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
 
-    rows = map_arrow(pages.select("host", as_bytes("html").alias("html")), run, "host string, place long, kind int, feature long, n long")
-    return rows.groupBy("host", "place", "kind", "feature").agg(F.sum("n").alias("n"))
+    rows = pages.select("host", "key", "weight", as_bytes("html").alias("html"))
+    return map_arrow(rows, run, "host string, place long, kind int, feature long, n double")
+
+
+def feature_counts(pages: DataFrame) -> DataFrame:
+    """``host, place, kind, feature, n`` over the pages of different bodies."""
+    keyed = pages.select("host", F.xxhash64("html").alias("key"), "html")
+    same = ["host", "place", "kind", "feature"]
+    every = counted(keyed.withColumn("weight", F.lit(1.0)), True).groupBy(*same).agg(F.sum("n").alias("n"))
+    every = materialise(every, "features")
+    # The first key of a body stays; of several rows with that key one.
+    bodies = every.filter(F.col("kind") == BODY)
+    copied = bodies.groupBy("host", "place").agg(F.min("feature").alias("first"), F.sum("n").alias("pages"))
+    copied = materialise(copied.filter("pages > 1").drop("pages"), "copied")
+    weight = F.when(F.col("feature") == F.col("first"), 1 / F.col("n") - 1).otherwise(-1.0)
+    copies = lookup_join(bodies, copied, ["host", "place"], "inner", ["feature"])
+    copies = copies.select("host", F.col("feature").alias("key"), weight.alias("weight")).filter("weight < 0")
+    copies = materialise(copies, "copies")
+    counts = every.filter(F.col("kind") != BODY)
+    less = counted(lookup_join(keyed, copies, ["host", "key"], "inner", ["key"]), False)
+    # Rows of one key take off a fraction each; together these are whole.
+    sums = counts.unionByName(less).groupBy(*same).agg(F.round(F.sum("n")).cast("long").alias("n"))
+    return sums.filter("n > 0")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -70,6 +70,38 @@ def test_places_that_never_vary_are_furniture(spark):
     assert out[100] == ""
 
 
+@pytest.mark.parametrize("inside", ["article", "div"])
+def test_copies_of_a_page_keep_their_text(spark, inside):
+    def page(head, story, paragraphs):
+        text = "".join(f"<p>Part {k} of {story}</p>" for k in range(paragraphs))
+        return f"<body><aside>{head}</aside><{inside}>{text}</{inside}><div class=low>All rights kept</div></body>"
+
+    words = "".join(f" Part {k} of long" for k in range(12)).strip()
+    tail = "" if inside == "article" else " All rights kept"
+    # Copies that differ only in what is left out, copies in every byte, and a host of copies alone.
+    rows = [(i, f"http://a.org/{i}", page(i % 3, "long", 12)) for i in range(20)]
+    rows += [(100 + i, f"http://a.org/{100 + i}", page(i, f"story {i}", 3)) for i in range(15)]
+    rows += [(200, "http://b.org/x", page(0, "long", 12))] * 5
+    rows += [(210 + i, f"http://b.org/{i}", page(i, "long", 12)) for i in range(5)]
+    out = {r["page_id"]: r["text"] for r in style_tree.extract(pages(spark, rows)).collect()}
+    assert {out[i] for i in range(20)} == {words}
+    assert out[104] == "Part 0 of story 4 Part 1 of story 4 Part 2 of story 4"
+    assert {out[i] for i in (200, *range(210, 215))} == {words + tail}
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class=sidebar-layout><p>o</p><article><header>T</header><p>a</p></article></div>", "T a"),
+        ("<div id=search><div class=widget>w</div><main>m<div class=ad>x</div></main></div>", "m"),
+        ("<article>a</article><div class=comments><article class=comment>c</article></div>", "a"),
+        ("<nav><main>m</main></nav><p>a</p>", "a"),
+    ],
+)
+def test_classes_never_take_an_article(html, text):
+    assert text_of(html) == text
+
+
 def test_importance_is_the_entropy(spark):
     rows = [("h", 1, 1, f, n) for f, n in ((10, 3), (11, 1))] + [("h", 1, 0, 5, 4)]
     found = style_tree.importance(spark.createDataFrame(rows, "host string, place long, kind int, feature long, n long")).first()
