@@ -1,28 +1,35 @@
 """Licence scans: normalised text against licence templates by Dice coefficient over word bigrams.
 
-A document is looked at line by line, paragraph by paragraph and as a whole.
+A document is looked at line by line, paragraph by paragraph, as a whole, and in
+windows of words wherever it holds enough bigrams of one template; so a notice of
+several paragraphs, wrapped lines or a sentence is found inside a longer text too.
 Each such unit is normalised (lower case, words only, copyright lines out) and
 compared with the templates: twice the common bigrams over the sum of both, as
 multisets. A template is looked at only if its size alone allows the threshold,
 ``smaller / larger >= threshold / (2 - threshold)``, and if the unit holds one of
-its words that are rare among everyday words. Two templates that differ in a
+the words without which too few of its bigrams are left. Windows begin and end with
+a bigram of the template. Of a template's windows that overlap the most similar one
+stays, of those of different templates the one with most common bigrams; a window
+within a unit that matches is not named again. Two templates that differ in a
 version number or a clause are told apart by the better coefficient.
 
-Templates are short notices and the opening terms of the usual licences; a
-caller may give others.
+Templates are short notices, the terms of MIT and BSD and the notices of the
+other usual licences; a caller may give others.
 
 Defined cases: a null or empty text has no licence; of templates with equal
 coefficients the first by name counts; a unit found twice counts once; a null id
 stays null; rows with equal ids are scanned one by one; an empty table gives an
 empty result; other columns are not read. One pass, no shuffle; texts of any
-length, in time linear in them.
+length, in time linear in them for given templates.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +39,16 @@ from citemill.llm.common import as_bytes, map_arrow
 
 THRESHOLD = 0.8
 
+BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,"
+    " WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE"
+    " OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
 # Licence notices as they are published, by name.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -112,14 +129,16 @@ TEMPLATES: dict[str, list[str]] = {
         " this work.",
     ],
 }
-# Words of templates that a unit of everyday text seldom holds; one of them must occur.
+for _name in ("BSD-2-Clause", "BSD-3-Clause"):
+    TEMPLATES[_name].append(TEMPLATES[_name][1] + BSD_DISCLAIMER)
+
+# Words that everyday text seldom holds; they are asked for first (see ``Templates.gate``).
 TELLING = frozenset(
     "licence license licensed licenses redistribution redistributions permission waived copyright mozilla apache"
     " gnu mit bsd cc commons sublicense merchantability".split()
 )
 
 WORD = re.compile(r"[^\W_]+")
-TELLING_WORD = re.compile("|".join(sorted(TELLING)), re.I)
 COPYRIGHT_LINE = re.compile(r"^\W*(?:copyright\b|\(c\)|©)[^\n]*\d{4}[^\n]*$", re.I | re.M)
 
 
@@ -136,8 +155,30 @@ class Templates:
         self.threshold = threshold
         rows = [(name, bigrams(t)) for name, all_texts in sorted(texts.items()) for t in all_texts]
         self.rows = [(b.total(), name, b) for name, b in rows if b]
-        self.smallest = min((n for n, _, _ in self.rows), default=0) * threshold / (2 - threshold)
-        self.largest = max((n for n, _, _ in self.rows), default=0) * (2 - threshold) / threshold
+        # With a margin for rounding.
+        self.smallest = min((n for n, _, _ in self.rows), default=0) * threshold / (2 - threshold) - 1e-6
+        self.largest = max((n for n, _, _ in self.rows), default=0) * (2 - threshold) / threshold + 1e-6
+        self.gate = frozenset(w for _, _, grams in self.rows for w in self.asked(grams))
+        #: Which templates hold a bigram.
+        self.holders: dict[tuple, list[int]] = defaultdict(list)
+        for i, (_, _, grams) in enumerate(self.rows):
+            for gram in grams:
+                self.holders[gram].append(i)
+
+    def least_common(self, size: int) -> int:
+        """A match of a template of this size has at least so many common bigrams."""
+        # 2 * common >= threshold * (own + size) and own >= common; the margin is for rounding.
+        return max(1, math.ceil(size * self.threshold / (2 - self.threshold) - 1e-9))
+
+    def asked(self, grams: Counter) -> set[str]:
+        """Words of which a match must hold one: the bigrams without them are too few."""
+        words = sorted({w for g in grams for w in g}, key=lambda w: (w not in TELLING, -len(w), w))
+        asked, least = set(), self.least_common(grams.total())
+        for word in words:
+            if sum(c for g, c in grams.items() if asked.isdisjoint(g)) < least:
+                break
+            asked.add(word)
+        return asked
 
     def fits(self, own: int, other: int) -> bool:
         """Whether the sizes alone allow the threshold."""
@@ -175,20 +216,80 @@ def units(text: str) -> Iterator[tuple[int, int]]:
         yield 0, len(text)
 
 
+def apart(windows: list[tuple], order: Callable[[tuple], tuple]) -> list[tuple]:
+    """Windows (first, last bigram, ...) that do not overlap, the best in ``order`` first."""
+    starts, kept = [], []
+    for w in sorted(windows, key=order):
+        at = bisect_right(starts, w[0])
+        if (at and kept[at - 1][1] >= w[0]) or (at < len(kept) and kept[at][0] <= w[1]):
+            continue
+        starts.insert(at, w[0])
+        kept.insert(at, w)
+    return kept
+
+
+def template_windows(hits: list[int], seq: list[tuple], size: int, grams: Counter, templates: Templates) -> list[tuple]:
+    """(first, last bigram, common, coefficient) of the windows like one template; ``hits`` are its bigrams' places."""
+    least, longest = templates.least_common(size), int(size * (2 - templates.threshold) / templates.threshold + 1e-9)
+    found = []
+    for i, first in enumerate(hits):
+        end = bisect_left(hits, first + longest, i)
+        if end - i < least:
+            continue
+        left, common, best = dict(grams), 0, None
+        for last in hits[i:end]:
+            if left[seq[last]]:
+                left[seq[last]] -= 1
+                common += 1
+                dice = 2 * common / (last - first + 1 + size)
+                if dice >= templates.threshold and (best is None or dice > best[3]):
+                    best = (first, last, common, dice)
+        if best:
+            found.append(best)
+    return apart(found, lambda w: (-w[3], w[0], w[1]))
+
+
+def windows(text: str, templates: Templates) -> Iterator[tuple[str, float, int, int]]:
+    """Matches anywhere in the text, without regard to lines."""
+    # Copyright lines are blanked, so that places stay.
+    text = COPYRIGHT_LINE.sub(lambda m: " " * len(m[0]), text)
+    words = [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+    seq = [(a[0], b[0]) for a, b in zip(words, words[1:])]
+    places = defaultdict(list)
+    for at, gram in enumerate(seq):
+        for i in templates.holders.get(gram, ()):
+            places[i].append(at)
+    found = []
+    for i, hits in places.items():
+        size, name, grams = templates.rows[i]
+        if len(hits) >= templates.least_common(size):
+            found += [(*w, name) for w in template_windows(hits, seq, size, grams, templates)]
+    for first, last, _, dice, name in apart(found, lambda w: (-w[2], -w[3], w[4], w[0])):
+        yield name, dice, words[first][1], words[last + 1][2]
+
+
 def scan(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
     """(licence, coefficient, start, end) of the units that match, by place. Spans are code points."""
-    if not TELLING_WORD.search(text):
+    if templates.gate.isdisjoint(WORD.findall(text.lower())):
         return []
-    found = []
+    found = set()
     for start, end in units(text):
-        # Each bigram takes at least two code points; a unit far too long is no template.
         unit = text[start:end]
-        if not TELLING_WORD.search(unit):
+        if templates.gate.isdisjoint(WORD.findall(unit.lower())):
             continue
         grams = bigrams(unit)
         if templates.smallest <= grams.total() <= templates.largest and (best := templates.best(grams)):
-            found.append((best[0], round(best[1], 6), start, end))
-    return sorted(set(found), key=lambda f: (f[2], f[3], f[0]))
+            found.add((best[0], round(best[1], 6), start, end))
+    # The furthest end of the matches up to each start tells whether a window lies within one.
+    starts, ends = [], []
+    for _, _, start, end in sorted(found, key=lambda f: f[2]):
+        starts.append(start)
+        ends.append(max(end, ends[-1] if ends else 0))
+    for name, dice, start, end in windows(text, templates):
+        at = bisect_right(starts, start)
+        if not at or ends[at - 1] < end:
+            found.add((name, round(dice, 6), start, end))
+    return sorted(found, key=lambda f: (f[2], f[3], f[0]))
 
 
 def licenses(

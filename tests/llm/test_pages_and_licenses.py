@@ -175,3 +175,33 @@ def test_size_bound_never_hides_a_match():
         for size, _, _ in templates.rows:
             if 2 * min(n, size) / (n + size) >= templates.threshold:
                 assert templates.fits(n, size) and templates.smallest <= n <= templates.largest
+
+
+LONG = "\n\n".join(f"Story {i} goes on about wind, rain and the {i} old roads of that valley." for i in range(60))
+MIT, BSD = license_dice.TEMPLATES["MIT"][2], license_dice.TEMPLATES["BSD-3-Clause"][-1]
+
+
+@pytest.mark.parametrize(
+    ("inside", "name"),
+    [
+        # As published: three paragraphs; clauses as own paragraphs, with the disclaimer.
+        (MIT.replace("The above", "\n\nThe above").replace("THE SOFTWARE IS", "\n\nTHE SOFTWARE IS"), "MIT"),
+        (re.sub(r"(\d\. |THIS SOFTWARE)", r"\n\n\1", BSD), "BSD-3-Clause"),
+        ("Some words before it " + MIT.replace(" ", "\n") + "\nand others after it, " * 40, "MIT"),
+        ("It rained. This project is licensed under the MIT License. Then, after a while, the sun came out.", "MIT"),
+    ],
+)
+def test_notices_inside_longer_texts(inside, name):
+    for text in (f"{LONG}\n\n{inside}\n\n{LONG}", f"{LONG} {inside} {LONG}"):
+        found = license_dice.scan(text, license_dice.Templates())
+        assert [f[0] for f in found] == [name]
+        assert all(license_dice.THRESHOLD <= f[1] <= 1 and text[f[2] : f[3]].strip() for f in found)
+
+
+def test_words_asked_for_follow_from_the_templates():
+    own = license_dice.Templates({"X": ["use it as you wish but never sell what you make of it"]})
+    assert license_dice.scan("a b c. Use it as you wish, but never sell what you make of it! " + "d e f " * 30, own)
+    for templates in (own, license_dice.Templates()):
+        for size, _, grams in templates.rows:
+            rest = sum(c for g, c in grams.items() if templates.gate.isdisjoint(g))
+            assert 2 * rest < templates.threshold * (rest + size)
