@@ -5,6 +5,10 @@ number with its Luhn digit, international phone number, bank account number with
 its mod-97 remainder). A national number has no checksum and counts only with a
 telling word nearby. Every search runs in time linear in the text.
 
+An account number ends where its country's length says, whatever capitals or
+digits follow after a space; for countries without a known length the ends of
+its groups are tried from the longest on.
+
 Spans are code points, end exclusive. Defined cases: a null or empty text has no
 spans; a null id stays null; rows with equal ids are searched one by one; an
 empty table gives an empty result; extra columns are not read by :func:`find`
@@ -48,6 +52,17 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+# Lengths of account numbers by country, from the IBAN registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 
@@ -107,7 +122,24 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(account) <= 34 and mod97(account)
 
 
-PATTERNS = [("ip", IP, ip_ok), ("card", CARD, card_ok), ("phone", PHONE, phone_ok), ("iban", IBAN, iban_ok)]
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers, leftmost first. A match takes in what may follow, so the search goes on right after its number."""
+    match = IBAN.search(text)
+    while match:
+        whole = match.group()
+        # Ends of groups; a number never ends within a run.
+        ends = [len(whole), *(i for i in range(len(whole) - 1, 0, -1) if whole[i] == " ")]
+        length = IBAN_LENGTHS.get(whole[:2])
+        if length:
+            # Known countries: their length, or else the whole match.
+            ends = [e for e in ends if e - whole.count(" ", 0, e) == length] + [len(whole)]
+        end = next((e for e in ends if iban_ok(whole[:e])), None)
+        if end:
+            yield match.start(), match.start() + end
+        match = IBAN.search(text, match.start() + (end or 1))
+
+
+PATTERNS = [("ip", IP, ip_ok), ("card", CARD, card_ok), ("phone", PHONE, phone_ok)]
 
 
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
@@ -121,7 +153,9 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
             continue
         for match in pattern.finditer(text):
             if check(match.group()):
-                yield kind, match.start(), match.end(), kind in ("card", "iban")
+                yield kind, match.start(), match.end(), kind == "card"
+    for start, end in ibans(text):
+        yield "iban", start, end, True
     for match in NATIONAL_ID.finditer(text):
         yield "national_id", match.start(), match.end(), False
 

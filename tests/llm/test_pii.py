@@ -86,3 +86,27 @@ def test_redact_masks_and_keeps_the_rest(spark):
     assert out.columns == rows.columns
     masked = "call [PHONE] or [EMAIL] now"
     assert got(out, "doc_id", "text", "n_chars") == [(1, masked, len(masked)), (2, "clean", 5), (3, None, None)]
+
+
+@pytest.mark.parametrize(
+    ("text", "accounts"),
+    [
+        ("BE68539007547034 BIC GEBABEBB", ["BE68539007547034"]),
+        ("BE68 5390 0754 7034 BIC GEBABEBB", ["BE68 5390 0754 7034"]),
+        ("ES9121000418450200051332 EUR 500", ["ES9121000418450200051332"]),
+        ("AT611904300234573201 BIC: X", ["AT611904300234573201"]),
+        ("PAY AB12 CDEF GHIJ BE68539007547034 DE89370400440532013000 NOW", ["BE68539007547034", "DE89370400440532013000"]),
+        ("NO9386011117947 NL91ABNA0417164300 IBAN", ["NO9386011117947", "NL91ABNA0417164300"]),
+        ("BE68539007547034ABCD", []),
+    ],
+)
+def test_accounts_end_before_what_follows(text, accounts):
+    assert [text[a:b] for k, a, b, _ in pii.spans_of(text) if k == "iban"] == accounts
+    assert not any(a in pii.masked(text) for a in accounts)
+
+
+@pytest.mark.parametrize("text", ["AB12 " * 40_000, "AB12CDEF" * 25_000, "BE68 5390 0754 7034 " * 10_000])
+def test_account_search_is_linear(text):
+    began = time.time()
+    pii.spans_of(text)
+    assert time.time() - began < 5
