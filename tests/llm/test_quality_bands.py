@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
+from pydoc_data.topics import topics
 
+import pytest
 import zstandard
 from llm.conftest import ODD, got, texts_of
 
@@ -71,3 +74,36 @@ def test_chunk_rest_joins_the_last_chunk():
     assert q.chunk_sizes(9000) == [(0, 4096), (4096, 9000)]
     assert q.chunk_sizes(10) == [(0, 10)]
     assert q.chunk_sizes(8192) == [(0, 4096), (4096, 8192)]
+
+
+ALPHABETS = {
+    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 501),
+    "alphanumeric": ("abcdefghijklmnopqrstuvwxyz0123456789", 1301),
+    "a-z": ("abcdefghijklmnopqrstuvwxyz", 3201),
+    "hex": ("0123456789abcdef", 6401),
+}
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_random_words_are_rejected_in_every_class_from_a_size_on(name):
+    alphabet, smallest = ALPHABETS[name]
+    draw = random.Random(name)
+    sizes = [n for b, _, _ in q.BANDS[:-1] for n in (b, b + 1) if n >= smallest] + [40000]
+    for size in sizes * 3:
+        text = ""
+        while len(text) < size:
+            text += "".join(draw.choices(alphabet, k=draw.randint(3, 9))) + " "
+        assert not q.judge([text[:size].encode()])["kept"][0], size
+
+
+def test_prose_is_not_below_its_band(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(labels, "doc_id", "left_semi")
+    texts = [t.encode() for _, t in texts_of(docs)]
+    manuals = [re.sub(r"\s+", " ", t).encode() for t in topics.values()]
+    texts += [t[i : i + n] for t in manuals for n in (501, 801, 1301, 2201, 3201, 6401) for i in range(0, len(t) - n, n)]
+    assert len(texts) > 500
+    press = zstandard.ZstdCompressor(level=q.LEVEL)
+    for t in texts:
+        low = next(low for most, low, _ in q.BANDS if len(t) <= most)
+        assert len(t) / len(press.compress(t)) >= low
