@@ -54,3 +54,55 @@ comp AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+ORACLE_SQL["op12_blocked_products"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+it AS (SELECT q, item_id, unnest(w) AS term FROM i),
+dt AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM it) GROUP BY r, term),
+f AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM dt, s GROUP BY term),
+p AS (
+  SELECT r, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w)::BIGINT * n_docs) // l)) AS impact
+  FROM dt JOIN d USING (r), s),
+scored AS (
+  SELECT q, any_value(item_id) AS item_id, r, sum(weight * impact)::BIGINT AS score
+  FROM it JOIN f USING (term) JOIN p USING (term) GROUP BY q, r),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLE_SQL["op13_prefix_targets"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY conv_id) AS n
+  FROM (
+    SELECT conv_id, turn, role, text FROM conversations UNION ALL
+    SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL
+    SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|</?SYS>>|/?INST\]|/?TURN\]|:\])', '\1\\\2\3', 'g')) + CASE role
+      WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 6
+      ELSE 19 + length(regexp_replace(role, '([<\[])(\\*)(/?s>|</?SYS>>|/?INST\]|/?TURN\]|:\])', '\1\\\2\3', 'g')) END AS size
+  FROM c),
+p AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place) + 3 AS so_far FROM e)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(so_far) FILTER (role = 'assistant' OR place = n)::BIGINT AS formatted_chars
+FROM p GROUP BY conv_id
+"""

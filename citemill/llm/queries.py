@@ -1,4 +1,4 @@
-"""The ten operators as queries over the shared tables: name -> f(spark, sf_dir)."""
+"""The operators as queries over the shared tables: name -> f(spark, sf_dir)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from citemill.llm import (
+    chat_examples,
     edit_tokens,
     gear_chunks,
+    lexical_search,
     license_dice,
     ngram_rtree,
     packing,
@@ -16,6 +18,7 @@ from citemill.llm import (
     quality_bands,
     style_tree,
     suffix_groups,
+    whitening,
     winnowing,
 )
 from citemill.llm.common import table
@@ -84,3 +87,19 @@ def op9_license_dice(spark, sf_dir):
 @query
 def op10_winnowing(spark, sf_dir):
     return winnowing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_jacobi_davidson(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_blocked_products(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_prefix_targets(spark, sf_dir):
+    rows = chat_examples.with_probe(spark, table(spark, sf_dir, "conversations"))
+    return chat_examples.digest(chat_examples.examples(rows))
