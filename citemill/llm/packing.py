@@ -13,10 +13,8 @@ Tokens never leave the task that made them: there is no shuffle, and a task
 holds a pool of bounded size. Sequence and group ids begin with the number of the
 partition, so a recomputed task gives the same ids.
 
-Tokens come from a file of the ``tokenizers`` library whose pre-tokeniser drops
-white space, parts letters from punctuation and lower-cases; a text is then the
-chain of its parts between spaces and line feeds, which are encoded once and
-remembered (up to a limit).
+Tokens come from a file of the ``tokenizers`` library, many texts at once
+(:mod:`token_runs`).
 
 Defined cases: a null or empty text is the end mark alone; a null id stays null;
 rows with equal ids are packed one by one; an empty table gives an empty result;
@@ -39,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.llm.common import as_bytes, pieces, small_batches
+from citemill.llm.token_runs import run_encoder
 
 TIERS = [256, 512, 1024, 2048]
 END_MARK = np.array([1], dtype="<u4").tobytes()
 # Tokens of pending documents: packing starts above the first, stops below the second.
 POOL_HIGH = 1 << 20
 POOL_LOW = 1 << 18
+# Text that is encoded in one go.
+ENCODED_BYTES = 2 << 20
 # Tokens of a step group, and how many groups are balanced against each other.
 STEP_TOKENS = 1 << 16
 STEP_GROUPS = 8
@@ -267,12 +268,12 @@ def pack(
     """One row per piece of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, rows = encoder(tokenizer_path), Packer(TaskContext.get().partitionId(), tiers), []
+        encode, packer, rows = run_encoder(tokenizer_path), Packer(TaskContext.get().partitionId(), tiers), []
         for batch in batches:
-            for piece in pieces(batch):
-                texts = [(t or b"").decode("utf-8", "replace") for t in piece.column(1).to_pylist()]
-                for doc, ids in zip(piece.column(0).to_pylist(), encode(texts)):
-                    rows.extend(packer.add(doc, ids + END_MARK))
+            for piece in pieces(batch, ENCODED_BYTES):
+                ids, bounds = encode([t or b"" for t in piece.column(1).to_pylist()])
+                for doc, start, end in zip(piece.column(0).to_pylist(), bounds, bounds[1:]):
+                    rows.extend(packer.add(doc, ids[start:end].tobytes() + END_MARK))
                 if len(rows) >= 10_000:
                     yield as_batch(rows)
                     rows = []

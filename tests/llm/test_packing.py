@@ -8,7 +8,7 @@ import pytest
 from llm.conftest import ODD, frame, texts_of
 from tokenizers import Tokenizer
 
-from citemill.llm import edit_tokens, packing
+from citemill.llm import edit_tokens, packing, token_runs
 from citemill.llm.queries import tokenizer_file
 
 PATH = tokenizer_file()
@@ -138,3 +138,35 @@ def test_sum_tree():
     assert tree.total == 55 - 25 + 100
     tree.change(10, 10, 0)
     assert tree.total == 120
+
+
+PIECES = ["a", "B", "é", "É", "í", "à", "ß", "×", ".", ",", "-", "'s", "'", " ", "\n", "\t", "1", "日", "Σ", "ς", "\u0301", "|",
+          "<|endoftext|>", "<|", "re", "LL", "\u3000", "\x85", "\x00", "İ", "ÿ", "Ÿ", "_", "(", "œ", "ſ", "ﬁ", "\u200b", "😀"]
+
+
+def test_any_text_has_the_ids_of_the_tokenizer(tokenizer):
+    draw = np.random.default_rng(8)
+    texts = ["".join(draw.choice(PIECES, int(draw.integers(0, 40)))) for _ in range(4000)]
+    texts += ["", " ", "x" * 300_000, "word " * 100_000, "Ééß " * 1000]
+    encode = token_runs.RunEncoder(PATH)
+    assert encode.splits
+    for part in (texts[:2000], texts[2000:], texts[1000:3000]):
+        ids, bounds = encode([t.encode() for t in part])
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(tokenizer, t)[:-1] for t in part]
+
+
+def test_what_is_remembered_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_runs, "REMEMBERED_BYTES", 20_000)
+    encode = token_runs.RunEncoder(PATH)
+    for i in range(12):
+        text = " ".join(f"{'abcdefghijkl'[i]}{chr(97 + j % 26)}{chr(97 + j // 26)}." for j in range(400))
+        ids, _ = encode([text.encode()])
+        assert ids.tolist() == ids_of(tokenizer, text)[:-1]
+        assert encode.known.nbytes + encode.known_ids.nbytes <= 20_000
+    assert token_runs.run_encoder(PATH) is token_runs.run_encoder(PATH)
+
+
+def test_a_file_that_splits_otherwise_gets_whole_texts(spark, sample):
+    path = tokenizer_file("byte_bpe_50k.json")
+    assert not token_runs.RunEncoder(path).splits
+    check(Tokenizer.from_file(path), texts_of(sample), packing.pack(sample, path).collect())

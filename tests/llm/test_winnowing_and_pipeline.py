@@ -143,4 +143,4 @@ def test_pipeline_takes_odd_documents(spark, odd, nothing):
 def test_every_sql_belongs_to_a_query():
     # tests/test_queries.py runs all registered queries against their SQL.
     assert set(ORACLE_SQL) <= set(QUERIES)
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
