@@ -6,6 +6,7 @@ the same as ``[^\\x20\\x09-\\x0D]+`` over code points.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 # one step stay small; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -39,13 +42,35 @@ def as_bytes(column: str | Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold at most ``BATCH_ROWS`` rows, unless the session has its own limit.
+    """Let Arrow batches hold at most ``BATCH_ROWS`` rows and ``BATCH_BYTES``, unless the session has its own limits.
 
     A row is a whole text here; the usual 10,000 rows are tens of megabytes in
     the JVM and again in Python, for every running task.
     """
     if spark.conf.get(ARROW_ROWS, "10000") == "10000":
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    if spark.conf.get(ARROW_BYTES, "67108864b") in ("67108864b", "67108864", "64m", "64MB", "-1"):
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return memory that a finished task has freed to the system; workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
+def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``f`` for ``mapInArrow``, with its memory given back at the end of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -60,7 +85,7 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBat
                 yield from f(piece)
 
     small_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -81,10 +106,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse, modulo 2**64."""
     if len(_powers.get("up", ())) < n:
         size = max(n, 1 << 16)
+        found = {}
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+            found[name] = np.multiply.accumulate(steps, out=steps)
+        if size > PIECE_BYTES + 1:  # for one very long word; not kept
+            return found["up"], found["down"]
+        _powers.update(found)
     return _powers["up"][:n], _powers["down"][:n]
 
 

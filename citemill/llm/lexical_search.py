@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from citemill.llm.common import as_bytes, hash_spans, map_arrow, small_batches
+from citemill.llm.common import as_bytes, hash_spans, map_arrow, small_batches, tidy
 from citemill.shared import materialise
 
 K = 50
@@ -157,7 +157,7 @@ def statistics(counted: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
             names=["term", "total"],
         )
 
-    sums = counted.select("n", "terms").mapInArrow(run, "term long, total long").groupBy("term").agg(F.sum("total"))
+    sums = counted.select("n", "terms").mapInArrow(tidy(run), "term long, total long").groupBy("term").agg(F.sum("total"))
     df = np.zeros(size, dtype=np.int64)
     found = {row[0]: row[1] for row in sums.collect()}  # one row per word of the block
     docs, words = found.pop(-2, 0), found.pop(-1, 0)
@@ -274,7 +274,7 @@ def best_of_tasks(
         )
 
     small_batches(counted.sparkSession)
-    return counted.mapInArrow(run, "item long, doc_id long, score long")
+    return counted.mapInArrow(tidy(run), "item long, doc_id long, score long")
 
 
 def cut(rows: DataFrame, by: list[str], k: int) -> DataFrame:

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import Words, as_bytes, join_rows, map_arrow, mix
+from citemill.llm.common import Words, as_bytes, join_rows, map_arrow, mix, small_batches, tidy
 from citemill.llm.components import components
 from citemill.shared import fits_broadcast, materialise
 
@@ -60,6 +60,10 @@ BLOCK = 1024
 # Buckets of up to so many sets give all their pairs at once.
 SMALL_BUCKET = 12
 LEAF = 16
+# Pairs of boxes opened at once; each gives up to LEAF * LEAF pairs of points.
+NODE_PAIRS = 512
+# Pairs a task remembers so as not to give them again.
+GIVEN = 50_000
 BAND_RATIO = 1.4
 
 _GROUP_SALT = np.uint64(0xA0761D6478BD642F)
@@ -253,7 +257,7 @@ def tree_pairs(
     work = [(top, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while work:
         level, u, v = work.pop()
-        if len(u) > 4096:
+        if len(u) > NODE_PAIRS:
             half = len(u) // 2
             work += [(level, u[:half], v[:half]), (level, u[half:], v[half:])]
             continue
@@ -349,12 +353,13 @@ def candidates(filed: DataFrame, first_round: bool, percent: int = PERCENT) -> D
             if len(out) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.binary()) for c in zip(*out)], names=["a", "b"])
                 out = []
-            if len(given) > 200_000:
+            if len(given) > GIVEN:
                 given = set()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.binary()) for c in zip(*out)], names=["a", "b"])
 
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    small_batches(filed.sparkSession)
+    return ordered.mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 # --- verification ----------------------------------------------------------------------
@@ -395,7 +400,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(*columns)]
             yield batch.select([0, 1]).filter(pa.array(keep, type=pa.bool_()))
 
-    return both.mapInArrow(run, "a binary, b binary")
+    small_batches(pairs.sparkSession)
+    return both.mapInArrow(tidy(run), "a binary, b binary")
 
 
 def membership(

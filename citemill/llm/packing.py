@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import as_bytes, pieces, small_batches
+from citemill.llm.common import as_bytes, pieces, small_batches, tidy
 from citemill.llm.token_runs import run_encoder
 
 TIERS = [256, 512, 1024, 2048]
@@ -283,4 +283,4 @@ def pack(
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col).alias("text"))
     small_batches(docs.sparkSession)
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import small_batches
+from citemill.llm.common import small_batches, tidy
 from citemill.shared import materialise
 
 COMPONENTS = 8
@@ -85,7 +85,7 @@ def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")
     )
-    return rows.mapInArrow(run, "vec_id long, size long, x binary")
+    return rows.mapInArrow(tidy(run), "vec_id long, size long, x binary")
 
 
 def matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -106,7 +106,7 @@ def sum_by_place(
         values = partial(batches)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["place", "value"])
 
-    shares = rows.select("x").mapInArrow(run, f"place long, value {kind}")
+    shares = rows.select("x").mapInArrow(tidy(run), f"place long, value {kind}")
     if tasks > FEW_TASKS:
         shares = shares.groupBy("place").agg(F.sum("value").alias("value"))
     found = shares.toArrow()
@@ -364,4 +364,4 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                 names=[c.split()[0] for c in SCHEMA.split(", ")],
             )
 
-    return fitted.rows.select("vec_id", "x").mapInArrow(run, SCHEMA)
+    return fitted.rows.select("vec_id", "x").mapInArrow(tidy(run), SCHEMA)

@@ -14,16 +14,16 @@ from citemill.llm.components import components
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, n=3):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = WORD.findall(low)
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def brute(texts):
-    sets = [shingles(t) for _, t in texts]
+def brute(texts, n=3, percent=90):
+    sets = [shingles(t, n) for _, t in texts]
     root = list(range(len(texts)))
 
     def find(i):
@@ -35,7 +35,7 @@ def brute(texts):
         for b in range(a):
             if sets[a] and sets[b]:
                 common = len(sets[a] & sets[b])
-                if 100 * common >= 90 * (len(sets[a]) + len(sets[b]) - common):
+                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
                     root[find(a)] = find(b)
     members = defaultdict(list)
     for i in range(len(texts)):

@@ -107,7 +107,7 @@ def test_pipeline_stages(spark, sample):
     docs = corpus_pipeline.quality_rules(spark, docs, SF)
     assert got(docs, "doc_id", "text") == sorted(kept, key=str)
 
-    first = {c for _, _, c in test_ngram_rtree.brute(kept)}
+    first = {c for _, _, c in test_ngram_rtree.brute(kept, n=5, percent=80)}
     kept = [(i, t) for i, t in kept if i in first]
     docs = corpus_pipeline.ngram_jaccard_join(spark, docs, SF)
     assert got(docs, "doc_id", "text") == sorted(kept, key=str)
