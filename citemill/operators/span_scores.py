@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.functions.ratios import f_score, precision, recall, span_f, span_ratio
-from citemill.operators.tagger import Dictionary, tag, term_statistics
-from citemill.shared import materialise
+from citemill.operators.tagger import Dictionary, matches, term_statistics, without_overlaps
+from citemill.shared import lookup_join, materialise
 
 # The labels that are scored, and the name of their pool.
 SCORED_LABELS = ["RADIOTRACER_S", "RADIOTRACER_L"]
@@ -92,12 +92,18 @@ def tagger_history(
 ) -> DataFrame:
     """(iteration, label, metric, value): scores of dictionaries that ask for
     more and more support. ``iteration`` is the support asked for.
+
+    The test texts are scanned once, with the largest dictionary; each smaller
+    one takes its part of the matches and settles their overlaps.
     """
     statistics = materialise(term_statistics(train, train_spans, keys, field), "statistics")
+    largest = Dictionary.of(statistics.where(F.col("support") >= min(supports)))
+    support_of = statistics.select("term", "support")
+    found = matches(test, largest, keys, [field])
+    found = materialise(lookup_join(found, support_of, ["term"], "inner", [*keys, "start"]), "matches")
     reports = []
     for support in supports:
-        learned = Dictionary.of(statistics.where(F.col("support") >= support))
-        predicted = tag(test, learned, keys, [field])
+        predicted = without_overlaps(found.where(F.col("support") >= support), keys)
         report = score_report(match_spans(test_spans, predicted, keys))
         reports.append(
             report.unpivot("label", ["precision", "recall", "fscore"], "metric", "value").select(

@@ -6,20 +6,16 @@ A dictionary has the columns ``term`` (normalised words joined by one space),
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citemill.functions.text import (
-    REMOVED_PUNCTUATION,
-    WORD_SPACES,
-    eights,
-    in_blocks,
-    let,
-    prefix_sums,
-)
-from citemill.shared import lookup_join, materialise
+from citemill import shared
+from citemill.functions.text import REMOVED_PUNCTUATION, WORD_SPACES, in_blocks, let
+from citemill.operators import term_scan
+from citemill.shared import materialise
 
 
 @dataclass
@@ -29,6 +25,22 @@ class Dictionary:
 
     table: DataFrame
     lengths: dict[int, tuple[int, int]]
+    _small: list[bool] = field(default_factory=list, repr=False)
+    _trie: list[Broadcast] = field(default_factory=list, repr=False)
+
+    def is_small(self) -> bool:
+        """Whether every executor can hold it."""
+        if not self._small:
+            self._small.append(shared.fits_broadcast(self.table.select("term", "label")))
+        return self._small[0]
+
+    def trie(self, spark: SparkSession) -> Broadcast:
+        """The dictionary for the scan tasks; only for one that :meth:`is_small`."""
+        if not self._trie:
+            rows = self.table.select("term", "label").collect()
+            trie = term_scan.Trie([r["term"] for r in rows], [r["label"] for r in rows])
+            self._trie.append(spark.sparkContext.broadcast(trie))
+        return self._trie[0]
 
     @staticmethod
     def of(table: DataFrame, name: str = "dictionary") -> Dictionary:
@@ -58,69 +70,39 @@ def word_norm(piece: Column) -> Column:
     return F.translate(F.lower(piece), WORD_SPACES + REMOVED_PUNCTUATION, "")
 
 
-def candidate_terms(text: Column, lengths: dict[int, tuple[int, int]]) -> Column:
-    """Runs of words of raw text that may be dictionary terms: (at, term, raw).
+SPAN_FIELDS = "start int, end int, label string, surface string, term string"
+HIT_FIELDS = "start int, end int, surface string, term string"
 
-    A run qualifies when the dictionary has terms of as many words, and its
-    number of characters lies between those of the shortest and longest one.
-    ``raw`` is the run as written, with the spaces behind it, and ``at`` its
-    offset: the spaces the text begins with, the earlier blocks of eight words,
-    and the earlier words of its own block.
+
+def texts_of(docs: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """``keys``, field, text: one row per text column."""
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
+    return docs.select(*keys, F.explode(each).alias("t")).select(*keys, "t.field", "t.text")
+
+
+def scanned(docs: DataFrame, keys: list[str], fields: list[str], scan) -> DataFrame:
+    """``keys``, field and the fields of what ``scan`` finds.
+
+    Finds become a column of their own before they are exploded, so that no text
+    is carried along. The outer form spares them the filter on the array's size
+    that the optimiser derives from a plain one: it would scan again below.
     """
-    lead = F.length(text) - F.length(F.ltrim(text, F.lit(WORD_SPACES)))
-    # A word with the spaces behind it; the pieces put together give the text.
-    pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
-
-    # One expression for all lengths, so the plan does not grow with the longest term.
-    known = F.arrays_zip(
-        F.lit([n for n in sorted(lengths)]).alias("n"),
-        F.lit([lengths[n][0] for n in sorted(lengths)]).alias("lo"),
-        F.lit([lengths[n][1] for n in sorted(lengths)]).alias("hi"),
-    )
+    found = texts_of(docs, keys, fields).select(*keys, "field", scan(F.col("text")).alias("found"))
+    return found.select(*keys, "field", F.inline_outer("found")).where(F.col("start").isNotNull())
 
-    def every(piece: Column, norm: Column, before: Column, chars: Column) -> Column:
-        def at(i: Column) -> Column:
-            offset, past = F.get(before, F.shiftright(i, 3)), i.bitwiseAND(7)
-            for k in range(1, 8):
-                offset = offset + F.when(past >= k, F.length(F.get(piece, i - k))).otherwise(0)
-            return offset
-
-        def fits(i: Column, size: Column) -> Column:
-            # Null, so false, when the run goes past the end.
-            run = F.get(chars, i + size["n"]) - F.get(chars, i) + size["n"] - 1
-            return run.between(size["lo"], size["hi"])
-
-        def joined(parts: Column, i: Column, n: Column, separator: str) -> Column:
-            # Fetched one by one; ``slice`` would copy the whole array.
-            return F.array_join(F.transform(F.sequence(i, i + n - 1), lambda k: F.get(parts, k)), separator)
-
-        def run(i: Column, n: Column) -> Column:
-            return F.struct(
-                at(i).alias("at"), joined(norm, i, n, " ").alias("term"), joined(piece, i, n, "").alias("raw")
-            )
-
-        def runs(i: Column) -> Column:
-            return F.transform(F.filter(known, lambda size: fits(i, size)), lambda size: run(i, size["n"]))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(norm)), runs))
-
-    def offsets(piece: Column, start: Column) -> Column:
-        sizes = eights(F.size(piece), lambda i: F.length(F.get(piece, i)))
-        return F.transform(prefix_sums(sizes), lambda v: v + start)
-
-    return let(
-        pieces,
-        lambda piece: let(
-            F.transform(piece, word_norm),
-            lambda norm: let(
-                let(lead, lambda start: offsets(piece, start)),
-                lambda before: let(
-                    let(F.concat(F.transform(norm, F.length), F.array(F.lit(0))), lambda sizes: prefix_sums(sizes)),
-                    lambda chars: every(piece, norm, before, chars),
-                ),
-            ),
-        ),
-    )
+
+def trie_scan(docs: DataFrame, dictionary: Dictionary, settle: bool):
+    trie = dictionary.trie(docs.sparkSession)
+    return term_scan.scanner(lambda texts: term_scan.trie_spans(trie.value, texts, settle), SPAN_FIELDS)
+
+
+def probable_hits(
+    docs: DataFrame, dictionary: Dictionary, keys: list[str], fields: list[str]
+) -> DataFrame:
+    """What a Bloom filter of the terms lets pass: ``keys``, field, start, end, surface, term."""
+    bloom = docs.sparkSession.sparkContext.broadcast(term_scan.bloom_of(dictionary.table))
+    scan = term_scan.scanner(lambda texts: term_scan.bloom_spans(bloom.value, texts), HIT_FIELDS)
+    return scanned(docs, keys, fields, scan)
 
 
 def matches(
@@ -128,44 +110,25 @@ def matches(
 ) -> DataFrame:
     """Every dictionary term found in the text columns, overlaps included.
 
-    Columns: ``keys``, field, start, end, label, surface, term. All fields go
-    through one plan. A dictionary that measures small is broadcast and only
-    matching rows leave the scan task; a larger one is joined on salted terms.
-    Span limits and surface are worked out for the matches alone: spaces and
-    punctuation around a match do not belong to it.
+    Columns: ``keys``, field, start, end, label, surface, term. A dictionary that
+    measures small is walked as a trie in the scan task. Of a larger one the
+    tasks hold a Bloom filter, and what passes it (the matches and about a
+    hundredth of all other runs of words that begin like a term) is joined with
+    the dictionary, salted. Spaces and punctuation around a match do not belong
+    to it.
     """
+    columns = [*keys, "field", "start", "end", "label", "surface", "term"]
     if not dictionary.lengths:
-        return docs.select(*keys).limit(0).selectExpr(
-            *keys, "'' AS field", "0 AS start", "0 AS end", "'' AS label", "'' AS surface",
-            "'' AS term",
-        )
-    texts = F.explode(
-        F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    )
-    # Candidates become a column of their own before they are exploded, so that
-    # no text is carried along with them. The outer form spares them the filter
-    # on the array's size that the optimiser derives from a plain one: it would
-    # compute the candidates again below.
-    found = candidate_terms(F.col("t.text"), dictionary.lengths)
-    flat = (
-        docs.select(*keys, texts.alias("t"))
-        .select(*keys, F.col("t.field").alias("field"), found.alias("found"))
-        .select(*keys, "field", F.inline_outer("found"))
-    )
-    hits = lookup_join(
-        flat, dictionary.table.select("term", "label"), ["term"], "inner", [*keys, "at"]
-    )
-    edges = F.lit(REMOVED_PUNCTUATION)
-    bare = F.rtrim(F.col("raw"), F.lit(WORD_SPACES))
-    start = F.col("at") + F.length(bare) - F.length(F.ltrim(bare, edges))
-    return (
-        hits.withColumn("surface", F.btrim(bare, edges))
-        .withColumn("start", start)
-        .select(
-            *keys, "field", "start", (F.col("start") + F.length("surface")).alias("end"),
-            "label", "surface", "term",
+        nothing = docs.select(*keys).limit(0)
+        return nothing.select(
+            *keys, F.lit("").alias("field"), F.lit(0).alias("start"), F.lit(0).alias("end"),
+            *[F.lit("").alias(c) for c in ("label", "surface", "term")],
         )
-    )
+    if dictionary.is_small():
+        return scanned(docs, keys, fields, trie_scan(docs, dictionary, False)).select(*columns)
+    terms = dictionary.table.select("term", "label")
+    hits = probable_hits(docs, dictionary, keys, fields)
+    return shared.salted_join(hits, terms, ["term"], "inner", [*keys, "start"]).select(*columns)
 
 
 def leftmost_longest(candidates: Column) -> Column:
@@ -229,10 +192,20 @@ def tag(
 ) -> DataFrame:
     """One row per entity: ``keys``, field, start, end, label, surface.
 
+    With a dictionary that measures small, overlaps are settled where the text is
+    scanned, and nothing is shuffled. Else see :func:`without_overlaps`.
+    """
+    if dictionary.lengths and dictionary.is_small():
+        return scanned(docs, keys, fields, trie_scan(docs, dictionary, True)).drop("term")
+    return without_overlaps(matches(docs, dictionary, keys, fields), keys)
+
+
+def without_overlaps(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Matches without those that overlap one before them or a longer one at the same start.
+
     Matches are sorted inside their document and cut into clusters wherever one
     begins behind the end of all earlier ones. Overlaps lie inside a cluster,
-    which is a handful of rows, and are settled there. A table bucketed by
-    ``keys`` needs no shuffle for any of this.
+    which is a handful of rows, and are settled there.
     """
     text = [*keys, "field"]
     ordered = Window.partitionBy(*text).orderBy("start", F.desc("end"), "label", "surface")
@@ -240,8 +213,7 @@ def tag(
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.coalesce(F.col("start") >= F.col("reached"), F.lit(True)).cast("int")
     clusters = (
-        matches(docs, dictionary, keys, fields)
-        .withColumn("reached", reached)
+        found.withColumn("reached", reached)
         .withColumn("cluster", F.sum(opens).over(so_far))
         .groupBy(*text, "cluster")
         .agg(F.collect_list(F.struct("field", "start", "end", "label", "surface")).alias("hits"))
