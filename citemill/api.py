@@ -7,13 +7,13 @@ operators; use those directly for anything else.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citemill.operators import classify, evaluate, genes, span_scores, tagger
 from citemill.operators.annotate import annotate
+from citemill.operators.logistic import LogisticModel
 from citemill.plans.filter_corpus import Scorer, filter_articles, naive_bayes_scorer
 from citemill.schemas import ANNOTATED_COLUMNS, LOAD_EXTRAS
 from citemill.shared import materialise
@@ -148,7 +148,7 @@ def _numbered(examples: DataFrame, name: str) -> DataFrame:
 class TextClassification:
     """Training and evaluation of a document classifier.
 
-    ``method`` is ``bayes`` (naive Bayes by counting) or ``logistic`` (MLlib).
+    ``method`` is ``bayes`` (naive Bayes by counting) or ``logistic`` (on hashed terms).
     """
 
     def __init__(self, spark: SparkSession, method: str = "bayes"):
@@ -158,7 +158,7 @@ class TextClassification:
         self.method = method
         self.train_data: DataFrame | None = None
         self.test_data: DataFrame | None = None
-        self.model: classify.NaiveBayesModel | PipelineModel | None = None
+        self.model: classify.NaiveBayesModel | LogisticModel | None = None
 
     def load_train_data(self, input_path: str) -> None:
         self.train_data = _numbered(labelled.read_cats(self.spark, input_path), "train")
@@ -206,7 +206,7 @@ class TextClassification:
         if self.method == "bayes":
             self.model.save(output_path)
         else:
-            self.model.write().overwrite().save(output_path)
+            self.model.save(self.spark, output_path)
 
 
 class Ner:

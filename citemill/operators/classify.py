@@ -3,8 +3,7 @@
 Two scorers share one shape, ``DataFrame -> DataFrame with a score column``:
 
 * a multinomial naive Bayes model, trained by counting and applied by a join;
-* an MLlib logistic regression on hashed term frequencies, applied row by row
-  without any shuffle.
+* a logistic regression on hashed terms, applied row by row without any shuffle.
 
 Any other callable of that shape can take their place.
 """
@@ -13,14 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import tokens
+from citemill.operators import logistic
 from citemill.schemas import POSITIVE
 from citemill.shared import fits_broadcast, materialise, salted_join
 
@@ -140,25 +136,17 @@ def score_naive_bayes(
 
 
 def train_logistic(
-    examples: DataFrame, features: int = 1 << 18, max_iter: int = 20, reg: float = 0.01
-) -> PipelineModel:
-    """Logistic regression on hashed term frequencies.
+    examples: DataFrame, features: int = logistic.FEATURES, max_iter: int = 20, reg: float = 0.01
+) -> logistic.LogisticModel:
+    """Logistic regression on hashed terms.
 
     The number of features bounds the model, however large the vocabulary is.
     """
-    positive = (F.try_element_at("cats", F.lit(POSITIVE)) >= 0.5).cast("double")
-    training = examples.select(tokens(F.col("text")).alias("toks"), positive.alias("label"))
-    stages = [
-        HashingTF(inputCol="toks", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        LogisticRegression(featuresCol="tfidf", labelCol="label", maxIter=max_iter, regParam=reg),
-    ]
-    return Pipeline(stages=stages).fit(training.where(F.col("label").isNotNull()))
+    return logistic.fit(examples, features, max_iter, reg)[-1].model
 
 
-def score_logistic(docs: DataFrame, model: PipelineModel, text: str = "abstract") -> DataFrame:
+def score_logistic(
+    docs: DataFrame, model: logistic.LogisticModel, text: str = "abstract"
+) -> DataFrame:
     """Add ``score`` to whole rows; no shuffle."""
-    ready = docs.withColumn("toks", tokens(F.coalesce(F.col(text), F.lit(""))))
-    scored = model.transform(ready)
-    score = F.round(vector_to_array("probability")[1], SCORE_DIGITS)
-    return scored.select(*docs.columns, score.alias("score"))
+    return docs.withColumn("score", F.get(logistic.scores(docs, [model], text), 0))

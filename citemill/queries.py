@@ -502,12 +502,12 @@ def stream_new_files_capped(spark, sf_dir):
 
 
 def _two_years(spark, sf_dir) -> str:
-    """Foreign parquet files of equal names and row numbers in two folders."""
+    """Foreign parquet files in folders of equal names, with equal row numbers, below two years."""
     landed = new_path(spark, "years")
     docs = corpus.articles(spark, sf_dir).drop("file_no", "row_idx")
     for year in (2022, 2023):
         part = docs.where(F.col("doc_id") % 2 == year % 2).withColumn("year", F.lit(year))
-        part.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{landed}/{year}/0001.parquet")
+        part.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(f"{landed}/{year}/0001.parquet")
     return landed
 
 

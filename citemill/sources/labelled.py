@@ -6,25 +6,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import surface
+from citemill.shared import lookup_join, materialise
 from citemill.sources.keyed_json import parsed
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """(text, body) of every example; ``body`` is the JSON text of its labels.
 
-    Two layouts are read: one pair per line, which is splittable, and a first
-    line that holds the list of all pairs, of which later lines are ignored. A
-    line that can't be read fails the job.
+    Two layouts are read, told apart file by file: one pair per line, which is
+    splittable, and a first line that holds the list of all pairs, of which later
+    lines of that file are ignored. A line that can't be read fails the job.
     """
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    nested = F.from_json("value", "array<array<string>>")
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     # Only a list of lists has a list in front, whatever the spaces between.
-    head = lines.limit(1).select(F.get(nested, 0).isNotNull().alias("all")).first()
-    if head is not None and head["all"]:
-        pairs = lines.limit(1).select(F.explode(parsed(F.col("value"), nested)).alias("p"))
-    else:
-        flat = parsed(F.col("value"), F.from_json("value", "array<string>"))
-        pairs = lines.select(flat.alias("p")).where(F.size("p") > 0)
+    listed = F.col("value").rlike(r"^\s*\[\s*\[")
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), place.alias("place"), listed.alias("listed")
+    )
+    lines = lines.where(F.trim("value") != "")
+    heads = lines.groupBy("file").agg(F.min(F.struct("place", "listed")).alias("head"))
+    heads = heads.where("head.listed").select("file", F.col("head.place").alias("first"))
+    lines = lookup_join(lines, materialise(heads, "list-files"), ["file"], "left", ["value"])
+    lines = lines.where(F.col("first").isNull() | (F.col("place") == F.col("first")))
+    nested = F.from_json("value", "array<array<string>>")
+    flat = F.from_json("value", "array<string>")
+    pairs = F.when(F.col("first").isNotNull(), parsed(F.col("value"), nested)).otherwise(
+        F.array(parsed(F.col("value"), flat))
+    )
+    pairs = lines.select(F.explode(pairs).alias("p")).where(F.size("p") > 0)
     body = F.get("p", 1)
     return pairs.select(
         F.get("p", 0).alias("text"), parsed(F.to_json("p"), body).alias("body")

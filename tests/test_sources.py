@@ -250,3 +250,15 @@ def test_one_row_per_key_of_a_load(spark, tmp_path):
     tables.create_table(spark, "twice_load", schema, str(tmp_path / "w"))
     tables.insert_ignore(spark.createDataFrame([(1, "b", None), (1, "a", "x"), (2, "c", "y")], schema), "twice_load")
     assert rows(spark.table("twice_load")) == [(1, "a", "x"), (2, "c", "y")]
+
+
+def test_labelled_files_of_both_layouts_in_a_folder(spark, tmp_path):
+    pair = lambda i: [f"text {i}", {"cats": {"POSITIVE_NUCL_MED": i % 2 == 0}}]
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps([pair(1), pair(2)]) + "\n" + json.dumps([["later", {}]]))
+    (folder / "b.json").write_text("\n" + json.dumps([pair(3)]))
+    (folder / "c.json").write_text("\n".join(json.dumps(pair(i)) for i in (4, 5)))
+    (folder / "d.json").write_text("[]\n")
+    got = {r["text"]: r["cats"]["POSITIVE_NUCL_MED"] for r in labelled.read_cats(spark, str(folder)).collect()}
+    assert got == {f"text {i}": float(i % 2 == 0) for i in range(1, 6)}
