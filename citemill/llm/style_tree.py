@@ -6,7 +6,10 @@ adds a presentation (the tags of its children) and a content (its text). A place
 whose presentation and content hardly vary over the site's pages, measured by
 entropy, is furniture: the importance of a node is the entropy of its contents
 and presentations over its ``m`` pages, to the base ``m``, and branches of low
-importance are taken off each page. Before that, elements that by name, role or
+importance are taken off each page, but for what an ``article`` or ``main``
+element holds: headings and closing lines that a site's articles share are text.
+The tree says nothing on places with fewer than ``MIN_PAGES`` pages of different
+bodies; there, names, roles and classes alone decide. Before that, elements that by name, role or
 class are menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles or reader comments are left out, and what an ``article`` or ``main``
 element holds goes before the rest of the body. A class or id never takes away
@@ -46,8 +49,6 @@ from citemill.shared import lookup_join, materialise
 # A place needs so many pages of different bodies, and less importance than this, to be furniture.
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.1
-# Inside an article only what is practically constant goes.
-MIN_IMPORTANCE_ARTICLE = 0.03
 # How much of the importance is that of the contents.
 CONTENT_WEIGHT = 0.9
 
@@ -70,9 +71,22 @@ DROPPED_CLASSES = frozenset(
     " cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe signup"
     " nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc sidebar sidenav rail aside widget"
     " footer header masthead topbar"
-    " comment comments commentlist reply replies respond disqus discussion"
+    " comment comments commentlist commenter commentary reply replies respond response responses disqus discussion"
+    " feedback reactions talkback guestbook"
     " share sharing social related recommended login search".split()
 )
+# Words that name other things as well: they count with no other words than these beside them,
+# and never take an element that holds text by its kind.
+AMBIGUOUS = frozenset(
+    "social search related share sharing notice notices discussion reply replies respond rail widget overlay modal header"
+    " consent promotion recommended subscribe login popup response responses feedback reactions".split()
+)
+COMPANIONS = frozenset(
+    "bar box button buttons links link list block section area container wrap wrapper form icons icon media post posts"
+    " article articles stories news items item row group panel top bottom left right main site page global inner js"
+    " to us this now me field input reader readers user users".split()
+)
+TEXT_ELEMENTS = frozenset("table figure p blockquote pre dl h1 h2 h3 h4 h5 h6".split())
 # Class parts that say that something else is there ("has-sidebar").
 QUALIFIERS = frozenset("has with no without is".split())
 KEPT_ALWAYS = frozenset("html body main article".split())
@@ -114,10 +128,17 @@ def attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
 
 
-def class_dropped(own: dict[str, str]) -> bool:
+def class_dropped(name: str, own: dict[str, str]) -> bool:
+    """Whether a class or the id of an element says that it is no article text."""
     for value in (*own.get("class", "").lower().split(), own.get("id", "").lower()):
         parts = NAME_PARTS.findall(value)
-        if parts and parts[0] not in QUALIFIERS and not DROPPED_CLASSES.isdisjoint(parts):
+        if not parts or parts[0] in QUALIFIERS:
+            continue
+        hits = DROPPED_CLASSES.intersection(parts)
+        if hits - AMBIGUOUS:
+            return True
+        beside = (p for p in parts if p not in hits and not p.isdigit())
+        if hits and name not in TEXT_ELEMENTS and COMPANIONS.issuperset(beside):
             return True
     return False
 
@@ -128,9 +149,9 @@ def unwanted(name: str, own: dict[str, str]) -> int:
         return BY_NAME
     if name in KEPT_ALWAYS:
         return KEEP
-    if own.get("role", "").lower() in DROPPED_ROLES:
+    if own.get("role", "").lower() in DROPPED_ROLES or own.get("itemprop", "").lower() == "comment":
         return BY_NAME
-    return BY_CLASS if class_dropped(own) else KEEP
+    return BY_CLASS if class_dropped(name, own) else KEEP
 
 
 def settle(node: Node, parent: Node) -> None:
@@ -197,7 +218,7 @@ def parse(html: str) -> Node:
         node.opens = name in ("article", "main") or own.get("role", "").lower() == "main" or (
             own.get("itemprop", "") == "articleBody"
         )
-        if node.opens and node.reason == KEEP and not (name == "article" and class_dropped(own)):
+        if node.opens and node.reason == KEEP and not (name == "article" and class_dropped(name, own)):
             for above in reversed(stack):
                 if above.holds:
                     break
@@ -268,10 +289,10 @@ def main_text(html: str, furniture: dict[int, float]) -> str:
     skip: Node | None = None
 
     def gone(node: Node) -> bool:
-        if node.dropped or node.name in KEPT_ALWAYS:
+        # What a site's articles share (headings, closing lines) is article text: the tree judges outside only.
+        if node.dropped or node.central or node.name in KEPT_ALWAYS:
             return node.dropped
-        low = furniture.get(node.place)
-        return low is not None and low < (MIN_IMPORTANCE_ARTICLE if node.central else MIN_IMPORTANCE)
+        return furniture.get(node.place, 1.0) < MIN_IMPORTANCE
 
     stack: list = [root]
     while stack:

@@ -102,6 +102,62 @@ def test_classes_never_take_an_article(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize("pages_of_host", [7, 10, 30])
+def test_lines_that_articles_share_stay(spark, pages_of_host):
+    def page(i):
+        return (
+            f"<body><div class=top>Welcome</div><article><h2>Abstract</h2><p>Finding {i} of {i * 7}.</p><h2>Methods</h2>"
+            f"<ul><li>Same step</li><li>Step {i}</li></ul><p>Funded by the same fund.</p></article><div>All rights kept</div></body>"
+        )
+
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(pages_of_host)]
+    out = {r["page_id"]: r["text"] for r in style_tree.extract(pages(spark, rows)).collect()}
+    assert out == {
+        i: f"Abstract Finding {i} of {i * 7}. Methods Same step Step {i} Funded by the same fund." for i in range(pages_of_host)
+    }
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='social-history'>kept</div><div class='social-links'>out</div>", "kept"),
+        ("<div id='search-results-study'>kept</div><div id='search-box'>out</div><div class='search'>out</div>", "kept"),
+        ("<article>a<table class='related'><tr><td>b</td></tr></table><div class='related-posts'>out</div></article>", "a b"),
+        ("<article>a</article><div class='user-feedback'>out</div>", "a"),
+        ("<p>a</p><div class='feedback'>out</div><div itemprop=comment>out</div><div class='guestbook-7'>out</div>", "a"),
+        ("<p class=notice>kept</p><div class=notice>out</div><div class='page-header'>out</div>", "kept"),
+    ],
+)
+def test_ambiguous_names(html, text):
+    assert text_of(html) == text
+
+
+def test_tree_matches_a_plain_count(spark):
+    """What the tree takes off, counted page by page in plain Python."""
+    def page(i):
+        side = "<div><b>Menu</b><i>Home</i></div>" if i % 10 else "<div><b>Menu</b></div>"
+        return f"<body>{side}<div><p>Same line</p><p>Line {i}</p><p>{'odd' if i % 2 else 'even'}</p></div></body>"
+
+    n = 12
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(n)]
+    seen = [{}, {}]
+    for _, _, html in rows:
+        for place, kind, feature in style_tree.features(html):
+            if kind != style_tree.BODY:
+                seen[kind].setdefault(place, Counter())[feature] += 1
+    entropy = lambda c: -sum(k / sum(c.values()) * math.log(k / sum(c.values())) for k in c.values())
+    low = {}
+    for place in seen[0]:
+        m = sum(seen[0][place].values())
+        parts = [entropy(seen[kind][place]) / math.log(m) if m > 1 else 1.0 for kind in (0, 1)]
+        value = (1 - style_tree.CONTENT_WEIGHT) * parts[0] + style_tree.CONTENT_WEIGHT * parts[1]
+        if m >= style_tree.MIN_PAGES and value < style_tree.MIN_IMPORTANCE:
+            low[place] = value
+    expected = {i: style_tree.main_text(html, low) for i, _, html in rows}
+    out = {r["page_id"]: r["text"] for r in style_tree.extract(pages(spark, rows)).collect()}
+    assert out == expected and "Same line" not in out[3] and "Line 3" in out[3]
+
+
 def test_importance_is_the_entropy(spark):
     rows = [("h", 1, 1, f, n) for f, n in ((10, 3), (11, 1))] + [("h", 1, 0, 5, 4)]
     found = style_tree.importance(spark.createDataFrame(rows, "host string, place long, kind int, feature long, n long")).first()
