@@ -53,6 +53,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def give_back() -> None:
     """Return memory that a finished task has freed to the system; workers live on for other tasks."""
     pa.default_memory_pool().release_unused()

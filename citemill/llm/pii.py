@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import as_bytes, map_arrow
+from citemill.llm.common import as_bytes, free_name, map_arrow
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "iban", "national_id"]
@@ -209,7 +209,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         columns[place] = pa.array(texts, type=pa.string())
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    rows = docs.select("*", as_bytes(text_col).alias("_text_bytes"))
+    rows = docs.select("*", as_bytes(text_col).alias(free_name(docs, "_text_bytes")))
     out = map_arrow(rows, run, docs.schema)
     if "n_chars" in docs.columns:
         kept = F.char_length(text_col).cast(docs.schema["n_chars"].dataType)

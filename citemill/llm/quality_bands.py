@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import SPACES, Words, as_bytes, covered, map_arrow, per_text
+from citemill.llm.common import SPACES, Words, as_bytes, covered, free_name, map_arrow, per_text
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -163,5 +163,5 @@ def keep(docs: DataFrame, text_col: str = "text", bands=BANDS) -> DataFrame:
         kept = judge(_texts(batch), bands)["kept"]
         yield batch.select(range(batch.num_columns - 1)).filter(pa.array(kept))
 
-    rows = docs.select("*", as_bytes(text_col).alias("_text_bytes"))
+    rows = docs.select("*", as_bytes(text_col).alias(free_name(docs, "_text_bytes")))
     return map_arrow(rows, run, docs.schema)

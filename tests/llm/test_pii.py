@@ -110,3 +110,13 @@ def test_account_search_is_linear(text):
     began = time.time()
     pii.spans_of(text)
     assert time.time() - began < 5
+
+
+def test_a_column_of_the_helper_name(spark):
+    from citemill.llm import pii, quality_bands
+
+    text = " ".join(f"word{i} of some plain prose, mail a@b.org" for i in range(12))
+    docs = spark.createDataFrame([(1, text, "x", "y")], "doc_id long, text string, _text_bytes string, _text_bytes_ string")
+    row = pii.redact(docs).first()
+    assert (row["_text_bytes"], row["_text_bytes_"]) == ("x", "y") and "a@b.org" not in row["text"]
+    assert quality_bands.keep(docs).columns == docs.columns and quality_bands.keep(docs).count() in (0, 1)
