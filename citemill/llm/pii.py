@@ -2,8 +2,12 @@
 
 Five kinds are certain once their check holds (e-mail address, IP address, card
 number with its Luhn digit, international phone number, bank account number with
-its mod-97 remainder). A national number has no checksum and counts only with a
-telling word nearby. Every search runs in time linear in the text.
+its mod-97 remainder). IPv6 addresses must parse. Secrets are private key blocks,
+tokens of a known prefix, web tokens whose header decodes, passwords of addresses
+and assignments, and long runs mixed of letters and digits. These runs, like
+national numbers, have no check and count only with a telling word nearby; words
+such as "example" or "checksum" nearby lower a score. The four base kinds stay
+whatever their score. Every search runs in time linear in the text.
 
 An account number ends where its country's length says, whatever capitals or
 digits follow after a space; for countries without a known length the ends of
@@ -17,6 +21,10 @@ and passed on unchanged by :func:`redact`. One pass, no shuffle.
 
 from __future__ import annotations
 
+import base64
+import binascii
+import ipaddress
+import json
 import re
 from collections.abc import Iterator
 
@@ -27,13 +35,17 @@ from pyspark.sql import functions as F
 from citemill.llm.common import as_bytes, free_name, map_arrow
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-KINDS = [*BASE_KINDS, "iban", "national_id"]
+KINDS = [*BASE_KINDS, "iban", "national_id", "ip6", "private_key", "secret"]
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
-# Score of a proposed span, what a passed check adds, what a word nearby adds.
-PROPOSED = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "national_id": 0.3}
+# Score of a proposed span, what a passed check adds, what a word nearby adds, what a word of doubt takes.
+PROPOSED = {
+    "email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "national_id": 0.3,
+    "ip6": 0.3, "private_key": 0.9, "secret": 0.3,
+}
 CHECKED = 0.4
 NEARBY = 0.3
+DOUBT = 0.3
 THRESHOLD = 0.6
 CONTEXT_CHARS = 48
 CONTEXT = {
@@ -43,7 +55,12 @@ CONTEXT = {
     "phone": {"phone", "call", "tel", "mobile", "fax", "telefon", "telephone", "telefono"},
     "iban": {"iban", "account", "bank", "konto", "compte", "cuenta"},
     "national_id": {"ssn", "social", "security", "tax", "passport"},
+    "ip6": {"ip", "ipv6", "address", "host", "server", "adresse"},
+    "private_key": {"key", "private"},
+    "secret": {"secret", "token", "password", "passwd", "passwort", "apikey", "key", "bearer", "credential", "credentials"},
 }
+# Words that speak against a find; digests and revisions look like keys.
+DOUBTFUL = {"example", "sample", "dummy", "placeholder", "fake", "checksum", "digest", "sha", "md", "commit", "revision", "hash"}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -51,7 +68,7 @@ DIGIT = re.compile(r"[0-9]")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])")
 # Lengths of account numbers by country, from the IBAN registry.
 IBAN_LENGTHS = {
     country: length
@@ -64,6 +81,19 @@ IBAN_LENGTHS = {
     for country in countries.split()
 }
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IP6 = re.compile(r"(?<![A-Za-z0-9:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![A-Za-z0-9:])")
+KEY_BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY(?: BLOCK)?-----")
+KEY_END = re.compile(r"-----END (?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY(?: BLOCK)?-----")
+# Documented prefixes of access keys and tokens.
+KNOWN_TOKEN = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{22,255}"
+    r"|glpat-[A-Za-z0-9_-]{20,255}|xox[abeoprs]-[A-Za-z0-9-]{10,255}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}"
+    r"|[rs]k_(?:live|test)_[A-Za-z0-9]{16,255}|SG\.[A-Za-z0-9_-]{16,64}\.[A-Za-z0-9_-]{16,64})(?![A-Za-z0-9_-])"
+)
+WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
+URL_LOGIN = re.compile(r"://([^\s:/@\[\]]{1,128}:[^\s/@]{1,128})@")
+PASSWORD = re.compile(r"(?i)(?<![a-z])(?:password|passwd|passwort|pwd)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([^\s\"',;]{6,128})")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 
 SPANS = "array<struct<kind:string,start:long,end:long,score:double>>"
@@ -122,6 +152,32 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(account) <= 34 and mod97(account)
 
 
+def ip6_ok(text: str) -> bool:
+    """A real address; what code and clocks write with colons has too few groups."""
+    if sum(map(bool, text.split(":"))) < 3 or not DIGIT.search(text):
+        return False
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
+
+
+def web_token_ok(header: str) -> bool:
+    try:
+        fields = json.loads(base64.urlsafe_b64decode(header + "=" * (-len(header) % 4)))
+    except (binascii.Error, ValueError, RecursionError):
+        return False
+    return isinstance(fields, dict) and "alg" in fields
+
+
+def random_run(run: str) -> bool:
+    """Letters and digits in a mix that words, numbers and paths don't have: one in eight characters, and many changes."""
+    digits = [c.isdigit() for c in run]
+    changes = sum(a != b for a, b in zip(digits, digits[1:]))
+    return min(sum(digits), len(run) - sum(digits)) * 8 >= len(run) and changes * 6 >= len(run) and len(set(run)) >= 8
+
+
 def ibans(text: str) -> Iterator[tuple[int, int]]:
     """Account numbers, leftmost first. A match takes in what may follow, so the search goes on right after its number."""
     match = IBAN.search(text)
@@ -129,16 +185,60 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
         whole = match.group()
         # Ends of groups; a number never ends within a run.
         ends = [len(whole), *(i for i in range(len(whole) - 1, 0, -1) if whole[i] == " ")]
-        length = IBAN_LENGTHS.get(whole[:2])
+        length = IBAN_LENGTHS.get(whole[:2].upper())
         if length:
             # Known countries: their length, or else the whole match.
             ends = [e for e in ends if e - whole.count(" ", 0, e) == length] + [len(whole)]
+        elif not whole[:2].isupper():
+            ends = []
         end = next((e for e in ends if iban_ok(whole[:e])), None)
         if end:
             yield match.start(), match.start() + end
         match = IBAN.search(text, match.start() + (end or 1))
 
 
+def private_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Blocks from their first to their last line; an unclosed one is its first line."""
+    begin = KEY_BEGIN.search(text)
+    while begin:
+        end = KEY_END.search(text, begin.end())
+        follows = KEY_BEGIN.search(text, begin.end())
+        closed = end and (not follows or end.start() < follows.start())
+        yield begin.start(), end.end() if closed else begin.end()
+        begin = KEY_BEGIN.search(text, end.end()) if closed else follows
+        if not end:
+            # No later block is closed either.
+            while begin:
+                yield begin.span()
+                begin = KEY_BEGIN.search(text, begin.end())
+
+
+def secrets(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether form or header confirm it), each place once."""
+    found: dict[tuple[int, int], bool] = {}
+    for match in KNOWN_TOKEN.finditer(text):
+        found[match.span()] = True
+    if "eyJ" in text:
+        for match in WEB_TOKEN.finditer(text):
+            if web_token_ok(match.group(1)):
+                found[match.span()] = True
+    if "://" in text:
+        for match in URL_LOGIN.finditer(text):
+            found[match.span(1)] = True
+    for match in PASSWORD.finditer(text):
+        # A sentence about passwords goes on with a plain word.
+        if not match.group(1).isalpha():
+            found[match.span(1)] = True
+    sure, i = sorted(found), 0
+    for match in RUN.finditer(text):
+        while i < len(sure) and sure[i][1] <= match.start():
+            i += 1
+        if random_run(match.group()) and not (i < len(sure) and sure[i][0] < match.end()):
+            found[match.span()] = False
+    for (start, end), ok in found.items():
+        yield start, end, ok
+
+
 PATTERNS = [("ip", IP, ip_ok), ("card", CARD, card_ok), ("phone", PHONE, phone_ok)]
 
 
@@ -146,8 +246,17 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether a check has passed); spans whose check fails are dropped."""
     for start, end in emails(text):
         yield "email", start, end, False
+    if "PRIVATE KEY" in text:
+        for start, end in private_keys(text):
+            yield "private_key", start, end, False
+    for start, end, ok in secrets(text):
+        yield "secret", start, end, ok
     if not DIGIT.search(text):
         return
+    if ":" in text:
+        for match in IP6.finditer(text):
+            if ip6_ok(match.group()):
+                yield "ip6", match.start(), match.end(), True
     for kind, pattern, check in PATTERNS:
         if kind == "phone" and "+" not in text:
             continue
@@ -162,14 +271,15 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 def score(text: str, kind: str, start: int, end: int, checked: bool) -> float:
     around = text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]
-    near = not CONTEXT[kind].isdisjoint(w.lower() for w in WORD.findall(around))
-    return round(min(1.0, PROPOSED[kind] + CHECKED * checked + NEARBY * near), 2)
+    words = {w.lower() for w in WORD.findall(around)}
+    near, doubt = not CONTEXT[kind].isdisjoint(words), not DOUBTFUL.isdisjoint(words)
+    return round(max(0.0, min(1.0, PROPOSED[kind] + CHECKED * checked + NEARBY * near - DOUBT * doubt)), 2)
 
 
 def spans_of(text: str) -> list[tuple[str, int, int, float]]:
     """All spans by start, then kind."""
     found = [(kind, a, b, score(text, kind, a, b, ok)) for kind, a, b, ok in proposals(text)]
-    return sorted((x for x in found if x[3] >= THRESHOLD), key=lambda x: (x[1], ORDER[x[0]], x[2]))
+    return sorted((x for x in found if x[0] in BASE_KINDS or x[3] >= THRESHOLD), key=lambda x: (x[1], ORDER[x[0]], x[2]))
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -238,4 +348,5 @@ def digest(docs: DataFrame) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(spans).alias("spans"),
         *counts[len(BASE_KINDS) :],
+        F.size(spans).cast("long").alias("n_spans"),
     )
