@@ -471,7 +471,7 @@ def membership(
             asked = filed.filter(some).withColumn("root", F.lit(None).cast("binary"))
         else:
             # Buckets that are small, or in one component as a whole, are settled.
-            known = components(links)
+            known = materialise(components(links), "known")
             asked = filed.filter(F.col("members") > SMALL_BUCKET).join(
                 known.withColumnRenamed("node", "cls"), "cls", "left"
             ).withColumn("root", F.coalesce("root", "cls"))
@@ -481,7 +481,10 @@ def membership(
         wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
         chosen = materialise(ids.join(wanted, "cls", "left_semi"), "wanted")
         found = verified(pairs, sets_of(docs, chosen, id_col, text_col, n), percent)
-        links = materialise(found if links is None else links.unionByName(found), "verified")
+        if not first_round:
+            # The stars of the first round stand for its links.
+            found = found.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        links = materialise(found, "verified")
     roots = components(links)
     roots = materialise(roots.withColumnRenamed("node", "cls"), "roots")
     side = F.broadcast(roots) if fits_broadcast(roots) else roots
