@@ -120,6 +120,32 @@ def gene_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as genes nobody has ranked: types are names, brands symbols, part names aliases."""
+    ranked = gene_ref(spark, sf_dir)
+    return ranked.select(F.col("rank").alias("gene_id"), "name", "symbol", F.array("query").alias("aliases"), "ensembl")
+
+
+def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One free spelling per line item: a word or all words of a name, a brand, a type with another word, or none."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    line = F.col("l_linenumber")
+    mention = (
+        F.when(line == 1, F.substring_index("p_name", " ", -1))
+        .when(line == 2, F.concat(F.lit(" "), F.upper("p_name")))
+        .when(line == 3, F.replace("p_brand", F.lit("#"), F.lit("-")))
+        .when(line == 4, F.concat_ws(" / ", "p_type", "p_type"))
+        .when(line == 5, F.concat_ws(" ", "p_name", "p_type"))
+        .when(line == 6, F.lit("#"))
+    )
+    return (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+        .join(part, "p_partkey", "left")
+        .select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), mention.alias("protein_1_abstract"))
+    )
+
+
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One protein mention per line item: many rows share a name, some have none."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")

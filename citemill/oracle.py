@@ -259,6 +259,10 @@ MATCHED = [*GOLD, *matched("p_", "support >= 2 AND precision >= 0.9")]
 
 # --- genes -----------------------------------------------------------------------
 
+def words(text: str) -> str:
+    return f"list_distinct(list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda x: x <> ''))"
+
+
 GENES = """hits AS (
   SELECT p_name, min_by(CASE WHEN p_partkey % 11 <> 0 THEN p_type END, p_partkey)
            FILTER (WHERE first) AS name,
@@ -412,6 +416,27 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT row_id, protein_1_abstract, name AS "SIMILAR_PROTEIN",
   CASE WHEN name IS NOT NULL AND genes < 2 THEN gene END AS "SIMILAR_ENSEMBL",
   CASE WHEN name IS NOT NULL AND genes < 2 THEN symbol END AS "SIMILAR_GENE_LIST" FROM joined""",
+    ),
+    "gene_search": with_ctes(
+        f"""forms AS (
+  SELECT p_partkey AS id, 2 AS kind, {words('p_brand')} AS w FROM part
+  UNION ALL SELECT p_partkey, 1, {words('p_type')} FROM part WHERE p_partkey % 11 <> 0
+  UNION ALL SELECT p_partkey, 0, {words('p_name')} FROM part)""",
+        """mentions AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber) AS row_id,
+         CASE l_linenumber WHEN 1 THEN split_part(p_name, ' ', -1) WHEN 2 THEN ' ' || upper(p_name)
+           WHEN 3 THEN replace(p_brand, '#', '-') WHEN 4 THEN p_type || ' / ' || p_type
+           WHEN 5 THEN p_name || ' ' || p_type WHEN 6 THEN '#' END AS protein_1_abstract
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)""",
+        f"""asked AS (
+  SELECT key, {words('key')} AS q
+  FROM (SELECT DISTINCT lower(trim(protein_1_abstract)) AS key FROM mentions WHERE protein_1_abstract IS NOT NULL))""",
+        """best AS (
+  SELECT key, id FROM asked JOIN (SELECT *, unnest(w) AS word FROM forms) ON word = q[1] AND list_has_all(w, q)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY len(q) * 1000 // len(w) DESC, kind DESC, id) = 1)""",
+        """SELECT row_id, protein_1_abstract, CASE WHEN id % 11 <> 0 THEN p_type END AS "SIMILAR_PROTEIN",
+  CASE WHEN id % 3 <> 0 THEN 'ENSG' || id || 'a' END AS "SIMILAR_ENSEMBL", p_brand AS "SIMILAR_GENE_LIST"
+  FROM mentions LEFT JOIN best ON lower(trim(protein_1_abstract)) = key LEFT JOIN part ON id = p_partkey""",
     ),
     "xml_roundtrip": with_ctes(ARTICLE, EVERY_ARTICLE + " FROM article"),
     "reject_corrupt_files": with_ctes(
@@ -426,6 +451,11 @@ ORACLE_SQL: dict[str, str] = {
         ARTICLE,
         EVERY_ARTICLE + ", CAST(length(abstract) AS DOUBLE) / 2 AS class_value FROM article",
     ),
+    "keyed_json_per_file": with_ctes(
+        ARTICLE,
+        "SELECT file_no, " + EVERY_ARTICLE.removeprefix("SELECT ")
+        + ", CAST(length(abstract) AS DOUBLE) / 2 AS class_value FROM article",
+    ),
     "labelled_json_source": """
   SELECT text, CAST(quality AS DOUBLE) AS positive, CAST(1 - quality AS DOUBLE) AS negative
   FROM documents JOIN labels USING (doc_id)""",

@@ -355,6 +355,11 @@ def gene_lookup_strict(spark, sf_dir):
     )
 
 
+@query
+def gene_search(spark, sf_dir):
+    return genes.search_proteins(corpus.mentions(spark, sf_dir), corpus.genes(spark, sf_dir), "row_id")
+
+
 # --- sources, sinks and tables ---------------------------------------------------
 
 
@@ -415,6 +420,16 @@ def keyed_json_source(spark, sf_dir):
     return spark.table(name).select(*columns[:4], F.col("class_value").cast("double"))
 
 
+@query
+def keyed_json_per_file(spark, sf_dir):
+    """One object per input file, written and read again."""
+    path = new_path(spark, "keyed-files")
+    docs = corpus.articles(spark, sf_dir).drop("doc_id").withColumn("class_value", F.length("abstract") / 2)
+    keyed_json.write_keyed_files(docs, path)
+    back = keyed_json.read_keyed_json(spark, path, docs.schema, entries=True)
+    return back.select("file_no", "pmid", "title", "abstract", "journal", "class_value")
+
+
 @query
 def labelled_json_source(spark, sf_dir):
     path = new_path(spark, "labelled")

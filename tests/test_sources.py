@@ -262,3 +262,29 @@ def test_labelled_files_of_both_layouts_in_a_folder(spark, tmp_path):
     (folder / "d.json").write_text("[]\n")
     got = {r["text"]: r["cats"]["POSITIVE_NUCL_MED"] for r in labelled.read_cats(spark, str(folder)).collect()}
     assert got == {f"text {i}": float(i % 2 == 0) for i in range(1, 6)}
+
+
+def test_one_json_object_per_input_file(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(f"d/{'ab'[i % 2]}.parquet", "0007" if i % 3 else "00 8", i, str(i), f'a "b"\n{{{i}}},', None if i % 5 else f"é{i}")
+         for i in range(200)],
+        "file_path string, file_no string, row_idx long, pmid string, title string, abstract string",
+    )
+    files = docs.select("file_path", "file_no").unionByName(spark.createDataFrame([("d/c.parquet", "0009")], "file_path string, file_no string"))
+    out = str(tmp_path / "objects")
+    keyed_json.write_keyed_files(docs, out, files)
+    written = sorted((tmp_path / "objects").rglob("*.txt"))
+    objects = [json.loads(f.read_text(encoding="utf8")) for f in written]
+    assert len(written) == 5 and sorted(map(len, objects)) == [0, 33, 34, 66, 67]
+    for found in objects:
+        assert list(found) == sorted(found, key=int)  # in row order
+        assert all(v["title"] == f'a "b"\n{{{k}}},' and v.get("abstract") == (None if int(k) % 5 else f"é{k}") for k, v in found.items())
+    want = rows(docs.select("file_no", "pmid", "title", "abstract"))
+    for how in ({"entries": True}, {"whole_files": True}):
+        back = keyed_json.read_keyed_json(spark, out, docs.schema, **how)
+        assert rows(back.select("file_no", "pmid", "title", "abstract")) == want
+    # Without paths files go by their number; an empty table gives no file.
+    keyed_json.write_keyed_files(docs.drop("file_path"), str(tmp_path / "plain"))
+    assert len(list((tmp_path / "plain").rglob("*.txt"))) == 2
+    keyed_json.write_keyed_files(docs.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").rglob("*.txt"))
