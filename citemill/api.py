@@ -123,18 +123,23 @@ class Annotate:
 
 
 class Translate:
-    """Genes of the proteins in an annotated table."""
+    """Genes of the proteins in an annotated table.
 
-    def __init__(self, spark: SparkSession, gene_ref: DataFrame):
+    ``gene_ref`` holds ranked answers (``query, rank, ...``), or with ``ranked=False``
+    plain genes (``gene_id, name, symbol, aliases, ensembl``) that are searched.
+    """
+
+    def __init__(self, spark: SparkSession, gene_ref: DataFrame, ranked: bool = True):
         self.spark = spark
         self.gene_ref = gene_ref
+        self.lookup = genes.translate_proteins if ranked else genes.search_proteins
 
     def translate(
         self, annotated: DataFrame, output_path: str, key: str = "tab_id",
         strict_compat: bool = False,
     ) -> DataFrame:
         """Write the table with its three gene columns and read it back."""
-        genes.translate_proteins(annotated, self.gene_ref, key, strict_compat).write.mode(
+        self.lookup(annotated, self.gene_ref, key, strict_compat).write.mode(
             "overwrite"
         ).parquet(output_path)
         return self.spark.read.parquet(output_path)

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from citemill.api import Translate
 from citemill.operators.genes import search_proteins, translate_proteins
 from citemill.schemas import GENE_REF
 
@@ -89,3 +90,11 @@ def test_search_of_nothing(spark):
     genes = spark.createDataFrame(GENES, schema)
     assert search_proteins(proteins, genes.limit(0), "row_id").first()["SIMILAR_GENE_LIST"] is None
     assert search_proteins(proteins.limit(0), genes, "row_id").count() == 0
+
+
+def test_translate_searches_plain_genes(spark, tmp_path):
+    schema = "gene_id int, name string, symbol string, aliases array<string>, ensembl array<struct<gene:string>>"
+    proteins = spark.createDataFrame([(1, "ny co"), (2, None)], "tab_id int, protein_1_abstract string")
+    plain = Translate(spark, spark.createDataFrame(GENES, schema), ranked=False)
+    found = plain.translate(proteins, str(tmp_path / "out")).orderBy("tab_id").collect()
+    assert [(r["SIMILAR_GENE_LIST"], r["SIMILAR_ENSEMBL"]) for r in found] == [("TP53", "E3"), (None, None)]
