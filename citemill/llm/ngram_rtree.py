@@ -24,13 +24,16 @@ set itself and the set without each shingle instead.
 Shingle length and percentage are arguments; ``SHINGLE`` and ``PERCENT`` are those
 of op5.
 
-Only links that matter for components are verified, in two rounds. In the first,
+Only links that matter for components are verified, in three rounds. In the first,
 small buckets give all their pairs, and some of the larger ones, cut into blocks,
 give each set's nearest neighbour in its own and the bucket's first block: linear
-in the bucket. In the second, buckets that are not in one component yet are
-joined by trees, in blocks of ``BLOCK`` sets: sets outside the bucket's largest
-component with all sets of the bucket. So a bucket that variants of one text fill
-costs its size times the few that the first round left out, not its square.
+in the bucket. The others look at buckets that are not in one component yet, in
+blocks of ``BLOCK`` sets: sets outside the bucket's largest component meet all sets
+of the bucket. In the second round each of them gives its likeliest partner of
+another component in a block, since one link is enough to join it; in the third,
+what is still open is joined by trees, and every pair whose bound allows a link is
+given. So a bucket that variants of one text fill costs its size times the few that
+the rounds before left out, not its square, and no link is lost.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; copies are one class and linked; rows with equal ids but
@@ -309,16 +312,38 @@ def nearest_earlier(p: Points, percent: int = PERCENT) -> tuple[np.ndarray, np.n
     return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-def bucket_pairs(rows: list[tuple], first_round: bool, percent: int = PERCENT) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs of classes to verify from one bucket or pair of blocks.
+def likeliest_outside(
+    p: Points, blocks: np.ndarray, roots: list[bytes], percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each point outside the largest component (block 0 or above) the likeliest one of another component."""
+    numbers = {}
+    component = np.array([numbers.setdefault(r, len(numbers)) for r in roots])
+    a, b = [], []
+    for i in np.flatnonzero(blocks >= 0):
+        others = np.flatnonzero(component != component[i])
+        if not len(others):
+            continue
+        bound = overlap_bound(p.counts[others], p.counts[i], p.excess[others], p.excess[i])
+        spare = bound - needed(p.sizes[others] + p.sizes[i], percent)
+        j = int(np.argmax(spare))
+        if spare[j] >= 0:
+            a.append(i)
+            b.append(others[j])
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
+def bucket_pairs(rows: list[tuple], number: int, percent: int = PERCENT) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of classes to verify from one bucket or pair of blocks, in round ``number``.
 
     Rows: (block, class, size, counts, component or None, blocks i and j).
     """
     p = Points([r[3] for r in rows], [r[2] for r in rows])
     i, j = rows[0][5], rows[0][6]
     blocks = np.array([r[0] for r in rows])
-    if first_round and len(rows) > SMALL_BUCKET:
+    if number == 1 and len(rows) > SMALL_BUCKET:
         found = [nearest_earlier(p, percent)]
+    elif number == 2:
+        found = [likeliest_outside(p, blocks, [r[4] for r in rows], percent)]
     else:
         here = np.flatnonzero(blocks == i)
         left = Tree(p, here)
@@ -345,7 +370,7 @@ def hub_cells(filed: DataFrame) -> DataFrame:
 
 
 def open_cells(filed: DataFrame) -> DataFrame:
-    """Second round: rows outside a bucket's largest component meet all rows of the bucket.
+    """Later rounds: rows outside a bucket's largest component meet all rows of the bucket.
 
     Blocks of the largest component have negative numbers; they do not meet each other.
     """
@@ -371,9 +396,9 @@ def open_cells(filed: DataFrame) -> DataFrame:
     )
 
 
-def candidates(filed: DataFrame, first_round: bool, percent: int = PERCENT) -> DataFrame:
+def candidates(filed: DataFrame, number: int, percent: int = PERCENT) -> DataFrame:
     """Distinct pairs ``a, b`` of classes from rows ``bucket, members, cls, n, counts, root``."""
-    cells = hub_cells(filed) if first_round else open_cells(filed)
+    cells = hub_cells(filed) if number == 1 else open_cells(filed)
     cells = cells.select("bucket", "i", "j", "block", "cls", "n", "counts", "root")
     ordered = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cls")
 
@@ -383,7 +408,7 @@ def candidates(filed: DataFrame, first_round: bool, percent: int = PERCENT) -> D
         for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
             members = [(*r[3:], i, j) for r in group]
             if len(members) > 1:
-                for pair in bucket_pairs(members, first_round, percent):
+                for pair in bucket_pairs(members, number, percent):
                     if pair not in given:
                         given.add(pair)
                         out.append(pair)
@@ -464,8 +489,8 @@ def membership(
 
     ids = classes.select("cls", "id", "key")
     links = None
-    for first_round in (True, False):
-        if first_round:
+    for number in (1, 2, 3):
+        if number == 1:
             # Large buckets of one group have much the same members: some of them tell most links.
             some = (F.col("members") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("bucket"), F.lit(FIRST_SHARE)) == 0)
             asked = filed.filter(some).withColumn("root", F.lit(None).cast("binary"))
@@ -477,12 +502,12 @@ def membership(
             ).withColumn("root", F.coalesce("root", "cls"))
             open_ones = asked.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
             asked = asked.join(open_ones.filter("x <> y").select("bucket"), "bucket", "left_semi")
-        pairs = materialise(candidates(asked, first_round, percent), "pairs")
+        pairs = materialise(candidates(asked, number, percent), "pairs")
         wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
         chosen = materialise(ids.join(wanted, "cls", "left_semi"), "wanted")
         found = verified(pairs, sets_of(docs, chosen, id_col, text_col, n), percent)
-        if not first_round:
-            # The stars of the first round stand for its links.
+        if number > 1:
+            # The stars of the rounds before stand for their links.
             found = found.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
         links = materialise(found, "verified")
     roots = components(links)

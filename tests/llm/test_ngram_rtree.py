@@ -185,3 +185,20 @@ def test_partners_share_a_bucket_at_any_percentage(percent):
             checked += 1
             assert len(np.intersect1d(j.bucket_keys(a, percent), j.bucket_keys(b, percent)))
     assert checked > 300
+
+
+def test_second_round_asks_one_partner_for_each_open_set():
+    draw = np.random.default_rng(11)
+    base = draw.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets = [np.union1d(base[10:], draw.integers(0, 1 << 63, 3).astype(np.uint64)) for _ in range(80)]
+    sets.append(draw.integers(0, 1 << 63, 300).astype(np.uint64))
+    cls = [bytes([i]) for i in range(len(sets))]
+    # 60 sets are in the largest component (blocks below zero), the others alone.
+    rows = [
+        (-1 if i < 60 else 0, cls[i], len(s), j.group_counts(np.unique(s)), b"top" if i < 60 else cls[i], -1, 0)
+        for i, s in enumerate(sets)
+    ]
+    likeliest, everything = (list(j.bucket_pairs(rows, number)) for number in (2, 3))
+    assert len(likeliest) == 20 and len(everything) == 20 * 60
+    assert {x for pair in likeliest for x in pair} >= set(cls[60:80])
+    assert all(j.linked(sets[cls.index(a)], sets[cls.index(b)]) for a, b in likeliest)
