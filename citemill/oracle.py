@@ -458,6 +458,9 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "labelled_json_source": """
   SELECT text, CAST(quality AS DOUBLE) AS positive, CAST(1 - quality AS DOUBLE) AS negative
+  FROM documents JOIN labels USING (doc_id)""",
+    "labelled_list_source": """
+  SELECT text, CAST(quality AS DOUBLE) AS positive, CAST(1 - quality AS DOUBLE) AS negative
   FROM documents JOIN labels USING (doc_id)""",
     "labelled_spans_source": with_ctes(
         *GOLD, 'SELECT s AS start, e AS "end", label, surface FROM tags', recursive=True

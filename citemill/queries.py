@@ -442,6 +442,19 @@ def labelled_json_source(spark, sf_dir):
     )
 
 
+@query
+def labelled_list_source(spark, sf_dir):
+    """The same examples as a few files of one list each."""
+    path = new_path(spark, "labelled-lists")
+    labelled.write_cats_lists(corpus.examples(spark, sf_dir), path, 3)
+    back = labelled.read_cats(spark, path)
+    return back.select(
+        "text",
+        F.element_at("cats", "POSITIVE_NUCL_MED").alias("positive"),
+        F.element_at("cats", "NEGATIVE_NUCL_MED").alias("negative"),
+    )
+
+
 @query
 def labelled_spans_source(spark, sf_dir):
     path = new_path(spark, "spans")

@@ -2,38 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citemill.functions.text import surface
-from citemill.shared import lookup_join, materialise
+from citemill.sources.json_list import list_items, read_pieces
 from citemill.sources.keyed_json import parsed
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """(text, body) of every example; ``body`` is the JSON text of its labels.
 
-    Two layouts are read, told apart file by file: one pair per line, which is
-    splittable, and a first line that holds the list of all pairs, of which later
-    lines of that file are ignored. A line that can't be read fails the job.
+    Two layouts are read, told apart file by file: one pair per line, and one list
+    of all pairs, of any size, over one line or several; what follows the list is
+    ignored. Both are read by byte ranges. Text that can't be read fails the job.
     """
-    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     # Only a list of lists has a list in front, whatever the spaces between.
     listed = F.col("value").rlike(r"^\s*\[\s*\[")
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), place.alias("place"), listed.alias("listed")
-    )
-    lines = lines.where(F.trim("value") != "")
-    heads = lines.groupBy("file").agg(F.min(F.struct("place", "listed")).alias("head"))
-    heads = heads.where("head.listed").select("file", F.col("head.place").alias("first"))
-    lines = lookup_join(lines, materialise(heads, "list-files"), ["file"], "left", ["value"])
-    lines = lines.where(F.col("first").isNull() | (F.col("place") == F.col("first")))
-    nested = F.from_json("value", "array<array<string>>")
-    flat = F.from_json("value", "array<string>")
-    pairs = F.when(F.col("first").isNotNull(), parsed(F.col("value"), nested)).otherwise(
-        F.array(parsed(F.col("value"), flat))
+    first = read_pieces(spark, path).where("start = 0").groupBy("file").agg(
+        F.min_by(listed, "id").alias("listed")
     )
-    pairs = lines.select(F.explode(pairs).alias("p")).where(F.size("p") > 0)
+    # One name per file, as Spark's own listing of the folder.
+    heads = first.select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"), "listed").collect()
+    of_kind = lambda kind: [re.sub(r"([\[\]{}*?\\])", r"\\\1", h["file"]) for h in heads if h["listed"] == kind]
+    parts = []
+    if lists := of_kind(True):
+        parts.append(list_items(spark, lists).select("value"))
+    if (lines := of_kind(False)) or not parts:
+        parts.append(spark.read.text(lines or path).where(F.trim("value") != ""))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    pairs = rows.select(parsed(F.col("value"), F.from_json("value", "array<string>")).alias("p")).where(F.size("p") > 0)
     body = F.get("p", 1)
     return pairs.select(
         F.get("p", 0).alias("text"), parsed(F.to_json("p"), body).alias("body")
@@ -87,6 +87,23 @@ def write_cats(examples: DataFrame, path: str) -> None:
     pair_lines(examples.select("text", "cats"), "cats").write.text(path)
 
 
+def write_cats_lists(examples: DataFrame, path: str, files: int) -> None:
+    """Write (text, cats) examples as ``files`` files of one list each.
+
+    Each list is opened, filled and closed by the task that sorts its examples.
+    """
+    pairs = pair_lines(examples.select("text", "cats"), "cats")
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(files)))
+    number = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    entries = pairs.select("part", number.alias("n"), F.concat(F.when(number > 1, ", ").otherwise(""), "value").alias("value"))
+    ends = [(0, "["), (2**31 - 1, "]")]
+    brackets = examples.sparkSession.range(files).select(
+        F.col("id").alias("part"), F.inline(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(v).alias("value")) for n, v in ends]))
+    )
+    rows = entries.unionByName(brackets).repartition(files, "part").sortWithinPartitions("part", "n")
+    rows.select("part", "value").write.partitionBy("part").text(path)
+
+
 def write_entities(examples: DataFrame, path: str) -> None:
     """Write (text, entities) examples, one pair per line; spans become lists."""
     as_lists = F.transform(

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import contextlib
 import gzip
 import json
+import random
 import warnings
 
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citemill.plans.filter_corpus import filter_articles
-from citemill.sources import article_parquet, article_xml, keyed_json, labelled, tables
+from citemill.sources import article_parquet, article_xml, json_list, keyed_json, labelled, tables
 
 
 def citation(pmid, title="A title", abstract=("Some text.",), extra=""):
@@ -235,6 +237,17 @@ def test_keyed_json_is_loaded(spark, tmp_path):
         keyed_json.read_keyed_json(spark, str(tmp_path / "in"), ARTICLE).collect()
 
 
+@contextlib.contextmanager
+def bytes_per_task(spark, size):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, str(size))
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
 def test_labelled_layouts_and_broken_lines(spark, tmp_path):
     (tmp_path / "spaced.json").write_text(" [ " + json.dumps(CATS)[1:])
     assert labelled.read_cats(spark, str(tmp_path / "spaced.json")).count() == 2
@@ -264,6 +277,34 @@ def test_labelled_files_of_both_layouts_in_a_folder(spark, tmp_path):
     assert got == {f"text {i}": float(i % 2 == 0) for i in range(1, 6)}
 
 
+def test_a_list_is_read_by_many_tasks(spark, tmp_path):
+    draw = random.Random(3)
+    odd = ["]", "[", '"', "\\", "\\\\", '\\"', "], [", "é", "\n", "{", "}", ",", "word ", '"]]', "\U0001f600"]
+    text = lambda: "".join(draw.choice(odd) for _ in range(draw.randrange(12)))
+    pair = lambda: [text(), {"entities": [[draw.randrange(9), draw.randrange(9), text()] for _ in range(draw.randrange(4))]}]
+    pairs = [pair() for _ in range(300)]
+    folder = tmp_path / "lists [1]+ %41"
+    folder.mkdir()
+    (folder / "a {x}*.json").write_text(json.dumps(pairs[:120]))
+    (folder / "b.json").write_text(json.dumps(pairs[120:200], indent=2, ensure_ascii=False) + '\n[["later", {"x"')
+    (folder / "c.json").write_text("\n".join(json.dumps(p) for p in pairs[200:]))
+    with bytes_per_task(spark, 64):
+        escaped = str(folder).replace("[", "\\[").replace("]", "\\]")
+        assert json_list.read_pieces(spark, escaped).rdd.getNumPartitions() > 50
+        got = labelled.read_entities(spark, escaped).collect()
+    plain = lambda rows: sorted((t, [tuple(e) for e in es]) for t, es in rows)
+    assert plain((r["text"], [(e["start"], e["end"], e["label"]) for e in r["entities"]]) for r in got) == plain(
+        (t, b["entities"]) for t, b in pairs
+    )
+
+
+@pytest.mark.parametrize("damage", ['[["a", {"cats": {}}]', '[["a", {"cats": {}}], 5]', '[["a", {"cats": {}}], ["b", {', '[["a", {"cats": {}}] ["b", {}]]'])
+def test_a_damaged_list_fails(spark, tmp_path, damage):
+    (tmp_path / "x.json").write_text(damage)
+    with pytest.raises(Exception, match="unreadable JSON"):
+        labelled.read_cats(spark, str(tmp_path / "x.json")).collect()
+
+
 def test_one_json_object_per_input_file(spark, tmp_path):
     docs = spark.createDataFrame(
         [(f"d/{'ab'[i % 2]}.parquet", "0007" if i % 3 else "00 8", i, str(i), f'a "b"\n{{{i}}},', None if i % 5 else f"é{i}")
