@@ -193,7 +193,7 @@ def pair_auc(
 ) -> DataFrame:
     """Pair-counting area (ties count 1), on an exact-size sample if asked for."""
     if s_frac < 1.0:
-        scored = exact_sample(materialise(scored, "scored"), key, s_frac, seed)
+        scored = exact_sample(scored, key, s_frac, seed)
     return rank_auc(scored, 1.0)
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -74,6 +76,27 @@ def test_sample_has_exact_size_and_repeats(spark):
     assert select.exact_sample(df, "doc_id", 1.0).count() == 1001
 
 
+@pytest.mark.parametrize("fraction", [0.0, 0.01, 0.5, 0.97, 1.0])
+@pytest.mark.parametrize("one_key", [False, True])
+def test_sample_is_read_once(spark, fraction, one_key):
+    """The rows of a full ranking, also where most rows share one key or have none."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    key = F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 7) if one_key else F.col("id")
+    df = spark.range(40_000).select(key.alias("doc_id"), "id")
+    got = select.exact_sample(df.mapInArrow(count, df.schema), "doc_id", fraction, seed=3)
+    digest = lambda k: "" if k is None else hashlib.md5(f"{k}:3".encode()).hexdigest()
+    keys = sorted((digest(r["doc_id"]) for r in df.collect()))[: int(fraction * 40_000)]
+    assert sorted(digest(r["doc_id"]) for r in got.collect()) == keys
+    if not one_key:
+        assert seen.value == 40_000
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     """A third of the rows share one key, some keys are null or unknown."""
