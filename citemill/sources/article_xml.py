@@ -228,13 +228,10 @@ def reject_files(articles: DataFrame, manifest: DataFrame) -> DataFrame:
     return left.withColumn("pmid", pmid).drop(CORRUPT)
 
 
-def deleted_citations(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
-    """Withdrawn articles: rows with a pmid and ``delete`` set, nothing else.
-
-    Only update files list any, and it takes a pass over the files.
-    """
-    rows = (
-        spark.read.format("xml")
+def scan_deleted(reader, path: str | list[str], pattern: str = PATTERN) -> DataFrame:
+    """Raw lists of withdrawn articles of a batch or stream reader, with the file's name."""
+    return (
+        reader.format("xml")
         .schema(f"PMID ARRAY<STRING>, {CORRUPT} STRING")
         .option("rowTag", "DeleteCitation")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -243,20 +240,39 @@ def deleted_citations(spark: SparkSession, path: str, pattern: str = PATTERN) ->
         .option("pathGlobFilter", pattern)
         .load(path)
         .select(
-            F.explode("PMID").alias("pmid"),
-            F.lit(True).alias("delete"),
+            "*",
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_name").alias("file_name"),
-            file_number(F.col("_metadata.file_name")).alias("file_no"),
-            # Behind the articles of the same file.
-            (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("row_idx"),
         )
     )
+
+
+def flatten_deleted(records: DataFrame) -> DataFrame:
+    """One row per withdrawn article: its pmid, ``delete`` set, the file's columns, nothing else."""
+    rows = records.select(
+        # A list that can't be read gives one row, which fails the job.
+        F.explode_outer("PMID").alias("pmid"),
+        F.lit(True).alias("delete"),
+        "file_path",
+        "file_name",
+        file_number(F.col("file_name")).alias("file_no"),
+        F.col(CORRUPT).isNotNull().alias(CORRUPT),
+        # Behind the articles of the same file.
+        (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("row_idx"),
+    ).where(F.col("pmid").isNotNull() | F.col(CORRUPT))
     columns = [
         F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in ARTICLE.fields
     ]
-    return rows.select(*columns, F.lit(False).alias(CORRUPT))
+    return rows.select(*columns, CORRUPT)
+
+
+def deleted_citations(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
+    """Withdrawn articles of the files below ``path``.
+
+    Only update files list any, and it takes a pass over the files.
+    """
+    return flatten_deleted(scan_deleted(spark.read, path, pattern))
 
 
 def read_articles(

@@ -19,8 +19,10 @@ from citemill.sources.article_xml import (
     CORRUPT,
     check_files,
     flatten,
+    flatten_deleted,
     list_files,
     reject_files,
+    scan_deleted,
     scan_xml,
 )
 
@@ -83,12 +85,29 @@ def parse_new_files(
     checked for damage before their articles are written.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    stream = scan_xml(reader, source)
+    _parse_available(scan_xml(reader, source), flatten, sink, checkpoint)
+
+
+def withdraw_new_files(
+    spark: SparkSession, source: str, sink: str, checkpoint: str, files_per_batch: int = 1000
+) -> None:
+    """List the withdrawn articles of the article XML files that are new in ``source``.
+
+    A job beside :func:`parse_new_files`, with its own sink and checkpoint, since a
+    file may list withdrawn articles and hold none. Rows have the columns of
+    articles, of which only the pmid, ``delete`` and the file's are set.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    _parse_available(scan_deleted(reader, source), flatten_deleted, sink, checkpoint)
+
+
+def _parse_available(stream: DataFrame, flat, sink: str, checkpoint: str) -> None:
+    """Write what ``flat`` makes of the records of intact files, one folder per batch."""
     # Paths in columns are URIs; a reader takes them undone.
     undone = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
 
     def parse(batch: DataFrame, batch_id: int) -> None:
-        parsed = materialise(flatten(batch), "parsed")
+        parsed = materialise(flat(batch), "parsed")
         paths = [r["p"] for r in parsed.select(undone.alias("p")).distinct().collect()]
         if paths:
             manifest = check_files(list_files(batch.sparkSession, paths))

@@ -14,7 +14,7 @@ import citemill
 from citemill.operators import classify, tagger
 from citemill.plans.filter_corpus import filter_articles, naive_bayes_scorer
 from citemill.schemas import ANNOTATED_COLUMNS, GENE_REF, NEGATIVE, POSITIVE
-from citemill.streaming.ingest import filter_new_files, parse_new_files, read_filtered
+from citemill.streaming.ingest import filter_new_files, parse_new_files, read_filtered, withdraw_new_files
 
 GOOD = "tracer uptake of 18F FDG with p53 in HeLa cells"
 BAD = "a survey of dental hygiene among school pupils"
@@ -217,6 +217,28 @@ def test_stream_parse_rejects_damaged_files(spark, tmp_path):
     assert seen == [[("1", "0001")], [("1", "0001"), ("3", "0003")], [("1", "0001"), ("3", "0003")]]
 
 
+def test_stream_lists_withdrawn_articles(spark, tmp_path):
+    """Also of files without articles; each file once; none of damaged files."""
+    folder, sink, offsets = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "offsets")
+    folder.mkdir()
+    gone = lambda *pmids: "<DeleteCitation>" + "".join(f"<PMID Version='1'>{p}</PMID>" for p in pmids) + "</DeleteCitation>"
+    put = lambda number, data: (folder / f"pubmed23n{number}.xml.gz").write_bytes(data)
+    put("0001", gzip.compress(document(citation(1), gone(8, 9))))
+    put("0002", gzip.compress(document(gone(*range(20, 60))))[:-9])
+    put("0003", gzip.compress(document(citation(2))))
+    seen = []
+    for number in (None, "0004", None):
+        if number:
+            put(number, gzip.compress(document(gone(7))))
+        withdraw_new_files(spark, str(folder), sink, offsets)
+        found = spark.read.parquet(sink)
+        seen.append(rows(found.select("pmid", "delete", "file_no", "abstract")))
+    first = [("8", True, "0001", None), ("9", True, "0001", None)]
+    assert seen == [first, [("7", True, "0004", None), *first], [("7", True, "0004", None), *first]]
+    parse_new_files(spark, str(folder), str(tmp_path / "kept"), str(tmp_path / "other"))
+    assert set(found.drop("batch").columns) == set(spark.read.parquet(str(tmp_path / "kept")).drop("batch").columns)
+
+
 def test_saved_dictionary_loads(spark, tmp_path):
     table = spark.createDataFrame([("a b", 2, "DNA"), ("c", 1, "RNA")], "term string, n int, label string")
     tagger.Dictionary.of(table).save(str(tmp_path / "d"))
