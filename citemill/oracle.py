@@ -305,6 +305,9 @@ ORACLE_SQL: dict[str, str] = {
     "saved_model_scores": with_ctes(
         ARTICLE, WEIGHTS, scores("s", "article", "pmid", "abstract"), "SELECT * FROM s"
     ),
+    "saved_logistic_change": with_ctes(
+        ARTICLE, ELIGIBLE, "SELECT doc_id, CAST(0 AS DOUBLE) AS change, true AS valid FROM eligible"
+    ),
     "cap_per_file": with_ctes(
         *SCORED,
         f"""ranked AS (
@@ -362,6 +365,7 @@ ORACLE_SQL: dict[str, str] = {
         recursive=True,
     ),
     "tag_entities": with_ctes(*TAGGED, f"SELECT {SPAN_COLUMNS} FROM tags", recursive=True),
+    "saved_dictionary_tags": with_ctes(*TAGGED, f"SELECT {SPAN_COLUMNS} FROM tags", recursive=True),
     "slot_entities": with_ctes(
         *TAGGED, f"SELECT {SPAN_COLUMNS} FROM tags WHERE label IN ({SLOT_LIST})", recursive=True
     ),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from citemill import corpus
 from citemill.functions.text import file_number, preprocess_text, stem
-from citemill.operators import classify, evaluate, gates, genes, select, span_scores, tagger
+from citemill.operators import classify, evaluate, gates, genes, logistic, select, span_scores, tagger
 from citemill.operators.annotate import annotate, pivot_last
 from citemill.plans.filter_corpus import filter_articles, naive_bayes_scorer
 from citemill.shared import materialise, new_path
@@ -134,6 +134,18 @@ def logistic_scores(spark, sf_dir):
     return classify.score_logistic(docs, model).select("doc_id", "score")
 
 
+@query
+def saved_logistic_change(spark, sf_dir):
+    """How far the scores of a saved logistic model are from those of the model as trained."""
+    path = new_path(spark, "logistic")
+    model = classify.train_logistic(corpus.examples(spark, sf_dir))
+    model.save(spark, path)
+    docs = gates.eligible(corpus.articles(spark, sf_dir)).select("doc_id", "abstract")
+    fresh = classify.score_logistic(docs, model).withColumnRenamed("score", "fresh")
+    both = classify.score_logistic(fresh, logistic.LogisticModel.load(spark, path))
+    return both.select("doc_id", (F.col("score") - F.col("fresh")).alias("change"), F.col("score").between(0, 1).alias("valid"))
+
+
 @query
 def training_history(spark, sf_dir):
     examples = corpus.examples(spark, sf_dir)
@@ -252,6 +264,14 @@ def tag_entities(spark, sf_dir):
     return _tags(spark, sf_dir)
 
 
+@query
+def saved_dictionary_tags(spark, sf_dir):
+    path = new_path(spark, "dictionary")
+    corpus.dictionary(spark, sf_dir).save(path)
+    dictionary = tagger.Dictionary.load(spark, path)
+    return tagger.tag(_fields(spark, sf_dir), dictionary, ["doc_id"], ["abstract", "title"])
+
+
 @query
 def slot_entities(spark, sf_dir):
     return gates.slot_labels_only(_tags(spark, sf_dir))
