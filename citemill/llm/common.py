@@ -6,7 +6,6 @@ the same as ``[^\\x20\\x09-\\x0D]+`` over code points.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,13 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citemill.shared import give_back, small_batches
+
 # Texts are worked on in pieces of about this many bytes, so that the arrays of
 # one step stay small; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -41,18 +38,6 @@ def as_bytes(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string").cast("binary")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold at most ``BATCH_ROWS`` rows and ``BATCH_BYTES``, unless the session has its own limits.
-
-    A row is a whole text here; the usual 10,000 rows are tens of megabytes in
-    the JVM and again in Python, for every running task.
-    """
-    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
-        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
-    if spark.conf.get(ARROW_BYTES, "67108864b") in ("67108864b", "67108864", "64m", "64MB", "-1"):
-        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}
@@ -61,14 +46,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def give_back() -> None:
-    """Return memory that a finished task has freed to the system; workers live on for other tasks."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:  # glibc only
-        trim(0)
-
-
 def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``f`` for ``mapInArrow``, with its memory given back at the end of each task."""
 

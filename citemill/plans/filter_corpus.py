@@ -49,7 +49,8 @@ def selected(articles: DataFrame, passed: DataFrame, max_lines: int = -1, exact_
     row = row_key(articles)
     capped = cap_per_file(passed, max_lines, exact_cap, file=row[0])
     survivors = last_wins(capped, row[0]).select(*row)
+    # Narrow rows, as many as are kept: never a broadcast.
     kept = materialise(
-        passed.join(survivors, row).select(*row, "class_value"), "kept"
+        passed.join(survivors.hint("merge"), row).select(*row, "class_value"), "kept"
     )
-    return lookup_join(articles, kept, row, "inner", row)
+    return lookup_join(articles, kept, row, "inner", [])

@@ -9,24 +9,52 @@ and lets the next step read its size before choosing a join.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 import warnings
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its measured size is at most this many bytes; a
-# session may set another limit.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is broadcast only when its measured size is at most this many bytes (about
+# four times that as a hash table, which the driver builds); a session may set another limit.
+BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_SETTING = "spark.citemill.broadcastBytes"
 # Number of slices a possibly hot key is spread over when a side is too big.
 SALTS = 16
 
+# Rows and bytes of an Arrow batch that a Python function gets.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
 _local_dirs: dict[str, str] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``BATCH_ROWS`` rows and ``BATCH_BYTES``, unless the session has its own limits.
+
+    A row is a whole text here; the usual 10,000 rows are tens of megabytes in
+    the JVM and again in Python, for every running task.
+    """
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    if spark.conf.get(ARROW_BYTES, "67108864b") in ("67108864b", "67108864", "64m", "64MB", "-1"):
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return memory that a finished task has freed to the system; workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -124,7 +152,14 @@ def lookup_join(
 def salted_join(
     big: DataFrame, small: DataFrame, on: list[str], how: str, spread_by: list[str]
 ) -> DataFrame:
-    """The shuffled half of :func:`lookup_join`."""
+    """The shuffled half of :func:`lookup_join`.
+
+    Both halves are told to be shuffled: Spark goes by the size of a stored file,
+    and a small file may hold rows that are too many for the driver, the more so
+    once they are repeated. Without ``spread_by`` (keys that ``big`` hardly repeats) there is no salt.
+    """
+    if not spread_by:
+        return big.join(small.hint("merge"), on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")

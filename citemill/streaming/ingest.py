@@ -61,7 +61,7 @@ def filter_new_files(
     def keep(batch: DataFrame, batch_id: int) -> None:
         row = row_key(batch)
         passed = passing(batch, scorer).drop("pmid")
-        kept = lookup_join(batch, passed, row, "inner", row)
+        kept = lookup_join(batch, passed, row, "inner", [])
         kept.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     run_available(stream, keep, checkpoint)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from citemill.operators import numbering, select
 from citemill.operators.numbering import number_rows, row_block
 from citemill.plans.filter_corpus import filter_articles
-from citemill.shared import fits_broadcast, lookup_join, salted_join
+from citemill.shared import fits_broadcast, lookup_join, materialise, salted_join
 
 
 @pytest.fixture
@@ -120,3 +120,13 @@ def test_broadcast_only_below_the_limit(spark, plan):
     assert "BroadcastHashJoin" in plan(lookup_join(big, small, ["k"], "inner", ["k"]))
     beyond = lookup_join(big, small, ["k"], "inner", ["k"], max_bytes=1000)
     assert "_salt" in plan(beyond) and beyond.count() == 100
+
+
+@pytest.mark.parametrize("spread_by", [["id"], []])
+def test_shuffled_joins_stay_shuffled(spark, plan, spread_by):
+    """A stored table far below Spark's own limit, as repeated values make it."""
+    big = spark.range(1000).select("id", (F.col("id") % 90).alias("k"))
+    small = materialise(spark.range(80).select(F.col("id").alias("k"), F.lit("v").alias("v")), "small")
+    joined = salted_join(big, small, ["k"], "inner", spread_by)
+    assert "BroadcastHashJoin" not in plan(joined) and ("_salt" in plan(joined)) == bool(spread_by)
+    assert rows(joined) == rows(big.join(small, ["k"]))
