@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.functions.text import preprocess_text
 from citemill.operators.tagger import Dictionary
 from citemill.schemas import ENTITY_LABELS, NEGATIVE, POSITIVE
+from citemill.shared import lookup_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,15 +59,19 @@ def repeated_pmids(rows: DataFrame) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``labels`` as category maps (doc_id, cats)."""
+    return table(spark, sf_dir, "labels").select("doc_id", cats().alias("cats"))
+
+
+def cats() -> Column:
     quality = F.col("quality").cast("double")
-    cats = F.create_map(F.lit(POSITIVE), quality, F.lit(NEGATIVE), 1.0 - quality)
-    return table(spark, sf_dir, "labels").select("doc_id", cats.alias("cats"))
+    return F.create_map(F.lit(POSITIVE), quality, F.lit(NEGATIVE), 1.0 - quality)
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled training examples (doc_id, text, cats)."""
     texts = documents(spark, sf_dir).select("doc_id", "text")
-    return texts.join(gold(spark, sf_dir), "doc_id")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return lookup_join(texts, labels, ["doc_id"], "inner", []).select("doc_id", "text", cats().alias("cats"))
 
 
 def entity_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +143,11 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line == 5, F.concat_ws(" ", "p_name", "p_type"))
         .when(line == 6, F.lit("#"))
     )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
-        .join(part, "p_partkey", "left")
-        .select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), mention.alias("protein_1_abstract"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey")
     )
+    named = lookup_join(lines, part, ["p_partkey"], "left", ["l_orderkey", "l_linenumber"])
+    return named.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), mention.alias("protein_1_abstract"))
 
 
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,15 +157,11 @@ def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") > 45, F.lit("unknown"))
         .when(F.col("l_linenumber") != 7, F.concat(F.lit(" "), F.upper("p_name")))
     )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
-        .join(part, "p_partkey", "left")
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"),
-            mention.alias("protein_1_abstract"),
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey")
     )
+    named = lookup_join(lines, part, ["p_partkey"], "left", ["l_orderkey", "l_linenumber"])
+    return named.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), mention.alias("protein_1_abstract"))
 
 
 def land_xml(rows: DataFrame, path: str) -> None:

@@ -104,13 +104,14 @@ def search_hits(names: DataFrame, genes: DataFrame) -> DataFrame:
         F.count("*").alias("known"),
         F.min_by("word", F.struct("forms", "word")).alias("word"),
     )
-    rarest = rarest.where(F.col("known") == F.size("asked")).drop("known")
-    met = rarest.join(index, "word").where(F.size(F.array_except("asked", "words")) == 0)
+    rarest = rarest.where(F.col("known") == F.size("asked"))
+    rarest = materialise(rarest.drop("known"), "rarest-words")
+    met = lookup_join(index, rarest, ["word"], "inner", ["gene_id"]).where(F.size(F.array_except("asked", "words")) == 0)
     score = F.floor(F.size("asked") * 1000 / F.size("words")).cast("int")
     best = met.groupBy("_key").agg(F.min(F.struct((-score).alias("s"), (-F.col("kind")).alias("k"), "gene_id")).alias("best"))
     best = materialise(best.select("_key", "best.gene_id"), "best-genes")
     hits = forms.groupBy("gene_id").agg(F.first("hit").alias("_hit"))
-    return best.join(hits, "gene_id").select("_key", "_hit")
+    return best.join(hits.hint("merge"), "gene_id").select("_key", "_hit")
 
 
 def search_proteins(

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from citemill.api import Translate
-from citemill.operators.genes import search_proteins, translate_proteins
+from citemill.operators.genes import search_hits, search_proteins, translate_proteins
 from citemill.schemas import GENE_REF
 
 HITS = [
@@ -98,3 +98,17 @@ def test_translate_searches_plain_genes(spark, tmp_path):
     plain = Translate(spark, spark.createDataFrame(GENES, schema), ranked=False)
     found = plain.translate(proteins, str(tmp_path / "out")).orderBy("tab_id").collect()
     assert [(r["SIMILAR_GENE_LIST"], r["SIMILAR_ENSEMBL"]) for r in found] == [("TP53", "E3"), (None, None)]
+
+
+def test_no_gene_table_is_broadcast_unmeasured(spark, plan):
+    """Beyond the limit the index and the genes are shuffled, however small their files are."""
+    genes = [(i, "protein kinase", f"S{i}", ["alias"], [(f"E{i}",)]) for i in range(50)]
+    genes = spark.createDataFrame(genes, "gene_id long, name string, symbol string, aliases array<string>, ensembl array<struct<gene:string>>")
+    names = spark.createDataFrame([("s7",), ("protein",), ("none",)], "name string")
+    spark.conf.set("spark.citemill.broadcastBytes", "1")
+    try:
+        hits = search_hits(names, genes)
+        assert "BroadcastHashJoin" not in plan(hits)
+        assert {r["_key"]: r["_hit"]["symbol"] for r in hits.collect()} == {"s7": "S7", "protein": "S0"}
+    finally:
+        spark.conf.unset("spark.citemill.broadcastBytes")
