@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from citemill.functions.text import tokens
 from citemill.schemas import POSITIVE
-from citemill.shared import materialise
+from citemill.shared import give_back, materialise, small_batches
 
 FEATURES = 1 << 18
 # A row's share of loss and gradient is counted in units of 2**-UNIT_BITS.
@@ -32,6 +32,8 @@ UNIT = float(1 << UNIT_BITS)
 # Keys of the summed values that belong to no feature.
 BIAS, LOSS, ROWS = -1, -2, -3
 MEMORY = 10
+# Tokens worked on in one go; a row with more is a piece of its own.
+PIECE_TOKENS = 1 << 18
 SUFFICIENT = 1e-4
 HALVINGS = 20
 TOLERANCE = 1e-6
@@ -68,6 +70,24 @@ class Rows:
         return x / np.where(norm > 0, norm, 1.0)[self.row]
 
 
+def pieces(lists: pa.ListArray) -> Iterator[tuple[int, int]]:
+    """Rows ``start`` to ``end`` that hold at most ``PIECE_TOKENS`` tokens together, or are one row."""
+    total = np.cumsum(pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(total):
+        before = total[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(total, before + PIECE_TOKENS, side="right")))
+        yield start, end
+        start = end
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of (label, terms) batches with a bounded number of tokens."""
+    for batch in batches:
+        for start, end in pieces(batch.column(1)):
+            yield batch.slice(start, end - start)
+
+
 def sigmoid(margin: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(margin / 2))
 
@@ -76,14 +96,16 @@ def added_up(rows: DataFrame, share) -> dict[str, np.ndarray]:
     """``share(batches)`` gives whole numbers by feature (and extra keys) for a task; their sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, extras = share(batches)
+        features, extras = share(in_pieces(batches))
         held = np.flatnonzero(features)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((held, list(extras))).astype(np.int64)),
              pa.array(np.concatenate((features[held], list(extras.values()))).astype(np.int64))],
             names=["key", "value"],
         )
+        give_back()
 
+    small_batches(rows.sparkSession)
     # One row per feature at most.
     found = rows.mapInArrow(run, "key long, value long").groupBy("key").agg(F.sum("value").alias("value")).toArrow()
     return {"key": found.column("key").to_numpy(), "value": found.column("value").to_numpy()}
@@ -242,12 +264,18 @@ def scores(docs: DataFrame, models: list[LogisticModel], text: str) -> Column:
     features = len(models[0].idf)
     weights = np.column_stack([np.append(m.coefficients, m.intercept) for m in models])
     known = docs.sparkSession.sparkContext.broadcast((weights, models[0].idf))
+    kind = pa.list_(pa.float64())
+    small_batches(docs.sparkSession)
 
     def score(terms: pa.Array) -> pa.Array:
         w, idf = known.value
-        own = Rows(terms, features)
-        x = own.vectors(idf)
-        found = [sigmoid(own.sums(x * w[own.feature, k]) + w[-1, k]) for k in range(w.shape[1])]
-        return pa.array(list(np.round(np.column_stack(found), SCORE_DIGITS)), type=pa.list_(pa.float64()))
+        parts = []
+        for start, end in pieces(terms):
+            own = Rows(terms.slice(start, end - start), features)
+            x = own.vectors(idf)
+            found = [sigmoid(own.sums(x * w[own.feature, k]) + w[-1, k]) for k in range(w.shape[1])]
+            parts.append(pa.array(list(np.round(np.column_stack(found), SCORE_DIGITS)), type=kind))
+        give_back()
+        return pa.concat_arrays(parts or [pa.array([], type=kind)])
 
     return F.arrow_udf(score, "array<double>")(hashed_terms(F.col(text), features))

@@ -6,12 +6,14 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from citemill import corpus
 from citemill.operators import classify, evaluate, logistic
 from citemill.schemas import POSITIVE
+from citemill.shared import ARROW_ROWS
 
 FEATURES = 64
 
@@ -105,3 +107,18 @@ def test_no_labelled_examples(spark):
     _, df = examples(spark, 10)
     with pytest.raises(ValueError):
         logistic.fit(df.where("false"), FEATURES)
+
+
+def test_batches_are_worked_on_in_pieces(spark, monkeypatch):
+    """What is held at once follows the tokens of a piece, not the rows of a batch."""
+    monkeypatch.setattr(logistic, "PIECE_TOKENS", 10)
+    lists = pa.array([[1] * 4, None, [2] * 5, [3] * 30, [], [4] * 9, [5]], type=pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1.0] * 7), lists], names=["label", "terms"])
+    cut = list(logistic.in_pieces(iter([batch])))
+    assert pa.Table.from_batches(cut).to_pylist() == batch.to_pylist()
+    sizes = [len(pa.compute.list_flatten(b.column(1))) for b in cut]
+    assert all(size <= 10 or b.num_rows == 1 for size, b in zip(sizes, cut)) and len(cut) == 3
+    _, df = examples(spark)
+    spark.conf.unset(ARROW_ROWS)
+    logistic.Objective(logistic.training_rows(df, FEATURES), FEATURES, 0.01)
+    assert int(spark.conf.get(ARROW_ROWS)) <= 1000
