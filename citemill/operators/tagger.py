@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from citemill import shared
 from citemill.functions.text import REMOVED_PUNCTUATION, WORD_SPACES, in_blocks, let
 from citemill.operators import term_scan
-from citemill.shared import materialise
+from citemill.shared import materialise, small_batches
 
 
 @dataclass
@@ -92,6 +92,7 @@ def scanned(docs: DataFrame, keys: list[str], fields: list[str], scan) -> DataFr
 
 
 def trie_scan(docs: DataFrame, dictionary: Dictionary, settle: bool):
+    small_batches(docs.sparkSession)
     trie = dictionary.trie(docs.sparkSession)
     return term_scan.scanner(lambda texts: term_scan.trie_spans(trie.value, texts, settle), SPAN_FIELDS)
 
@@ -100,6 +101,7 @@ def probable_hits(
     docs: DataFrame, dictionary: Dictionary, keys: list[str], fields: list[str]
 ) -> DataFrame:
     """What a Bloom filter of the terms lets pass: ``keys``, field, start, end, surface, term."""
+    small_batches(docs.sparkSession)
     bloom = docs.sparkSession.sparkContext.broadcast(term_scan.bloom_of(dictionary.table))
     scan = term_scan.scanner(lambda texts: term_scan.bloom_spans(bloom.value, texts), HIT_FIELDS)
     return scanned(docs, keys, fields, scan)

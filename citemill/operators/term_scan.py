@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citemill.functions.text import REMOVED_PUNCTUATION, WORD_SPACES
+from citemill.shared import give_back
 
 # Characters worked on in one go, and hashed in one go.
-PIECE = 1 << 20
+PIECE = 1 << 18
 HASHED = 1 << 18
 BLOOM_BITS_PER_ENTRY = 16
 BLOOM_PROBES = 3
@@ -306,11 +307,11 @@ def bloom_of(table: DataFrame) -> Bloom:
     return Bloom(bits, size)
 
 
-def pieces(texts: list[str | None]) -> Iterator[list[str]]:
+def pieces(texts: pa.Array) -> Iterator[list[str]]:
     """Texts in groups of about ``PIECE`` characters, or of one."""
     group, held = [], 0
-    for text in texts:
-        text = text or ""
+    for scalar in texts:
+        text = scalar.as_py() or ""
         if group and held + len(text) > PIECE:
             yield group
             group, held = [], 0
@@ -366,11 +367,17 @@ def bloom_spans(bloom: Bloom, texts: list[str]) -> list[list[dict]]:
 
 
 def scanner(find, fields: str):
-    """``find(texts)`` as a column function from text to an array of structs."""
+    """``find(texts)`` as a column function from text to an array of structs.
+
+    What a group of texts holds becomes an Arrow array before the next group is
+    scanned: a span takes far more memory as a Python object.
+    """
 
     def scan(column: pa.Array) -> pa.Array:
-        found = [own for group in pieces(column.to_pylist()) for own in find(group)]
-        return pa.array(found, type=kind)
+        found = [pa.array(find(group), type=kind) for group in pieces(column)]
+        out = pa.concat_arrays(found or [pa.array([], type=kind)])
+        give_back()
+        return out
 
     names = [f.split() for f in fields.split(", ")]
     kind = pa.list_(pa.struct([(n, {"int": pa.int32(), "string": pa.string()}[k]) for n, k in names]))

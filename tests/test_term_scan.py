@@ -6,12 +6,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 
 from citemill import corpus
 from citemill.functions.text import REMOVED_PUNCTUATION, WORD_SPACES
 from citemill.operators import tagger, term_scan
+from citemill.shared import ARROW_ROWS
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(f"[^{WORD_SPACES}]+")
@@ -116,3 +118,13 @@ def test_scan_leaves_no_candidate_rows(spark, plan):
 def test_hashes_do_not_depend_on_the_neighbours():
     one, two = (term_scan.Words([t]) for t in ("alpha beta", "x yy alpha zzz beta"))
     assert np.array_equal(one.hashes[0], two.hashes[0][[2, 4]]) and np.array_equal(one.hashes[1], two.hashes[1][[2, 4]])
+
+
+def test_a_scan_takes_small_batches_and_texts_one_by_one(spark):
+    texts = pa.array(["ab cd", None, "x" * (2 * term_scan.PIECE), "", "cd"])
+    assert list(term_scan.pieces(texts)) == [["ab cd", ""], ["x" * (2 * term_scan.PIECE)], ["", "cd"]]
+    dictionary = tagger.Dictionary.of(spark.createDataFrame([("cd", 1, "DNA")], "term string, n int, label string"))
+    docs = spark.createDataFrame([(i, f"ab cd {i}") for i in range(3000)], "doc_id long, abstract string")
+    spark.conf.unset(ARROW_ROWS)
+    found = tagger.tag(docs, dictionary, ["doc_id"], ["abstract"])
+    assert int(spark.conf.get(ARROW_ROWS)) <= 1000 and found.count() == 3000
