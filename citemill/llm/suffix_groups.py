@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citemill.llm.common import BYTE_CODES, as_bytes, join_rows, map_arrow, mix, powers
+from citemill.llm.common import BYTE_CODES, as_bytes, join_rows, map_arrow, mix, powers, tidy
 from citemill.shared import fits_broadcast, materialise
 
 LENGTH = 200
@@ -53,7 +53,7 @@ CORE = 100
 HOT = 256
 CELL = 16
 # Symbols sorted in one go, over all buckets of a batch.
-BATCH_SYMBOLS = 1 << 20
+BATCH_SYMBOLS = 1 << 18
 _PLACE_BITS = np.uint64(26)
 
 
@@ -378,7 +378,7 @@ def sorted_buckets(segments: DataFrame) -> DataFrame:
         if waiting:
             yield solve(waiting)
 
-    return ordered.mapInArrow(run, f"anchor long, whole long, found {RANGES}")
+    return ordered.mapInArrow(tidy(run), f"anchor long, whole long, found {RANGES}")
 
 
 def hashed(*values) -> int:
@@ -418,7 +418,7 @@ def cells(segments: DataFrame, width: int) -> DataFrame:
 
     rows = segments.select("own_anchor", "own_whole", "shift", "anchor", "times", "offset", "bytes")
     return rows.mapInArrow(
-        run,
+        tidy(run),
         "own_anchor long, own_whole long, shift int, anchor long, whole long, times long, offset int, bytes binary",
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -165,3 +166,15 @@ def test_chunks_of_odd_rows(odd):
     rows = g.report(odd).collect()
     assert len(rows) == len(ODD)
     assert sorted(r["n_bytes"] for r in rows) == sorted(len((t or "").encode()) for _, t in ODD)
+
+
+def test_suffix_orders_are_built_in_little_memory():
+    """A batch of buckets as large as a task gathers."""
+    draw = np.random.default_rng(5)
+    bucket = [draw.integers(97, 123, 300, dtype=np.uint8).tobytes() for _ in range(50)]
+    buckets = [bucket] * (1 + s.BATCH_SYMBOLS // (50 * 301))
+    tracemalloc.start()
+    found = s.repeated_windows(buckets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == len(buckets) and peak < 80e6
