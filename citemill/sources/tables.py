@@ -61,8 +61,10 @@ def append_by_name(rows: DataFrame, name: str, key: str = "tab_id") -> None:
     buckets = _buckets(spark, name)
     writer = out.write
     if buckets > 0:
-        # One task per bucket, so that a bucket gets one file per load.
-        writer = out.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        # A bucket's rows come together, and a large bucket is cut into tasks of the
+        # advisory size, so a load gives a bucket one file or a file per such piece.
+        bucket = out.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        writer = bucket.hint("rebalance", "_bucket").drop("_bucket").write.bucketBy(buckets, key).sortBy(key)
     writer.mode("append").format("parquet").saveAsTable(name)
 
 
@@ -80,7 +82,7 @@ def with_ids(rows: DataFrame, start: int = 0) -> DataFrame:
     """Add ``tab_id`` to wide rows; only the narrow keys are numbered."""
     row = row_key(rows)
     ids = materialise(dense_ids(materialise(rows.select(*row), "rows"), start), "row-ids")
-    return lookup_join(rows, ids, row, "inner", row)
+    return lookup_join(rows, ids, row, "inner", [])
 
 
 def fill_table(kept: DataFrame, name: str, distinct_pmids: bool = False) -> bool:
@@ -97,7 +99,7 @@ def fill_table(kept: DataFrame, name: str, distinct_pmids: bool = False) -> bool
     if distinct_pmids:
         row = row_key(kept)
         first = kept.groupBy("pmid").agg(F.min(F.struct(*row)).alias("first")).select("first.*")
-        kept = lookup_join(kept, materialise(first, "first-rows"), row, "left_semi", row)
+        kept = lookup_join(kept, materialise(first, "first-rows"), row, "left_semi", [])
     highest = spark.table(name).agg(F.coalesce(F.max("tab_id"), F.lit(0))).first()[0]
     rows = with_ids(kept, highest)
     rows = rows.withColumn("clean_abstract", F.lit("")).withColumn("clean_title", F.lit(""))
@@ -115,7 +117,9 @@ def insert_ignore(rows: DataFrame, name: str, key: str = "tab_id") -> bool:
     if not spark.catalog.tableExists(name):
         warnings.warn(f"table {name} does not exist and is not filled", stacklevel=2)
         return False
-    fresh = rows.join(spark.table(name).select(key), key, "left_anti")
+    # Dealt out anew: a join by the table's buckets would bring a bucket to one task.
+    known = spark.table(name).select(key).repartition(key)
+    fresh = rows.join(known.hint("merge"), key, "left_anti")
     fresh = materialise(fresh, "fresh-rows")
     repeated = materialise(fresh.groupBy(key).count().where("count > 1").select(key), "repeated-keys")
     if not repeated.isEmpty():

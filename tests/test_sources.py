@@ -329,3 +329,21 @@ def test_one_json_object_per_input_file(spark, tmp_path):
     assert len(list((tmp_path / "plain").rglob("*.txt"))) == 2
     keyed_json.write_keyed_files(docs.limit(0), str(tmp_path / "none"))
     assert not list((tmp_path / "none").rglob("*.txt"))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    text = F.sha2(F.col("id").cast("string"), 512)
+    many = spark.range(0, 8000, 1, 8).select(F.col("id").alias("tab_id"), text.alias("v"))
+    tables.create_table(spark, "large_buckets", many.schema, str(tmp_path / "t"), 2)
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(size) for size in sizes]
+    for size in sizes:
+        spark.conf.set(size, "100k")
+    try:
+        tables.insert_ignore(many, "large_buckets")
+    finally:
+        for size, value in zip(sizes, before):
+            spark.conf.set(size, value)
+    assert len(list((tmp_path / "t").glob("part-*"))) > 2
+    assert rows(spark.table("large_buckets")) == rows(many)
+    assert spark.table("large_buckets").groupBy("tab_id").count().where("count > 1").isEmpty()
