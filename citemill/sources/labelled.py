@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +13,10 @@ from citemill.sources.json_list import list_items, read_pieces
 from citemill.sources.keyed_json import parsed
 
 
+# Bytes of one written list.
+LIST_BYTES = 64 << 20
+
+
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """(text, body) of every example; ``body`` is the JSON text of its labels.
 
@@ -88,11 +93,14 @@ def write_cats(examples: DataFrame, path: str) -> None:
 
 
 def write_cats_lists(examples: DataFrame, path: str, files: int) -> None:
-    """Write (text, cats) examples as ``files`` files of one list each.
+    """Write (text, cats) examples as ``files`` files of one list each, or more if they exceed ``LIST_BYTES``.
 
-    Each list is opened, filled and closed by the task that sorts its examples.
+    Each list is opened, filled and closed by the task that sorts its examples, so
+    it is one task's work; many examples make more lists, not longer ones.
     """
     pairs = pair_lines(examples.select("text", "cats"), "cats")
+    size = pairs.agg(F.sum(F.octet_length("value").cast("bigint"))).first()[0] or 0
+    files = max(files, math.ceil(size / LIST_BYTES))
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(files)))
     number = F.row_number().over(Window.partitionBy("part").orderBy("value"))
     entries = pairs.select("part", number.alias("n"), F.concat(F.when(number > 1, ", ").otherwise(""), "value").alias("value"))

@@ -347,3 +347,12 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "t").glob("part-*"))) > 2
     assert rows(spark.table("large_buckets")) == rows(many)
     assert spark.table("large_buckets").groupBy("tab_id").count().where("count > 1").isEmpty()
+
+
+def test_many_examples_make_more_lists_not_longer_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(labelled, "LIST_BYTES", 2000)
+    df = spark.range(300).select(F.concat(F.lit("text "), "id").alias("text"), F.create_map(F.lit("A"), F.lit(1.0)).alias("cats"))
+    labelled.write_cats_lists(df, str(tmp_path / "lists"), 2)
+    written = [f for f in (tmp_path / "lists").rglob("*.txt")]
+    assert len(written) > 2 and max(f.stat().st_size for f in written) < 4000
+    assert rows(labelled.read_cats(spark, str(tmp_path / "lists")).select("text")) == rows(df.select("text"))
