@@ -333,7 +333,7 @@ def test_one_json_object_per_input_file(spark, tmp_path):
 
 def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     text = F.sha2(F.col("id").cast("string"), 512)
-    many = spark.range(0, 8000, 1, 8).select(F.col("id").alias("tab_id"), text.alias("v"))
+    many = spark.range(0, 80_000, 1, 8).select(F.col("id").alias("tab_id"), text.alias("v"))
     tables.create_table(spark, "large_buckets", many.schema, str(tmp_path / "t"), 2)
     sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
     before = [spark.conf.get(size) for size in sizes]
