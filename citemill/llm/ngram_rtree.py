@@ -33,7 +33,14 @@ of the bucket. In the second round each of them gives its likeliest partner of
 another component in a block, since one link is enough to join it; in the third,
 what is still open is joined by trees, and every pair whose bound allows a link is
 given. So a bucket that variants of one text fill costs its size times the few that
-the rounds before left out, not its square, and no link is lost.
+the rounds before left out, not its square, and no link is lost. Two sets meet in
+every bucket they share; in the third round each carries its ``LISTED`` smallest
+buckets, and a pair is given in the smallest bucket on both lists only (in all of
+its buckets if the lists have none in common).
+
+The keys of a set are many, about three for ten shingles. They are stored once, with
+the row, and moved once, with the number of the row: a bucket counts its members
+where its rows meet, and only buckets of several sets leave that step.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; copies are one class and linked; rows with equal ids but
@@ -53,6 +60,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from citemill.llm.common import Words, as_bytes, join_rows, map_arrow, mix, small_batches, tidy
 from citemill.llm.components import components
@@ -73,6 +81,8 @@ LEAF = 16
 NODE_PAIRS = 512
 # Pairs a task remembers so as not to give them again.
 GIVEN = 50_000
+# Buckets of a set that its rows carry in the third round.
+LISTED = 16
 BAND_RATIO = 1.4
 
 _GROUP_SALT = np.uint64(0xA0761D6478BD642F)
@@ -176,7 +186,7 @@ def bucket_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def points(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """Per row: id, size, class (digest of the set), counts and bucket keys."""
+    """Per row: id, size, class (digest of the set), counts, bucket keys and a number of its own."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
@@ -198,7 +208,8 @@ def points(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
         F.xxhash64(F.col(text_col).cast("string")).alias("key"),
         as_bytes(text_col).alias("text"),
     )
-    return map_arrow(rows, run, "id long, key long, n long, cls binary, counts binary, keys array<long>")
+    found = map_arrow(rows, run, "id long, key long, n long, cls binary, counts binary, keys array<long>")
+    return found.withColumn("row", F.monotonically_increasing_id())
 
 
 # --- trees ---------------------------------------------------------------------------
@@ -365,7 +376,7 @@ def hub_cells(filed: DataFrame) -> DataFrame:
     block = F.pmod(F.hash("cls"), blocks)
     last = blocks - 1
     met = F.when(block > 0, F.array(block)).otherwise(F.sequence(F.least(last, F.lit(1)), last))
-    return filed.select("bucket", block.alias("block"), "cls", "n", "counts", "root", F.lit(0).alias("i"),
+    return filed.select("bucket", block.alias("block"), "cls", "n", "counts", "root", "listed", F.lit(0).alias("i"),
                         F.explode(met).alias("j"))
 
 
@@ -390,26 +401,40 @@ def open_cells(filed: DataFrame) -> DataFrame:
         F.transform(each_other, lambda o: cell(F.least(b, o), F.greatest(b, o))),
     )
     met = F.when(b < 0, F.transform(each_other, lambda o: cell(b, o))).otherwise(outside)
-    rows = rows.select("bucket", block.alias("block"), own.alias("own"), others.alias("others"), "cls", "n", "counts", "root")
+    rows = rows.select(
+        "bucket", block.alias("block"), own.alias("own"), others.alias("others"), "cls", "n", "counts", "root", "listed"
+    )
     return rows.withColumn("cell", F.explode(met)).select(
-        "bucket", "block", "cls", "n", "counts", "root", "cell.i", "cell.j"
+        "bucket", "block", "cls", "n", "counts", "root", "listed", "cell.i", "cell.j"
     )
 
 
+def given_elsewhere(bucket: int, a: set[int], b: set[int]) -> bool:
+    """Whether another bucket, the smallest of both lists, gives the pair."""
+    common = a & b
+    return bool(common) and min(common) != bucket
+
+
 def candidates(filed: DataFrame, number: int, percent: int = PERCENT) -> DataFrame:
-    """Distinct pairs ``a, b`` of classes from rows ``bucket, members, cls, n, counts, root``."""
+    """Distinct pairs ``a, b`` of classes from rows ``bucket, members, cls, n, counts, root, listed``.
+
+    ``listed``: in the third round, buckets of the class that this round looks at
+    if the class has a partner of another component there.
+    """
     cells = hub_cells(filed) if number == 1 else open_cells(filed)
-    cells = cells.select("bucket", "i", "j", "block", "cls", "n", "counts", "root")
+    cells = cells.select("bucket", "i", "j", "block", "cls", "n", "counts", "root", "listed")
     ordered = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         out, given = [], set()
-        for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
-            members = [(*r[3:], i, j) for r in group]
+        for (bucket, i, j), group in groupby(rows, key=lambda r: r[:3]):
+            group = list(group)
+            members = [(*r[3:8], i, j) for r in group]
+            listed = {r[4]: set(r[8] or ()) for r in group}
             if len(members) > 1:
                 for pair in bucket_pairs(members, number, percent):
-                    if pair not in given:
+                    if pair not in given and not given_elsewhere(bucket, listed[pair[0]], listed[pair[1]]):
                         given.add(pair)
                         out.append(pair)
             if len(out) >= 10_000:
@@ -472,20 +497,22 @@ def membership(
     """``id, key, n, cls, root``: class and component (root: a class) of every row."""
     rows = materialise(points(docs, id_col, text_col, n, percent), "points")
     filled = rows.filter("n > 0")
-    one = filled.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("r"))
-    one = one.select(F.col("cls").alias("_cls"), "r.id", "r.key")
-    classes = join_rows(filled, one).filter("cls = _cls").drop("_cls")
-    classes = materialise(classes.dropDuplicates(["cls"]), "classes")
-
-    shared = classes.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("members"))
-    shared = materialise(shared.filter("members > 1"), "buckets")
-    if fits_broadcast(shared):
-        filed = classes.select("cls", "n", "counts", F.explode("keys").alias("bucket")).join(F.broadcast(shared), "bucket")
-    else:
-        # Only (class, bucket) rows move; a hot bucket is a skewed partition, which adaptive execution splits.
-        keyed = classes.select("cls", F.explode("keys").alias("bucket"))
-        filed = keyed.join(shared, "bucket").join(classes.select("cls", "n", "counts"), "cls")
+    one = filled.groupBy("cls").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "row")).alias("r"), F.count("*").alias("rows")
+    )
+    several = one.filter("rows > 1").select("cls", F.col("r.row").alias("first"))
+    copies = filled.select("cls", "row").join(several.hint("merge"), "cls").filter("row <> first")
+    copies = materialise(copies.select("row"), "copies")
+    classes = filled.join(F.broadcast(copies) if fits_broadcast(copies) else copies.hint("merge"), "row", "left_anti")
+
+    # One shuffle of the keys: a bucket's members are counted where they meet.
+    keyed = classes.select("row", F.explode("keys").alias("bucket"))
+    met = keyed.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).filter("members > 1")
+    of_class = met.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("bucket", "members"))).alias("buckets"))
+    filed = classes.select("row", "cls", "n", "counts").join(of_class.hint("merge"), "row").drop("row")
     filed = materialise(filed, "filed")
+    large = F.filter("buckets", lambda b: b["members"] > SMALL_BUCKET)
+    listed = F.transform(F.slice(large, 1, LISTED), lambda b: b["bucket"])
 
     ids = classes.select("cls", "id", "key")
     links = None
@@ -493,15 +520,19 @@ def membership(
         if number == 1:
             # Large buckets of one group have much the same members: some of them tell most links.
             some = (F.col("members") <= SMALL_BUCKET) | (F.pmod(F.xxhash64("bucket"), F.lit(FIRST_SHARE)) == 0)
-            asked = filed.filter(some).withColumn("root", F.lit(None).cast("binary"))
+            asked = filed.select("cls", "n", "counts", F.inline("buckets")).filter(some)
+            asked = asked.withColumn("root", F.lit(None).cast("binary"))
         else:
             # Buckets that are small, or in one component as a whole, are settled.
             known = materialise(components(links), "known")
-            asked = filed.filter(F.col("members") > SMALL_BUCKET).join(
-                known.withColumnRenamed("node", "cls"), "cls", "left"
-            ).withColumn("root", F.coalesce("root", "cls"))
+            asked = filed.select("cls", "n", "counts", listed.alias("listed"), large.alias("large")).filter(
+                F.size("large") > 0
+            ).join(known.withColumnRenamed("node", "cls"), "cls", "left")
+            asked = asked.select("cls", "n", "counts", "listed", F.coalesce("root", "cls").alias("root"), F.inline("large"))
             open_ones = asked.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
             asked = asked.join(open_ones.filter("x <> y").select("bucket"), "bucket", "left_semi")
+        if number < 3:
+            asked = asked.withColumn("listed", F.lit(None).cast("array<long>"))
         pairs = materialise(candidates(asked, number, percent), "pairs")
         wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
         chosen = materialise(ids.join(wanted, "cls", "left_semi"), "wanted")

@@ -202,3 +202,55 @@ def test_second_round_asks_one_partner_for_each_open_set():
     assert len(likeliest) == 20 and len(everything) == 20 * 60
     assert {x for pair in likeliest for x in pair} >= set(cls[60:80])
     assert all(j.linked(sets[cls.index(a)], sets[cls.index(b)]) for a, b in likeliest)
+
+
+def variants(seed, number, words, edits):
+    """Near copies of one text, each with so many words of its own."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(5000)}" for _ in range(words)]
+    texts = []
+    for k in range(number):
+        own = list(base)
+        for at in draw.sample(range(words), edits):
+            own[at] = f"x{k}_{at}"
+        texts.append((k, " ".join(own)))
+    return texts
+
+
+def test_third_round_gives_a_pair_in_few_of_its_buckets(spark, monkeypatch):
+    texts = variants(12, 24, 2000, 20)
+    docs = frame(spark, texts)
+    made, kind = [], type(docs)
+    plain = kind.mapInArrow
+
+    def noted(df, f, schema, *more, **named):
+        out = plain(df, f, schema, *more, **named)
+        if schema == "a binary, b binary":
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    monkeypatch.setattr(j, "GIVEN", 0)  # a task alone remembers nothing, as if buckets lay in many tasks
+    assert got(j.digest(docs)) == brute(texts)
+    rounds = made[0::2]  # candidates and verified pairs take turns
+    assert len(rounds) == 3
+    pairs = rounds[2].distinct().count()
+    assert pairs > 100 and rounds[2].count() <= 2 * pairs
+
+
+def test_bucket_keys_are_stored_once(spark, monkeypatch):
+    stored, plain = [], j.materialise
+
+    def noted(df, name):
+        stored.append((name, df.columns))
+        return plain(df, name)
+
+    monkeypatch.setattr(j, "materialise", noted)
+    texts = families(13, 4, 10, (30, 60), 3)
+    docs = frame(spark, texts + texts[:5])  # equal rows are one class
+    found = j.membership(docs)
+    assert found.count() == len(texts) + 5
+    assert [name for name, columns in stored if "keys" in columns] == ["points"]
+    # Only with the row: a bucket's rows do not carry the counts of their sets.
+    filed = next(columns for name, columns in stored if name == "filed")
+    assert filed == ["cls", "n", "counts", "buckets"]
