@@ -473,7 +473,8 @@ def repeats(rows: DataFrame) -> DataFrame:
         .select("anchor", (F.col("low") == F.col("high")).alias("one"))
     )
     common = materialise(common, "common")
-    met = materialise(join_small(each, common, ["anchor"]), "met")
+    # Most anchors of a text meet here: shuffled at any size, since what is repeated grows with the input.
+    met = materialise(each.join(common.hint("merge"), "anchor"), "met")
 
     different = met.filter(~F.col("one")).groupBy("anchor", "whole").agg(
         F.sum("times").alias("times"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("at")

@@ -178,3 +178,16 @@ def test_suffix_orders_are_built_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) == len(buckets) and peak < 80e6
+
+
+def test_anchors_meet_by_shuffle_at_any_size(spark, monkeypatch):
+    plans, plain = {}, s.materialise
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(s, "materialise", noted)
+    texts = pasted(14, 20)
+    assert got(s.digest(frame(spark, texts))) == brute(texts)
+    assert "SortMergeJoin" in plans["met"] and "BroadcastHashJoin" not in plans["met"]
